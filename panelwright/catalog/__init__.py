@@ -2,4 +2,4 @@
 
 from panelwright.catalog.registry import CASES, Case  # noqa: F401
 
-from panelwright.catalog import sources_cases  # noqa: F401,E402
+from panelwright.catalog import sources_cases, cleaning_cases  # noqa: F401,E402

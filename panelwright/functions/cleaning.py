@@ -47,7 +47,7 @@ def clip(c: Column | str, low: float, high: float) -> Column:
 
 def safe_ratio(numerator: Column | str, denominator: Column | str, scale: float = 1.0) -> Column:
     """scale * a / b, null where b is 0 or null."""
-    return F.lit(float(scale)) * F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
+    return F.try_divide(F.lit(float(scale)) * _col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
 def is_true(c: Column | str) -> Column:
