@@ -203,8 +203,8 @@ def global_row_number(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str,
     offsets = counts.select(*levels, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     order = [C(c).desc() if d else C(c).asc() for c, d in keys] + [C("__h"), C(tie)]
     within = Window.partitionBy(*levels).orderBy(*order)
-    ranked = cut.withColumn("__rn", F.row_number().over(within)).join(offsets, levels)
-    return ranked.withColumn(name, (C("__rn") + C("__off")).cast("bigint")).drop(*levels, "__h", "__rn", "__off")
+    ranked = cut.withColumn("__inner", F.row_number().over(within)).join(offsets, levels)
+    return ranked.withColumn(name, (C("__inner") + C("__off")).cast("bigint")).drop(*levels, "__h", "__inner", "__off")
 
 
 def hashed_row_number(
@@ -223,8 +223,8 @@ def hashed_row_number(
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     within = Window.partitionBy(*by, "__b").orderBy("__h", tie)
-    ranked = cut.withColumn("__rn", F.row_number().over(within)).join(offsets, [*by, "__b"])
-    return ranked.withColumn(name, (C("__rn") + C("__off")).cast("bigint")).drop("__h", "__b", "__rn", "__off")
+    ranked = cut.withColumn("__inner", F.row_number().over(within)).join(offsets, [*by, "__b"])
+    return ranked.withColumn(name, (C("__inner") + C("__off")).cast("bigint")).drop("__h", "__b", "__inner", "__off")
 
 
 def top_k(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str, k: int) -> DataFrame:
