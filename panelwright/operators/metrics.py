@@ -6,11 +6,13 @@ aggregation; several models are measured in one pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelwright.operators.ordering import rank_top, running_totals, union_all
+from panelwright.functions.cleaning import seeded_hash
+from panelwright.operators.ordering import quantile_bins, rank_top, running_totals, union_all
 
 C = F.col
 
@@ -209,22 +211,55 @@ def top_concentration(df: DataFrame, score: str, tie: str, group: str, k: int) -
     )
 
 
-# Poisson(1) by inverse transform: cumulative probabilities of 0, 1, 2, ...
-# (beyond 7 the remaining mass is below 1e-6 and counts as 8).
-def poisson_weight(uniform: Column) -> Column:
-    import math
+def with_random_score(df: DataFrame, tie: str, seed: int, name: str = "random_score") -> DataFrame:
+    """A score that knows nothing: the digest read as a number in [0, 1)."""
+    return df.withColumn(name, hex_fraction(seeded_hash(tie, seed)))
+
+
+def hex_fraction(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def inflation_gap(honest: DataFrame, optimistic: DataFrame, k: int) -> DataFrame:
+    """How much better the same models look under the easier evaluation."""
+    a = honest.select("model", C("roc_auc").alias("a_auc"), C(f"p_at_{k}").alias("__a"))
+    b = optimistic.select("model", C("roc_auc").alias("b_auc"), C(f"p_at_{k}").alias("__b"))
+    gap = (C("__b") - C("__a")).alias(f"p_at_{k}_gap")
+    return a.join(b, "model").select("model", "a_auc", "b_auc", (C("b_auc") - C("a_auc")).alias("auc_gap"), gap)
 
-    cdf, p = [], math.exp(-1)
-    total = 0.0
+
+def calibration(df: DataFrame, score: str, label: str, bins: int) -> DataFrame:
+    """Predicted against observed rate per equal-count bin."""
+    return quantile_bins(df, score, bins, "decile").groupBy("decile").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_predicted"), F.avg(label).alias("actual"),
+        (F.avg(score) - F.avg(label)).alias("error"),
+    )
+
+
+def majority_baseline(df: DataFrame, label: str) -> DataFrame:
+    rate = df.agg(F.avg(label).alias("__r"))
+    return rate.select(
+        (C("__r") > 0.5).cast("int").alias("majority_class"), F.greatest(C("__r"), 1 - C("__r")).alias("accuracy")
+    )
+
+
+def poisson_cdf() -> list[float]:
+    """P(X <= i) of Poisson(1) for i = 0..7; the remaining mass is below 2e-6."""
+    p, total, out = math.exp(-1), 0.0, []
     for i in range(8):
         total += p
-        cdf.append(total)
+        out.append(total)
         p /= i + 1
-    return sum((F.when(uniform >= F.lit(c), 1).otherwise(0) for c in cdf), F.lit(0))
+    return out
+
+
+def poisson_weight(uniform: Column) -> Column:
+    """Poisson(1) draw by inverse transform."""
+    return sum((F.when(uniform >= F.lit(c), 1).otherwise(0) for c in poisson_cdf()), F.lit(0))
 
 
-def bootstrap_rates(df: DataFrame, flag: str, label: str, tie: str, replicates: int, seed: int) -> DataFrame:
-    """Per replicate, label rate inside and outside ``flag`` and their gap.
+def bootstrap_gaps(df: DataFrame, flag: str, label: str, tie: str, replicates: int, seed: int) -> DataFrame:
+    """Per replicate, the label rate inside minus outside ``flag``.
 
     Every row draws its own Poisson(1) weight per replicate from a digest; the
     replicas are generated and summed inside the map task, so the shuffle
@@ -232,11 +267,16 @@ def bootstrap_rates(df: DataFrame, flag: str, label: str, tie: str, replicates:
     """
     rows = df.select(tie, flag, label, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), C("replicate").cast("string"), C(tie).cast("string")))
-    uniform = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-    drawn = rows.withColumn("w", poisson_weight(uniform))
-    part = lambda cond: ratio(
-        F.sum(F.when(cond, C("w") * C(label)).otherwise(0)), F.sum(F.when(cond, C("w")).otherwise(0))
-    )
+    drawn = rows.withColumn("w", poisson_weight(hex_fraction(digest)))
+    part = lambda cond: ratio(F.sum(F.when(cond, C("w") * C(label))), F.sum(F.when(cond, C("w"))))
     on = C(flag) == 1
-    rates = drawn.groupBy("replicate").agg(part(on).alias("rate_in"), part(~on).alias("rate_out"))
-    return rates.withColumn("gap", C("rate_in") - C("rate_out"))
+    return drawn.groupBy("replicate").agg((part(on) - part(~on)).alias("gap"))
+
+
+def bootstrap_gap_ci(df: DataFrame, flag: str, label: str, tie: str, replicates: int, seed: int) -> DataFrame:
+    """Mean and 95% interval of the gap over the replicates."""
+    gaps = bootstrap_gaps(df, flag, label, tie, replicates, seed)
+    return gaps.agg(                    # one value per replicate: a bounded histogram
+        F.count(F.lit(1)).alias("replicates"), F.avg("gap").alias("mean_gap"),
+        F.percentile("gap", F.lit(0.025)).alias("low"), F.percentile("gap", F.lit(0.975)).alias("high"),
+    )

@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelwright.functions.cleaning import seeded_hash
+
 C = F.col
 ACCURACY = 10_000          # rank error of percentile_approx is at most n / ACCURACY
 
@@ -215,8 +217,6 @@ def hashed_row_number(
     Digests are uniform, so their first two hex digits cut even a group that
     holds most of the table into 256 equal pieces without looking at the data.
     """
-    from panelwright.functions.cleaning import seeded_hash
-
     by = list(by)
     cut = df.withColumn("__h", seeded_hash(tie, seed)).withColumn("__b", F.substring("__h", 1, 2))
     counts = cut.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
@@ -276,10 +276,15 @@ def quantile_bins(df: DataFrame, value: str, n: int, name: str) -> DataFrame:
 def attach_group_median(df: DataFrame, group: str, values: Mapping[str, str]) -> DataFrame:
     """Add each row's group median per (output name -> column)."""
     out = df
-    for name, value in values.items():
+    for name, value in values.items():      # always from df: plans stay independent
         out = out.join(exact_median(df, value, name, by=[group]), group, "left")
     return out
 
 
+def sample_n(df: DataFrame, tie: str, n: int, seed: int | str) -> DataFrame:
+    """Fixed-size sample without replacement: the n smallest digests."""
+    return df.orderBy(seeded_hash(tie, seed), tie).limit(n)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
