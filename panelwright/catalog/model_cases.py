@@ -154,7 +154,7 @@ def panel_specs():
 def page_spec(name, make):
     return L.Spec(
         name, make, numeric=L.PAGE_NUMERIC, categorical=L.PAGE_CATEGORICAL, label="is_declining_label",
-        key="content_id", balanced=True,
+        key="content_id", balanced=True, rare_rows=0, fill=0.0,
     )
 
 

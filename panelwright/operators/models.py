@@ -59,7 +59,8 @@ class Spec:
     label: str = LABEL
     key: str = ID
     balanced: bool = False
-    rare_rows: int = RARE_ROWS
+    rare_rows: int = RARE_ROWS              # 0: keep every category as it is
+    fill: float | None = None               # None: impute the training median
 
 
 def with_flag_names(numeric: Sequence[str], flags: Sequence[str] = FLAG_COLUMNS) -> list[str]:
@@ -75,7 +76,9 @@ COMMON = dict(featuresCol="features", labelCol="label", weightCol="weight")
 
 def logistic(max_iter: int = 1000):
     """L2 with strength 1 on standardized inputs: the penalty per row is 1/n."""
-    return lambda n: LogisticRegression(maxIter=max_iter, regParam=1.0 / max(n, 1), standardization=True, **COMMON)
+    return lambda n: LogisticRegression(
+        maxIter=max_iter, regParam=1.0 / max(n, 1), standardization=True, tol=1e-4, **COMMON
+    )
 
 
 def tree(depth: int = 5, leaf: int = 50):
@@ -132,16 +135,29 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> D
     return df.withColumns(hits)
 
 
-def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
-    """Median imputation, one-hot with an all-zero row for unseen values, one vector."""
-    imputed = [f"{c}__num" for c in numeric]
-    stages = [Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median", relativeError=1e-4)]
-    encoded = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__hot", dropLast=True))
-        encoded.append(f"{c}__hot")
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=[*imputed, *encoded], outputCol="features")])
+def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], impute: bool = True) -> Pipeline:
+    """Median imputation, one-hot with an all-zero row for unseen values, one
+    vector. All categories are indexed in one job."""
+    stages, inputs = [], list(numeric)
+    if impute:
+        inputs = [f"{c}__num" for c in numeric]
+        stages.append(Imputer(inputCols=list(numeric), outputCols=inputs, strategy="median", relativeError=1e-4))
+    if categorical:
+        index, hot = [f"{c}__idx" for c in categorical], [f"{c}__hot" for c in categorical]
+        stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True))
+        inputs = [*inputs, *hot]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+
+
+def _inputs(df: DataFrame, spec: Spec, pools: dict[str, DataFrame]) -> DataFrame:
+    """Typed model inputs: numbers filled if asked for, categories named or pooled."""
+    number = lambda c: C(c).cast("double") if spec.fill is None else F.coalesce(C(c).cast("double"), F.lit(spec.fill))
+    named = lambda c: F.coalesce(C(c).cast("string"), F.lit(UNKNOWN))
+    rows = df.withColumns({**{c: number(c) for c in spec.numeric}, **{c: named(c) for c in spec.categorical}})
+    for c, pool in pools.items():
+        rows = rows.join(pool, c, "left").withColumn(c, C("__pooled")).drop("__pooled")
+    return rows
 
 
 @dataclass
@@ -152,11 +168,7 @@ class Fitted:
     model: object
 
     def vectors(self, df: DataFrame) -> DataFrame:
-        rows = df.withColumns({c: C(c).cast("double") for c in self.spec.numeric})
-        for c, pool in self.pools.items():
-            filled = rows.withColumn(c, F.coalesce(C(c).cast("string"), F.lit(UNKNOWN)))
-            rows = filled.join(pool, c, "left").withColumn(c, C("__pooled")).drop("__pooled")
-        return self.features.transform(rows)
+        return self.features.transform(_inputs(df, self.spec, self.pools))
 
     def predict(self, df: DataFrame, name: str = "probability", keep: Sequence[str] = ()) -> DataFrame:
         scored = self.model.transform(self.vectors(df))
@@ -170,24 +182,21 @@ class Fitted:
 
 def fit(train: DataFrame, spec: Spec) -> Fitted:
     """Fit preprocessing and estimator on ``train`` only."""
-    pools = {c: pool_table(train, c, spec.rare_rows) for c in spec.categorical}
-    out = Fitted(spec, pools, None, None)
-    rows = train.withColumn("label", C(spec.label).cast("double")).withColumns(
-        {c: C(c).cast("double") for c in spec.numeric}
-    )
+    pools = {c: pool_table(train, c, spec.rare_rows) for c in spec.categorical} if spec.rare_rows else {}
+    rows = train.withColumn("label", C(spec.label).cast("double"))
     rows = class_weights(rows, "label") if spec.balanced else rows.withColumn("weight", F.lit(1.0))
-    for c in spec.categorical:
-        rows = pool_rare(rows, train, c, spec.rare_rows)
-    rows = rows.select("label", "weight", *spec.numeric, *spec.categorical).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _inputs(rows, spec, pools).select("label", "weight", *spec.numeric, *spec.categorical)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = rows.count()
-        out.features = feature_pipeline(spec.numeric, spec.categorical).fit(rows)
-        vectors = out.features.transform(rows).select("label", "weight", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        out.model = spec.make(n).fit(vectors)
+        features = feature_pipeline(spec.numeric, spec.categorical, spec.fill is None).fit(rows)
+        vectors = features.transform(rows).select("label", "weight", "features")
+        vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        model = spec.make(n).fit(vectors)
         vectors.unpersist()
+        return Fitted(spec, pools, features, model)
     finally:
         rows.unpersist()
-    return out
 
 
 # ---- evaluation jobs -----------------------------------------------------------
