@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
 from panelwright.catalog.base_sql import (
-    BASELINE, CLIENTS, DIM, EVENTS, FACT, FINAL, PAGES, POS_TIER, PREPARED, QUERIES, avg_rank, both_scored, dev_scored,
-    feat, frame, frame_only, outc, rnd,
+    BASELINE, DIM, EVENTS, FACT, FINAL, PAGES, POS_TIER, PREPARED, QUERIES, avg_rank, both_scored, dev_scored, feat,
+    frame, outc, rnd,
 )
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import cleaning as K, rules, tiers
 from panelwright.operators import joins as J, profiles as P
 from panelwright.operators.ordering import exact_median, exact_quantiles, top_k
 from panelwright.plans import scoring, windows as W
-from panelwright.sources import standins, tables as T
+from panelwright.sources import standins
 
 C = F.col
 DEV = f"WITH {frame('dev')}"
@@ -84,20 +86,27 @@ mom AS (SELECT content_hash_id,
   FROM ev, b WHERE report_date > end_d - 30 GROUP BY 1)"""
 
 
+def _momentum(make, spark, sf, floor):
+    """Newest day first (one row), then a literal range that reaches the scan."""
+    end = W.latest_day(standins.events_daily(spark, sf))
+    recent = standins.events_daily(spark, sf, after=end - dt.timedelta(days=30))
+    return make(recent, 15, floor, end)
+
+
 @case("case_sums_last_prev", f"{MOM} SELECT content_hash_id, imp_last, imp_prev, clk_last FROM mom")
 def case_sums_last_prev(spark, sf):
-    return W.momentum(standins.events_daily(spark, sf), 15, 0).select("content_hash_id", "imp_last", "imp_prev", "clk_last")
+    return _momentum(W.momentum, spark, sf, 0).select("content_hash_id", "imp_last", "imp_prev", "clk_last")
 
 
 @case("case_avg_window", f"{MOM} SELECT content_hash_id, {rnd('pos_last', 'pos_prev')} FROM mom")
 def case_avg_window(spark, sf):
-    out = W.momentum_volatility(standins.events_daily(spark, sf), 15, 0)
+    out = _momentum(W.momentum_volatility, spark, sf, 0)
     return r6(out.select("content_hash_id", "pos_last", "pos_prev"))
 
 
 @case("momentum_frame", f"{MOM} SELECT content_hash_id, imp_last, imp_prev, clk_last, {rnd('pos_last')} FROM mom WHERE imp_prev >= 20")
 def momentum_frame(spark, sf):
-    return r6(W.momentum(standins.events_daily(spark, sf), 15, 20))
+    return r6(_momentum(W.momentum, spark, sf, 20))
 
 
 @case(
@@ -106,7 +115,7 @@ def momentum_frame(spark, sf):
     CAST(CAST(imp_last - imp_prev AS DOUBLE) / NULLIF(imp_prev, 0) <= -0.10::DOUBLE AS INTEGER) AS is_declining_label FROM mom WHERE imp_prev >= 20""",
 )
 def momentum_volatility_frame(spark, sf):
-    return r6(W.momentum_volatility(standins.events_daily(spark, sf), 15, 20))
+    return r6(_momentum(W.momentum_volatility, spark, sf, 20))
 
 
 @case(

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
 from panelwright.catalog.base_sql import (
-    BASELINE, CLIENTS, DIM, EVENTS, FACT, FINAL, HAS, PREPARED, QUERIES, both_scored, dev_scored, feat, frame, outc, rnd,
+    BASELINE, CLIENTS, DIM, EVENTS, FACT, FINAL, HAS, PREPARED, QUERIES, both_scored, feat, frame, outc, rnd,
 )
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import rules
-from panelwright.operators import joins as J, metrics as M, splits as S
+from panelwright.operators import joins as J, splits as S
 from panelwright.operators.ordering import union_all
 from panelwright.plans import windows as W
 from panelwright.sources import standins

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
-from panelwright.catalog.base_sql import FACT, FINAL, both_scored, dev_scored, frame, rnd, scored
-from panelwright.catalog.cleaning_cases import ARCHETYPE
-from panelwright.catalog.rank_cases import CAPPED, DECILE, PRECISION, TIE
+from panelwright.catalog.base_sql import FINAL, both_scored, dev_scored, frame, rnd
+from panelwright.catalog.rank_cases import CAPPED, DECILE, TIE
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import rules
 from panelwright.operators import audit as A, metrics as M, ordering as O, splits as S
 from panelwright.plans import scoring
-from panelwright.sources import standins
 
 C = F.col
 ID, CLIENT, LABEL = "content_hash_id", "client_hash_id", "is_position_decline"

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from panelwright.catalog import inputs as I
-from panelwright.catalog.base_sql import DIM, FACT, dev_scored, rnd
+from panelwright.catalog.base_sql import FACT, dev_scored, rnd
 from panelwright.catalog.registry import case, r6
-from panelwright.operators.metrics import metric_comparison
-from panelwright.plans import scoring
 from panelwright.session import scratch_path
 from panelwright.sources import standins, tables as T
 
@@ -118,7 +116,11 @@ def metrics_json(spark, sf):
     return r6(spark.read.schema("metric string, value double").json(path))
 
 
-@case("frame_fingerprint")
+@case(
+    "frame_fingerprint",
+    f"""{dev_scored()} SELECT COUNT(*) AS n_rows, CAST(SUM(CAST('0x' || substr(md5(content_hash_id), 1, 12) AS BIGINT)) AS VARCHAR) AS key_digest,
+    MIN(content_hash_id) AS min_key, MAX(content_hash_id) AS max_key FROM frame""",
+)
 def frame_fingerprint(spark, sf):
     return T.frame_fingerprint(I.frame(spark, sf), "content_hash_id")
 

@@ -36,13 +36,14 @@ def exact_quantiles(
     Two passes. The first brackets each wanted rank with approximate quantiles.
     The second counts rows below each bracket (collapsed map-side to one row)
     and keeps a value -> count histogram of the bracket, whose size is about
-    4/ACCURACY of the rows; the wanted order statistics are read off it. A
-    bracket that misses its rank raises instead of answering wrongly.
+    6/ACCURACY of the rows; the wanted order statistics are read off it. Groups
+    below 2 * ACCURACY rows are their own bracket. A bracket that misses its
+    rank raises instead of answering wrongly.
     """
     by = list(by)
     names = list(probs)
     ps = [float(probs[n]) for n in names]
-    margin = 2.0 / ACCURACY
+    margin = 3.0 / ACCURACY
     cuts = [min(max(p + s, 0.0), 1.0) for p in ps for s in (-margin, margin)]
 
     rows = df.select(*by, C(value).cast("double").alias("__v")).where(C("__v").isNotNull())
@@ -51,8 +52,9 @@ def exact_quantiles(
 
     def slot(i: int) -> Column:
         low, high = C("__e")[2 * i], C("__e")[2 * i + 1]
-        key = F.when(C("__v") >= low, C("__v"))      # below the bracket: one null key
-        return F.when(C("__v") <= high, F.struct(F.lit(i).alias("i"), key.alias("v")))
+        small = C("__n") < 2 * ACCURACY              # one rank is more than the margin: keep all
+        key = F.when(small | (C("__v") >= low), C("__v"))      # below the bracket: one null key
+        return F.when(small | (C("__v") <= high), F.struct(F.lit(i).alias("i"), key.alias("v")))
 
     marked = _with_side(rows, sizes, by).select(
         *by, "__n", F.explode(F.array_compact(F.array(*[slot(i) for i in range(len(ps))]))).alias("__s")

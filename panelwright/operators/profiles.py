@@ -17,9 +17,17 @@ def grain_probe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def slice_profile(df: DataFrame, item: str, client: str, date: str) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(item).alias("items"),
-        F.count_distinct(client).alias("clients"), F.min(date).alias("first_day"), F.max(date).alias("last_day"),
+    """Rows, distinct items and clients, date span.
+
+    Day rows are first reduced to (item, client) pairs; the two distinct counts,
+    which multiply their input rows, then run over the pairs only.
+    """
+    pairs = df.groupBy(item, client).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(date).alias("__lo"), F.max(date).alias("__hi")
+    )
+    return pairs.agg(
+        F.sum("__n").alias("n_rows"), F.count_distinct(item).alias("items"),
+        F.count_distinct(client).alias("clients"), F.min("__lo").alias("first_day"), F.max("__hi").alias("last_day"),
     )
 
 

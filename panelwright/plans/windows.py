@@ -89,6 +89,9 @@ STATIC_COLUMNS = [
 ]
 
 
+MASK_DAYS = 512
+
+
 def weighted_position(where: Column | None = None) -> Column:
     """Impression-weighted position: sum over sum, never a mean of rates."""
     num, den = C("gsc_sum_position"), C("gsc_impressions")
@@ -97,6 +100,26 @@ def weighted_position(where: Column | None = None) -> Column:
     return F.try_divide(F.sum(num), F.sum(den))
 
 
+def distinct_days(split: Split, active: Column) -> Column:
+    """Number of distinct feature-window days with an ``active`` row.
+
+    A window of some months is a known, short range of days, so days are bits
+    of a few longs that merge with ``bit_or``: one shuffle, full map-side
+    combine, and no second grouping by day as ``count(distinct)`` needs. Both
+    are exact; windows of more than ``MASK_DAYS`` use the plain form.
+    """
+    length = (split.cut_date - split.start_date).days + 1
+    if length > MASK_DAYS:
+        return F.count_distinct(F.when(active, C("report_date")))
+    day = F.datediff("report_date", F.lit(split.start_date))
+    total = F.lit(0)
+    for first in range(0, length, 64):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (day - first).cast("int"))
+        word = F.bit_or(F.when(active & day.between(first, first + 63), bit))
+        total = total + F.bit_count(F.coalesce(word, F.lit(0).cast("bigint")))
+    return total.cast("bigint")
+
+
 def _feature_aggs(split: Split, where: Column | None = None) -> list[Column]:
     """Feature-window aggregates, optionally restricted to ``where`` rows."""
     pick = (lambda c: c) if where is None else (lambda c: F.when(where, c))
@@ -105,7 +128,7 @@ def _feature_aggs(split: Split, where: Column | None = None) -> list[Column]:
         F.sum(pick(C("gsc_impressions"))).alias("f_impressions"),
         F.sum(pick(C("gsc_clicks"))).alias("f_clicks"),
         weighted_position(where).alias("f_pos"),
-        F.count_distinct(pick(F.when(active, C("report_date")))).alias("f_days_with_impressions"),
+        distinct_days(split, active if where is None else where & active).alias("f_days_with_impressions"),
         F.stddev_samp(pick(F.when(active, C("gsc_avg_position")))).alias("f_pos_volatility"),
         (
             weighted_position(C(split.period) == split.last) - weighted_position(C(split.period) == split.first)
@@ -182,6 +205,12 @@ def last_day(fact: DataFrame, date: str = "report_date") -> DataFrame:
     return fact.agg(F.max(date).alias("end_d"))
 
 
+def latest_day(fact: DataFrame, date: str = "report_date") -> dt.date:
+    """The newest day as a value: one row, fetched so that the range that
+    depends on it can prune partitions and row groups."""
+    return last_day(fact, date).first()["end_d"]
+
+
 def in_last_days(fact: DataFrame, days: int, end: dt.date | None = None) -> DataFrame:
     """Rows of the last ``days`` days, with the anchor as ``end_d``.
 

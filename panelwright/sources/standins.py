@@ -30,13 +30,13 @@ def fact_daily(spark: SparkSession, sf: str, start: str | None = None, end: str
         li = li.where(C("l_shipdate") < F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
     q, disc, price = C("l_quantity"), C("l_discount"), C("l_extendedprice")
     clicks = F.when(C("l_returnflag") == "R", F.floor(q * disc * 5)).otherwise(F.floor(q * disc))
-    line = C("l_linenumber")
+    line, year = C("l_linenumber"), F.year("l_shipdate").cast("string")
     return li.select(
         C("l_partkey").cast("string").alias("content_hash_id"),
         C("l_suppkey").cast("string").alias("query_hash_id"),
         C("l_shipdate").cast("date").alias("report_date"),
-        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
-        F.date_format("l_shipdate", "yyyy").alias("year"),
+        F.concat_ws("-", year, F.lpad(F.month("l_shipdate").cast("string"), 2, "0")).alias("month"),
+        year.alias("year"),
         q.cast("bigint").alias("gsc_impressions"),
         clicks.cast("bigint").alias("gsc_clicks"),
         (price / 100).alias("gsc_sum_position"),
@@ -83,13 +83,17 @@ def dim_clients(spark: SparkSession, sf: str) -> DataFrame:
 def query_fact(spark: SparkSession, sf: str) -> DataFrame:
     """(item, query) grain with per-item context repeated on every row."""
     li = table(spark, sf, "lineitem")
-    pair = li.groupBy("l_partkey", "l_suppkey").agg(F.sum(C("l_quantity").cast("bigint")).alias("impressions_90d"))
-    item = li.groupBy("l_partkey").agg(
-        F.sum(C("l_quantity").cast("bigint")).alias("content_total"),
-        F.sum(F.when(C("l_returnflag") == "N", C("l_quantity").cast("bigint")).otherwise(0)).alias("rare"),
-        F.sum(F.when(C("l_linestatus") == "O", C("l_quantity").cast("bigint")).otherwise(0)).alias("anon"),
+    q = C("l_quantity").cast("bigint")
+    pair = li.groupBy("l_partkey", "l_suppkey").agg(
+        F.sum(q).alias("impressions_90d"),
+        F.sum(F.when(C("l_returnflag") == "N", q).otherwise(0)).alias("rare"),
+        F.sum(F.when(C("l_linestatus") == "O", q).otherwise(0)).alias("anon"),
+    )
+    # Item totals come from the pairs, not from a second pass over the lines.
+    item = pair.groupBy("l_partkey").agg(
+        F.sum("impressions_90d").alias("content_total"), F.sum("rare").alias("rare"), F.sum("anon").alias("anon")
     )
-    return pair.join(item, "l_partkey").select(
+    return pair.drop("rare", "anon").join(item, "l_partkey").select(
         C("l_partkey").cast("string").alias("content_hash_id"),
         C("l_suppkey").cast("string").alias("query_hash_id"),
         "impressions_90d",
@@ -99,9 +103,12 @@ def query_fact(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def events_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Event rows as a 30-day panel: one impression per event."""
+def events_daily(spark: SparkSession, sf: str, after: dt.date | None = None) -> DataFrame:
+    """Event rows as a 30-day panel: one impression per event. ``after`` keeps
+    later days only and reaches the scan as a pushed filter."""
     e = table(spark, sf, "events")
+    if after is not None:
+        e = e.where(C("ts") >= F.lit(after + dt.timedelta(days=1)).cast("timestamp_ntz"))
     return e.select(
         C("user_id").cast("string").alias("content_hash_id"),
         C("ts").cast("date").alias("report_date"),
