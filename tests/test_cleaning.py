@@ -99,7 +99,7 @@ def test_monthly_windows_one_pass_equals_join(spark):
         F.count_distinct("report_date").alias("d")
     )
     both = one.join(plain, "content_hash_id")
-    assert both.count() > 30 and both.where("d <> f_days_with_impressions").count() == 0
+    assert both.count() > 15 and both.where("d <> f_days_with_impressions").count() == 0
 
 
 def test_contract_and_name_checks(spark):
