@@ -30,12 +30,12 @@ def percentile_rank_avg(spark, sf):
 @case(
     "minmax_normalize",
     """SELECT o_orderkey, ROUND((o_totalprice - MIN(o_totalprice) OVER ()) / (MAX(o_totalprice) OVER () - MIN(o_totalprice) OVER ()) + 1e-9, 6) AS scaled,
-    0.0::DOUBLE AS flat FROM orders""",
+    ROUND(0.0::DOUBLE + 1e-9, 6) AS flat FROM orders""",
 )
 def minmax_normalize(spark, sf):
     orders = standins.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.lit(7.0).alias("seven"))
     scaled = O.minmax_normalize(O.minmax_normalize(orders, "o_totalprice", "scaled"), "seven", "flat")
-    return r6(scaled.select("o_orderkey", "scaled")).join(scaled.select("o_orderkey", "flat"), "o_orderkey")
+    return r6(scaled.select("o_orderkey", "scaled", "flat"))
 
 
 @case(

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelwright.operators.ordering import exact_quantiles
+from panelwright.operators.ordering import exact_medians
 
 C = F.col
 
@@ -95,15 +95,6 @@ def future_dated_row(frame: DataFrame, days: str, features: Sequence[str]) -> Da
 BASE_RATE_BAND, MIN_PRECISION, MAX_DRIFT = (0.45, 0.65), 0.65, 0.25
 
 
-def medians(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-    """One row with the exact median of each column."""
-    out = None
-    for c in columns:
-        m = exact_quantiles(frame, c, {f"{prefix}{c}": 0.5})
-        out = m if out is None else out.crossJoin(F.broadcast(m))
-    return out
-
-
 def drift_triggers(
     train: DataFrame, now: DataFrame, queue: DataFrame, label: str, columns: Sequence[str]
 ) -> DataFrame:
@@ -111,8 +102,8 @@ def drift_triggers(
     facts = now.agg(F.avg(label).alias("base_rate")).crossJoin(
         F.broadcast(queue.agg(F.avg(label).alias("queue_precision")))
     )
-    facts = facts.crossJoin(F.broadcast(medians(train, columns, "was_"))).crossJoin(
-        F.broadcast(medians(now, columns, "now_"))
+    facts = facts.crossJoin(F.broadcast(exact_medians(train, columns, "was_"))).crossJoin(
+        F.broadcast(exact_medians(now, columns, "now_"))
     )
     low, high = BASE_RATE_BAND
     rows = [

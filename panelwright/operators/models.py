@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelwright.functions.cleaning import UNKNOWN, has_flag
 from panelwright.operators.metrics import ranking_quality
-from panelwright.operators.ordering import exact_quantiles, hashed_row_number, sample_n, union_all
+from panelwright.operators.ordering import exact_medians, hashed_row_number, sample_n, union_all
 from panelwright.operators.splits import class_weights
 from panelwright.session import scratch_path
 from panelwright.sources.tables import materialize
@@ -109,12 +109,10 @@ def pool_rare(df: DataFrame, train: DataFrame, column: str, floor: int = RARE_RO
 
 
 def impute_median(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls become the exact median of the training rows (one-row side tables)."""
-    out = df
-    for c in columns:
-        side = exact_quantiles(train, c, {"__med": 0.5})
-        out = out.crossJoin(F.broadcast(side)).withColumn(c, F.coalesce(C(c).cast("double"), C("__med"))).drop("__med")
-    return out
+    """Nulls become the exact median of the training rows (a one-row side table)."""
+    sides = df.crossJoin(F.broadcast(exact_medians(train, columns, "__med_")))
+    filled = {c: F.coalesce(C(c).cast("double"), C(f"__med_{c}")) for c in columns}
+    return sides.withColumns(filled).drop(*[f"__med_{c}" for c in columns])
 
 
 def standard_scale(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:

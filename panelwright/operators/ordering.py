@@ -122,6 +122,14 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
     return kept.groupBy(*by).agg(*points)
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """One row with the exact median of every listed column, in two passes over
+    the table whatever the number of columns: the columns become groups."""
+    long = df.select(*[C(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "__column", "__value")
+    per = exact_median(long, "__value", "__median", by=["__column"])
+    return per.agg(*[F.max(F.when(C("__column") == c, C("__median"))).alias(f"{prefix}{c}") for c in columns])
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -277,10 +285,14 @@ def quantile_bins(df: DataFrame, value: str, n: int, name: str) -> DataFrame:
 
 def attach_group_median(df: DataFrame, group: str, values: Mapping[str, str]) -> DataFrame:
     """Add each row's group median per (output name -> column)."""
-    out = df
-    for name, value in values.items():      # always from df: plans stay independent
-        out = out.join(exact_median(df, value, name, by=[group]), group, "left")
-    return out
+    long = df.select(group, *[C(v).cast("double").alias(n) for n, v in values.items()]).unpivot(
+        [group], list(values), "__column", "__value"
+    )
+    per = exact_median(long, "__value", "__median", by=[group, "__column"])
+    wide = per.groupBy(group).agg(
+        *[F.max(F.when(C("__column") == n, C("__median"))).alias(n) for n in values]
+    )
+    return df.join(wide, group, "left")
 
 
 def sample_n(df: DataFrame, tie: str, n: int, seed: int | str) -> DataFrame:

@@ -67,7 +67,7 @@ def client_holdout(
     sides = by_group.groupBy("split").agg(F.count_distinct(label).alias("classes"))
     ok = sides.agg(((F.count(F.lit(1)) == 2) & (F.min("classes") == 2)).alias("__ok"))
     enough = df.agg((F.count_distinct(group) >= min_groups).alias("__enough"))
-    decision = ok.crossJoin(enough).select((C("__ok") & C("__enough")).alias("__use"))
+    decision = ok.crossJoin(F.broadcast(enough)).select((C("__ok") & C("__enough")).alias("__use"))
 
     rows = stratified_split(df, label, tie, fraction, seed).select(tie, C("split").alias("__row_split"))
     both = by_group.join(rows, tie).crossJoin(F.broadcast(decision))
