@@ -7,7 +7,6 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwright.functions import rules
 from panelwright.operators.metrics import score_table
 from panelwright.plans import scoring
 from panelwright.plans.windows import YEAR_SPLITS, Split, modeling_frame
@@ -105,7 +104,7 @@ def stand_in_probability():
 
 @stored("baseline")
 def baseline(spark, sf) -> DataFrame:
-    return scoring.baseline_scores(prepared(spark, sf)).withColumn("reason_codes", rules.page_reason_text())
+    return scoring.with_baseline_codes(scoring.baseline_scores(prepared(spark, sf)))
 
 
 def predictions(spark, sf) -> DataFrame:

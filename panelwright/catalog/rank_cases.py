@@ -44,8 +44,8 @@ def minmax_normalize(spark, sf):
     FROM baseline""",
 )
 def rank_first_desc(spark, sf):
-    rounded = I.baseline(spark, sf).select("content_id", F.round("baseline_refresh_score", 9).alias("score"))
-    return O.global_row_number(rounded, [("score", True)], "content_id", "baseline_rank").select("content_id", "baseline_rank")
+    rounded = I.baseline(spark, sf).select("content_id", F.round("baseline_refresh_score", 9).alias("baseline_refresh_score"))
+    return scoring.baseline_queue(rounded).select("content_id", "baseline_rank")
 
 
 @case(

@@ -6,15 +6,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.functions.cleaning import UNKNOWN, has_flag
 from panelwright.operators.metrics import ranking_quality
@@ -46,6 +48,7 @@ PAGE_CATEGORICAL = [
 POOLED = "infrequent"
 RARE_ROWS = 50
 SEED = 20260808
+PARALLEL_FITS = 4
 
 
 @dataclass(frozen=True)
@@ -199,6 +202,13 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
 
 # ---- evaluation jobs -----------------------------------------------------------
 
+def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], object]], workers: int = PARALLEL_FITS) -> list:
+    """Run independent fits side by side: each is a chain of small Spark jobs
+    that leaves most of the cluster idle on its own."""
+    with ThreadPool(min(workers, len(jobs))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs)
+
+
 def out_of_fold(folded: DataFrame, specs: Sequence[Spec], k: int, keep: Sequence[str] = ()) -> DataFrame:
     """One prediction per (id, model), each from a model that never saw its fold.
 
@@ -206,13 +216,14 @@ def out_of_fold(folded: DataFrame, specs: Sequence[Spec], k: int, keep: Sequence
     the other k-1. The union is keyed by id, so row order never matters.
     """
     stored = materialize(folded, scratch_path(folded.sparkSession, "folds"))
-    parts = []
-    for spec in specs:
-        for f in range(k):
-            fitted = fit(stored.where(C("fold") != f), spec)
-            test = stored.where(C("fold") == f)
-            parts.append(fitted.predict(test, "score", ["fold", spec.label, *keep]).withColumn("model", F.lit(spec.name)))
-    return union_all(parts)
+
+    def one(spec: Spec, f: int) -> DataFrame:
+        fitted = fit(stored.where(C("fold") != f), spec)
+        test = stored.where(C("fold") == f)
+        return fitted.predict(test, "score", ["fold", spec.label, *keep]).withColumn("model", F.lit(spec.name))
+
+    jobs = [partial(one, spec, f) for spec in specs for f in range(k)]
+    return union_all(in_parallel(folded.sparkSession, jobs))
 
 
 def as_scores(predictions: DataFrame, key: str, group: str, label: str) -> DataFrame:
@@ -224,8 +235,9 @@ def as_scores(predictions: DataFrame, key: str, group: str, label: str) -> DataF
 def fit_all_score_all(df: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     """Refit every model on all rows and attach its in-sample probability."""
     out = df.select(specs[0].key)
-    for spec in specs:
-        out = out.join(fit(df, spec).predict(df, f"prob_{spec.name}"), spec.key)
+    fits = in_parallel(df.sparkSession, [partial(fit, df, spec) for spec in specs])
+    for spec, fitted in zip(specs, fits):
+        out = out.join(fitted.predict(df, f"prob_{spec.name}"), spec.key)
     return out
 
 

@@ -19,6 +19,11 @@ C = F.col
 ACCURACY = 10_000          # rank error of percentile_approx is at most n / ACCURACY
 
 
+def _doubles(values: Sequence[float]) -> Column:
+    """Literal array of doubles, built in one call."""
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+
+
 def _with_side(df: DataFrame, side: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach a per-group table: a one-row table is broadcast, a keyed one is
     left to the planner, which measures it first."""
@@ -47,7 +52,7 @@ def exact_quantiles(
     cuts = [min(max(p + s, 0.0), 1.0) for p in ps for s in (-margin, margin)]
 
     rows = df.select(*by, C(value).cast("double").alias("__v")).where(C("__v").isNotNull())
-    edges = F.percentile_approx("__v", F.array(*[F.lit(c) for c in cuts]), F.lit(ACCURACY)).alias("__e")
+    edges = F.percentile_approx("__v", _doubles(cuts), F.lit(ACCURACY)).alias("__e")
     sizes = rows.groupBy(*by).agg(F.count("__v").alias("__n"), edges)
 
     def slot(i: int) -> Column:
@@ -65,7 +70,7 @@ def exact_quantiles(
     upto = Window.partitionBy(*by, "__i").orderBy(C("__v").asc_nulls_first())
     ranked = histogram.withColumn("__cum", F.sum("__c").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
 
-    position = F.element_at(F.array(*[F.lit(p) for p in ps]), C("__i") + 1) * (C("__n") - 1)
+    position = F.element_at(_doubles(ps), C("__i") + 1) * (C("__n") - 1)
     below, above = F.floor(position), F.ceil(position)
     stat = lambda k: F.min(F.when(C("__cum") > k, F.struct("__cum", C("__v").alias("v"))))["v"]
     picked = ranked.withColumns({"__pos": position, "__lo": below, "__hi": above}).groupBy(*by, "__i").agg(
@@ -114,7 +119,7 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
         uniform * C("__n") < wanted
     )
     points = [
-        F.array_distinct(F.percentile(C(c).cast("double"), F.array(*[F.lit(i / n) for i in range(1, n)]))).alias(
+        F.array_distinct(F.percentile(C(c).cast("double"), _doubles([i / n for i in range(1, n)]))).alias(
             f"__e{i}"
         )
         for i, (c, n) in enumerate(columns.items())

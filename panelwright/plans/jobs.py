@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.functions import rules
 from panelwright.operators.metrics import best_model, metric_comparison, score_table
-from panelwright.operators.models import Spec, fit, fit_all_score_all
+from panelwright.operators.models import Spec, fit, fit_all_score_all, in_parallel
 from panelwright.operators.ordering import union_all
 from panelwright.operators.splits import client_holdout
 from panelwright.plans import scoring
@@ -46,8 +47,8 @@ def holdout_metrics(prepared: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     )
     train, test = marked.where("split = 'train'"), marked.where("split = 'test'")
     scores = []
-    for spec in specs:
-        predicted = fit(train, spec).predict(test, "p", ["client_id", "is_declining_label"])
+    for spec, fitted in zip(specs, in_parallel(spark, [partial(fit, train, spec) for spec in specs])):
+        predicted = fitted.predict(test, "p", ["client_id", "is_declining_label"])
         scores.append(score_table(predicted, "content_id", "client_id", "is_declining_label", {spec.name: "p"}))
     stored = materialize(union_all(scores), scratch_path(spark, "holdout-scores"))
     return metric_comparison(stored, [50])
@@ -61,7 +62,7 @@ def refresh_queue_job(pages: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     """
     spark = pages.sparkSession
     prepared = materialize(scoring.prepare_pages(pages), scratch_path(spark, "prepared"))
-    baseline = materialize(scoring.baseline_queue(prepared), scratch_path(spark, "baseline"))
+    baseline = materialize(scoring.with_baseline_codes(scoring.baseline_scores(prepared)), scratch_path(spark, "baseline"))
     chosen = best_model(holdout_metrics(prepared, specs), SELECTION_ORDER).first()["best_model"]
     predictions = materialize(fit_all_score_all(prepared, specs), scratch_path(spark, "predictions"))
     predictions = predictions.withColumns(
