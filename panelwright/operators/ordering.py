@@ -109,13 +109,15 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
     same however tasks are scheduled or retried. Rows are therefore sampled by
     a hash of their unique value (about 20 rows per bucket, at least 2,000),
     and the quantiles of that bounded sample are exact; an approximate sketch
-    would depend on the order in which partial results arrive.
+    would depend on the order in which partial results arrive. Groups no larger
+    than the sample need no cut points and get no row here: read them through
+    ``_with_cuts``.
     """
     by = list(by)
     wanted = max(2_000, 20 * max(columns.values()))
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     uniform = F.pmod(F.xxhash64(C(unique)), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    kept = _with_side(df.select(*by, *dict.fromkeys([*columns, unique])), sizes, by).where(
+    kept = _with_side(df.select(*by, *dict.fromkeys([*columns, unique])), sizes.where(C("__n") > wanted), by).where(
         uniform * C("__n") < wanted
     )
     points = [
@@ -127,6 +129,13 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
     return kept.groupBy(*by).agg(*points)
 
 
+def _with_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """Attach cut points; rows of small groups get empty arrays, i.e. one bucket."""
+    joined = df.join(cuts, list(by), "left") if by else df.crossJoin(F.broadcast(cuts))
+    none = F.array().cast("array<double>")
+    return joined.withColumns({f"__e{i}": F.coalesce(C(f"__e{i}"), none) for i in range(n)})
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
     """One row with the exact median of every listed column, in two passes over
     the table whatever the number of columns: the columns become groups."""
@@ -149,8 +158,8 @@ def running_totals(
     the buckets before it are added back.
     """
     by = list(by)
-    # Cut points are narrow rows, one per group; the planner sizes that join.
-    cut = _with_side(df, _cut_points(df, {order: bucket_count(df)}, order, by), by)
+    # Cut points exist for large groups only; the planner sizes that join.
+    cut = _with_cuts(df, _cut_points(df, {order: bucket_count(df)}, order, by), by, 1)
     cut = cut.withColumn("__b", _edges_before("__e0", order, descending)).drop("__e0")
 
     totals = cut.groupBy(*by, "__b").agg(*[F.sum(src).alias(f"__t_{out}") for out, src in sums.items()])
@@ -202,7 +211,7 @@ def global_row_number(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str,
     cols = [k for k, _ in keys]
     sizes = {c: bucket_count(df) if i == 0 else 8 for i, c in enumerate(cols)}
     edges = _cut_points(df, sizes, tie)
-    cut = df.crossJoin(F.broadcast(edges)).withColumn("__h", F.md5(C(tie).cast("string")))
+    cut = _with_cuts(df, edges, [], len(cols)).withColumn("__h", F.md5(C(tie).cast("string")))
 
     path, live = {}, F.lit(True)
     for i, (c, desc) in enumerate(keys):

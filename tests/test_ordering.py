@@ -74,6 +74,18 @@ def test_running_totals(skewed, by, descending):
     assert both.count() == counts.count() and both.where("got <> want").count() == 0
 
 
+def test_running_totals_of_many_small_groups(spark):
+    """Small groups carry no cut points; one large group among them does."""
+    df = spark.range(9000).select(
+        F.when(C("id") < 6000, "big").otherwise((C("id") % 700).cast("string")).alias("g"),
+        C("id").cast("double").alias("v"), F.lit(1).alias("n"),
+    )
+    assert [r["g"] for r in O._cut_points(df, {"v": 16}, "v", ["g"]).collect()] == ["big"]
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    got = O.running_totals(df, "v", {"got": "n"}, ["g"]).withColumn("want", F.sum("n").over(w))
+    assert got.count() == 9000 and got.where("got <> want").count() == 0
+
+
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_hashed_row_number(skewed, by):
     w = Window.partitionBy(*(by or [F.lit(1)])).orderBy(F.md5(F.concat(F.lit("3:"), C("id"))), "id")
