@@ -205,8 +205,10 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
 def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], object]], workers: int = PARALLEL_FITS) -> list:
     """Run independent fits side by side: each is a chain of small Spark jobs
     that leaves most of the cluster idle on its own."""
+    call = lambda job: job()
+    wrap = inheritable_thread_target(spark)         # not callable when threads are not pinned
     with ThreadPool(min(workers, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs)
+        return pool.map(wrap(call) if callable(wrap) else call, jobs)
 
 
 def out_of_fold(folded: DataFrame, specs: Sequence[Spec], k: int, keep: Sequence[str] = ()) -> DataFrame:
