@@ -14,12 +14,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SPAN = 10      # words of a window: every shared run of so many words is found
 GRAM = 4       # words of a fingerprint
-BLOCK = 512    # words handled at once; neighbouring blocks overlap by a window less one word
+BLOCK = 128    # words handled at once; neighbouring blocks overlap by a window less one word (256 at most with it)
 
 
 def words(text: Column) -> Column:
     """Words of a text; null has none. Only A-Z are lower-cased."""
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS), lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(text) == F.length(text)
+    low = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(low, SEPARATORS), "")
 
 
 def blocks(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
@@ -27,52 +30,37 @@ def blocks(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
 
     Long texts become many rows, so that what follows never copies a whole text per fingerprint.
     """
-    n = F.size("__words")
-    starts = F.sequence(F.lit(0), F.greatest(n - span, F.lit(0)), F.lit(BLOCK))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("__words") - span, F.lit(0)), F.lit(BLOCK))
     cut = F.transform(starts, lambda s: F.struct(s.alias("at"), F.slice("__words", s + 1, BLOCK + span - 1).alias("words")))
-    return (
-        rows.where(n > 0).select(*keys, F.explode(cut).alias("__b"))
-        .select(*keys, F.col("__b.at").alias("__at"), F.col("__b.words").alias("__words"))
+    return rows.select(*keys, F.explode(cut).alias("__b")).select(
+        *keys, F.col("__b.at").alias("__at"), F.col("__b.words").alias("__words")
     )
 
 
-def hashed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("__hash", F.transform("__words", lambda w: F.xxhash64(w)))
-
-
-def grams(length: int) -> Column:
-    """Hash of the ``length`` words from each position of ``__hash`` on."""
-    last = F.size("__hash") - length
-    return F.when(last < 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                    lambda i: F.xxhash64(*[F.get("__hash", i + j) for j in range(length)]))
-    )
+def places(count: Column) -> Column:
+    return F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
 def winnowed(rows: DataFrame, span: int, gram: int) -> DataFrame:
     """Adds ``__p`` and ``__f``: the smallest hash of each ``span - gram + 1`` neighbouring grams, and its place.
 
     Equal windows keep the same gram wherever they stand, so two texts that share ``span`` words share a kept one.
+    Hash and place travel in one long, the place in its low byte: of equal hashes the first is the smallest.
     """
-    rows = rows.withColumn("__gram", grams(gram))
-    width = span - gram + 1
-    if width == 1:
-        picked = F.transform("__gram", lambda g, i: F.struct(i.alias("p"), g.alias("f")))
-    else:
-        # Of equal hashes in a window the first is kept, in every text alike.
-        pairs = F.transform("__gram", lambda g, i: F.struct(g.alias("f"), i.alias("p")))
-        rows = rows.withColumn("__gram", pairs)
-        last = F.size("__gram") - width
-        picked = F.when(last < 0, F.array().cast("array<struct<p:int,f:bigint>>")).otherwise(
-            F.transform(
-                F.array_distinct(F.transform(
-                    F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                    lambda i: F.least(*[F.get("__gram", i + j) for j in range(width)]))),
-                lambda g: F.struct(g["p"].alias("p"), g["f"].alias("f")),
-            )
-        )
-    return rows.withColumn("__k", F.explode(picked)).select(
-        *[c for c in rows.columns if c not in ("__gram", "__hash")], F.col("__k.p").alias("__p"), F.col("__k.f").alias("__f")
+    n, width = F.size("__words"), span - gram + 1
+    packed = F.transform(
+        places(n - (gram - 1)),
+        lambda i: F.xxhash64(*[F.get("__words", i + j) for j in range(gram)]).bitwiseAND(F.lit(~255)).bitwiseOR(i),
+    )
+    rows = rows.withColumn("__gram", packed)
+    picked = F.col("__gram")
+    if width > 1:
+        picked = F.array_distinct(F.transform(
+            places(n - (span - 1)), lambda i: F.least(*[F.get("__gram", i + j) for j in range(width)])))
+    return (
+        rows.withColumn("__k", F.explode(picked)).drop("__gram")
+        .withColumn("__p", F.col("__k").bitwiseAND(F.lit(255)).cast("int"))
+        .withColumn("__f", F.col("__k").bitwiseAND(F.lit(~255))).drop("__k")
     )
 
 
@@ -85,11 +73,11 @@ def around(place: Column, span: int, gram: int) -> Column:
 def hits_of_length(docs: DataFrame, items: DataFrame, span: int, gram: int) -> DataFrame:
     """Document windows of ``span`` words that equal an item's: ``__row``, ``doc_id``, ``item_id``, first word, length."""
     keep = ["item_id", "__f"]
-    index = winnowed(hashed(blocks(items, ["item_id"], span)), span, gram).select(
+    index = winnowed(blocks(items, ["item_id"], span), span, gram).select(
         *keep, F.least("__p", F.lit(span - gram)).alias("__ileft"), around(F.col("__p"), span, gram).alias("__iwords")
     )
     index = bounded(saved(index.distinct(), "fingerprints"))
-    marks = winnowed(hashed(blocks(docs, ["doc_id", "__row"], span)), span, gram)
+    marks = winnowed(blocks(docs, ["doc_id", "__row"], span), span, gram)
     met = marks.join(index, "__f").select(
         "doc_id", "__row", "item_id", "__at", "__p", "__ileft", "__iwords",
         F.least("__p", F.lit(span - gram)).alias("__left"), around(F.col("__p"), span, gram).alias("__dwords"),
