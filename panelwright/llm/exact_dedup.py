@@ -40,6 +40,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     members = docs.withColumn("__h", digest(F.col("__text"))).join(groups, "__h")
     first = members.where(F.col("__id") == F.col("__first")).groupBy("__h").agg(F.min("__text").alias("__want"))
+    first = saved(first, "first_texts")      # written, so that Spark can split a large group when it meets its text
     others = members.join(first, "__h").where(F.col("__text") != F.col("__want"))
     # Rows of a group whose text is not the first one: none, unless two texts share a hash.
     strays = saved(others.groupBy("__h", "__text").agg(F.min("__id").alias("__own"), F.count("*").alias("__m"))

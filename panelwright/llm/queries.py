@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, exact_dedup, mixing
+from panelwright.llm import decontaminate, exact_dedup, language, mixing, secret_scan, set_join, token_files, toxicity
 from panelwright.llm.common import table
+from panelwright.session import scratch_path
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,17 +15,44 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "position")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("row_hash")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token_files")
+    token_files.write_token_files(
+        table(spark, sf_dir, "documents"), path, str(public_tokenizers.path("byte_bpe_50k.json")))
+    return token_files.token_index(token_files.read_token_files(spark, path))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_near_duplicates, op3_decontaminate, op4_toxicity, op5_token_files, op6_secrets, op7_language, op9_exact_dedup,
+)}
 
 SQL: dict[str, str] = {
     "op9_exact_dedup": r"""
