@@ -25,7 +25,7 @@ SWAP, STRAY, REPEAT = -1.0, -2.0, -0.7
 CLASSES = 28             # boundary, a to z, any other letter
 SAMPLE_DOCS = 10_000     # bound of the labelled rows that the classifier is fitted on
 KEPT_TOKENS = 300_000    # tokens whose evidence a worker remembers
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_DOCS, LEAST_LIFT, LEAST_G2 = 5, 2.5, 30.0
 SPACED = re.compile(r"(?<!\S)(?:\S[^\S\n]){2,}\S(?!\S)")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
@@ -127,6 +127,10 @@ class ToxicityModel:
     characters: np.ndarray
     evidence: dict[str, float]
     base: float
+    slope: float = 1.0
+
+    def probability(self, found: dict[str, float]) -> float:
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + self.slope * sum(found.values())))))
 
     def of_token(self, token: str) -> dict[str, float]:
         """The strongest feature of each restored word."""
@@ -160,6 +164,7 @@ def fit(labelled: DataFrame, characters: np.ndarray) -> ToxicityModel:
     """
     rows = labelled.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("h")).agg(
         F.min_by("text", "doc_id").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
+    rows = saved(rows, "labelled_texts")
     shared = labelled.sparkSession.sparkContext.broadcast(characters)
     python_batches(labelled.sparkSession)
 
@@ -197,11 +202,32 @@ def fit(labelled: DataFrame, characters: np.ndarray) -> ToxicityModel:
         g2 = 2 * sum(x * math.log(x / e) for x, e in ((a, t * share), (b, c * share)) if x)
         if r["feature"] and lift >= LEAST_LIFT and g2 >= LEAST_G2:
             evidence[r["feature"]] = lift
-    return ToxicityModel(characters, evidence, math.log(t / c) - 2.2)
+    model = ToxicityModel(characters, evidence, 0.0)
+    sums = weigh(rows, model, ["toxic"], lambda m, found: sum(found.values()), "evidence").toPandas()
+    model.base, model.slope = calibrated(sums["evidence"].to_numpy(np.float64), sums["toxic"].to_numpy(np.float64))
+    return model
+
+
+def calibrated(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
+    """Intercept and slope of a ridge logistic regression on one variable, by Newton's method."""
+    a = np.column_stack([np.ones_like(x), x])
+    w = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + ridge * np.eye(2), a.T @ (y - p) - ridge * w)
+        w += np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(w[0]), float(w[1])
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """Columns of ``keep`` and ``score`` (0 to 1) of every row, from its whole restored text; null texts are empty."""
+    return weigh(docs, model, keep, ToxicityModel.probability, "score")
+
+
+def weigh(docs: DataFrame, model: ToxicityModel, keep: list[str], number, name: str) -> DataFrame:
+    """``number`` of the model and the features that a text holds, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     python_batches(docs.sparkSession)
 
@@ -220,13 +246,13 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
                     e = known[t] = model.of_token(t) or None
                 if e:
                     found.update(e)
-            return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.base + sum(found.values())))))
+            return float(number(model, found))
 
         for batch in batches:
-            scores = pa.array([one(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], [*keep, "score"])
+            numbers = pa.array([one(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], numbers], [*keep, name])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + f", {name} double"
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
