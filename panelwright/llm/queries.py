@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, exact_dedup, language, mixing, secret_scan, set_join, token_files, toxicity
+from panelwright.llm import decontaminate, exact_dedup, language, main_text, mixing, secret_scan, set_join, token_files, tool_calls, toxicity
 from panelwright.llm.common import table
 from panelwright.session import scratch_path
 
@@ -50,9 +50,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_near_duplicates, op3_decontaminate, op4_toxicity, op5_token_files, op6_secrets, op7_language, op9_exact_dedup,
-)}
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = tool_calls.as_tool_messages(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked_messages(messages, {"reply": tool_calls.REPLY_SCHEMA})
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_mix_sources, op2_near_duplicates, op3_decontaminate, op4_toxicity, op5_token_files, op6_secrets, op7_language,
+        op8_main_text, op9_exact_dedup, op10_tool_calls,
+    )
+}
 
 SQL: dict[str, str] = {
     "op9_exact_dedup": r"""
@@ -61,5 +73,30 @@ WITH n AS (
 ), g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.body) AS text_sha256
 FROM n JOIN g ON n.body = g.body
+""",
+    "op10_tool_calls": """
+WITH m AS (
+    SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+        CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END AS asked
+    FROM conversations
+), k AS (SELECT *, CASE WHEN asked IS NOT NULL THEN conv_id || ':' || asked END AS call_id FROM m),
+e AS (
+    SELECT call_id, min(turn) FILTER (WHERE kind = 'call') AS call_turn,
+        min(text IS NOT NULL) FILTER (WHERE kind = 'call') AS good, min(turn) FILTER (WHERE kind = 'result') AS result_turn
+    FROM k WHERE call_id IS NOT NULL GROUP BY call_id
+), j AS (
+    SELECT k.*, coalesce(call_turn IS NOT NULL AND result_turn IS NOT NULL
+        AND turn = CASE kind WHEN 'call' THEN call_turn WHEN 'result' THEN result_turn END, false) AS linked, good
+    FROM k LEFT JOIN e USING (call_id)
+)
+SELECT conv_id, turn, kind, call_id, linked,
+    CASE WHEN kind = 'call' THEN text IS NOT NULL WHEN kind = 'result' AND linked THEN good END AS valid,
+    turn AS place, 0 AS step,
+    CASE kind
+        WHEN 'call' THEN '{"arguments":{"chars":' || length(text) || ',"prompt":' || to_json(text) || '},"id":"' || call_id
+            || '","name":"reply","role":"call"}'
+        WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || call_id || '","role":"result"}'
+        ELSE '{"content":' || to_json(text) || ',"role":"message"}' END AS line
+FROM j
 """,
 }
