@@ -244,7 +244,7 @@ def grouped_mean(spark, sf):
 
 @case("grouped_median", f"WITH {DIM}, {PAGES} SELECT trend_direction, {rnd('quantile_cont(ctr, 0.5) AS median_ctr')} FROM pages_raw WHERE ctr IS NOT NULL GROUP BY 1")
 def grouped_median(spark, sf):
-    return r6(exact_median(I.pages(spark, sf), "ctr", "median_ctr", by=["trend_direction"]))
+    return r6(exact_median(I.pages(spark, sf), "ctr", "median_ctr", by=["trend_direction"], few=True))
 
 
 @case(
@@ -257,7 +257,7 @@ def grouped_multi_agg(spark, sf):
     stats = pages.groupBy("trend_direction").agg(
         F.avg("content_age_days").alias("mean_age"), F.count("content_age_days").alias("n")
     )
-    return r6(stats.join(exact_median(pages, "content_age_days", "median_age", by=["trend_direction"]), "trend_direction"))
+    return r6(stats.join(exact_median(pages, "content_age_days", "median_age", by=["trend_direction"], few=True), "trend_direction"))
 
 
 @case(
@@ -563,7 +563,7 @@ def feature_frame_single_month(spark, sf):
     f"""WITH {FACT}, w AS (SELECT MAX(report_date) FILTER (WHERE year IN ('1997','1998','1999')) AS feature_end,
       MIN(report_date) FILTER (WHERE year = '2000') AS outcome_start, MAX(report_date) FILTER (WHERE year = '2000') AS outcome_end,
       MIN(report_date) FILTER (WHERE year = '2001') AS query_start FROM fact)
-    SELECT *, feature_end < outcome_start AND outcome_end < query_start AS ok FROM w""",
+    SELECT *, COALESCE(feature_end < outcome_start AND outcome_end < query_start, false) AS ok FROM w""",
 )
 def window_disjoint_check(spark, sf):
     day = lambda agg, *years: agg(F.when(C("year").isin(*years), C("report_date")))
@@ -571,7 +571,8 @@ def window_disjoint_check(spark, sf):
         day(F.max, "1997", "1998", "1999").alias("feature_end"), day(F.min, "2000").alias("outcome_start"),
         day(F.max, "2000").alias("outcome_end"), day(F.min, "2001").alias("query_start"),
     )
-    return w.withColumn("ok", (C("feature_end") < C("outcome_start")) & (C("outcome_end") < C("query_start")))
+    ok = (C("feature_end") < C("outcome_start")) & (C("outcome_end") < C("query_start"))
+    return w.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
 @case(

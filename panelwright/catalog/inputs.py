@@ -17,10 +17,10 @@ C = F.col
 VISIBLE = 250            # stand-in scale of the 1,000-impression visibility rule
 CLIENT_FLOOR = 30        # stand-in scale of the 300-page client floor
 SINGLE = Split("single", ("2000",), "2001", "year")
-KS = [10, 50, 100, 500, 1000]
+KS = [10, 50, 100, 500, 1000, 5000]
 
 
-def _store(spark: SparkSession, sf: str, name: str) -> str:
+def store_path(spark: SparkSession, sf: str, name: str) -> str:
     """Where a derived table of this session and data folder is kept."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/panelwright/{app}-{zlib.crc32(sf.encode()):08x}/{name}"
@@ -36,7 +36,7 @@ def stored(name: str):
     def wrap(build):
         @functools.wraps(build)
         def read(spark: SparkSession, sf: str, *args) -> DataFrame:
-            path = _store(spark, sf, "-".join([name, *map(str, args)]))
+            path = store_path(spark, sf, "-".join([name, *map(str, args)]))
             if not tables.path_exists(spark, f"{path}/_SUCCESS"):
                 return tables.materialize(build(spark, sf, *args), path)
             return spark.read.parquet(path)
@@ -49,7 +49,8 @@ def stored(name: str):
 def fact(spark: SparkSession, sf: str, split: Split | None = None) -> DataFrame:
     if split is None:
         return standins.fact_daily(spark, sf)
-    return standins.fact_daily(spark, sf, str(split.start_date), str(split.end_date))
+    rows = standins.fact_daily(spark, sf, str(split.start_date), str(split.end_date))
+    return standins.with_clients(rows, spark, sf)
 
 
 def dim(spark, sf):
@@ -135,7 +136,7 @@ def risk_scores(spark, sf, name: str = "dev") -> DataFrame:
 
 def stored_fact(spark, sf) -> str:
     """Root of the fact written once per session, partitioned by month."""
-    root = _store(spark, sf, "fact")
+    root = store_path(spark, sf, "fact")
     if not tables.path_exists(spark, f"{root}/_SUCCESS"):
         tables.write_fact(fact(spark, sf), root, mode="overwrite")
     return root

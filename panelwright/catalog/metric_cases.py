@@ -97,7 +97,7 @@ def classification_report(spark, sf):
     return r6(M.classification_report(I.risk_scores(spark, sf)))
 
 
-CMP_KS = [50, 100, 500]
+CMP_KS = [50, 100, 500, 1000, 5000]
 
 
 @case(
@@ -124,22 +124,6 @@ def random_order_baseline(spark, sf):
     return r6(M.metric_comparison(scores, [50]).select("model", "roc_auc", "p_at_50"))
 
 
-@case(
-    "split_inflation_gap",
-    f"""{both_scored()}, st AS (SELECT content_hash_id AS id, is_position_decline AS label, 'frozen_rule|dev' AS model, baseline_score AS score FROM dev
-      UNION ALL SELECT content_hash_id, is_position_decline, 'frozen_rule|sealed', baseline_score FROM sealed
-      UNION ALL SELECT content_hash_id, is_position_decline, 'variant_rule|dev', variant_score FROM dev
-      UNION ALL SELECT content_hash_id, is_position_decline, 'variant_rule|sealed', variant_score FROM sealed), {quality_sql('model')}, {rank_sql([50])},
-    m AS (SELECT split_part(model, '|', 1) AS model, split_part(model, '|', 2) AS side, roc_auc, p FROM qual JOIN pk USING (model))
-    SELECT a.model, {rnd('a.roc_auc AS a_auc', 'b2.roc_auc AS b_auc', 'b2.roc_auc - a.roc_auc AS auc_gap', 'b2.p - a.p AS p_at_50_gap')}
-    FROM m a JOIN m b2 ON a.model = b2.model AND a.side = 'sealed' AND b2.side = 'dev'""",
-)
-def split_inflation_gap(spark, sf):
-    a = M.metric_comparison(I.scores(spark, sf, "sealed"), [50])
-    b = M.metric_comparison(I.scores(spark, sf, "dev"), [50])
-    return r6(M.inflation_gap(a, b, 50))
-
-
 @case(
     "calibration_deciles",
     f"""{dev_scored()}, {DECILE} SELECT decile, COUNT(*) AS n, {rnd('AVG(risk) AS mean_predicted', 'AVG(is_position_decline) AS actual',
@@ -200,7 +184,7 @@ def queue_value(spark, sf):
     return r6(A.queue_value(scoring.capped_queue(df, "risk"), df, LABEL, "f_impressions"))
 
 
-POLICY_KS = [50, 200, 1000]
+POLICY_KS = [50, 200, 1000, 5000]
 
 
 @case(
@@ -225,35 +209,35 @@ def best_model_select(spark, sf):
     return M.best_model(M.metric_comparison(I.scores(spark, sf), [50]), ["p_at_50", "average_precision", "roc_auc"])
 
 
-CUTS = [0.2, 0.4, 0.6, 0.8]
+CUTS = [0.2, 0.4, 0.6, 0.8, 1.01]
 
 
 @case(
     "threshold_sweep",
     f"""{DEV_RISK}, c AS (SELECT UNNEST({CUTS})::DOUBLE AS cutoff), b AS (SELECT SUM(label) AS pos FROM st)
-    SELECT model, cutoff, COUNT(*) AS captured, {rnd('AVG(label) AS precision', 'SUM(label) / MIN(pos) AS recall')} FROM st, c, b WHERE score >= cutoff GROUP BY 1, 2""",
+    SELECT 'risk' AS model, cutoff, COUNT(id) AS captured, {rnd('AVG(label) AS precision', 'COALESCE(SUM(label), 0) / MIN(pos) AS recall')}
+    FROM b, c LEFT JOIN st ON score >= cutoff GROUP BY 2""",
 )
 def threshold_sweep(spark, sf):
     return r6(M.threshold_sweep(I.risk_scores(spark, sf), CUTS))
 
 
-BOOT = 40
-UNIFORM = "CAST('0x' || substr(md5('7:' || rep || ':' || content_hash_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+BOOT, BOOT_K = 1000, 500
+UNIFORM = "CAST('0x' || substr(md5('7:' || rep || ':' || id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 WEIGHT = " + ".join(f"(u >= {c!r}::DOUBLE)::INT" for c in M.poisson_cdf())
 
 
 @case(
     "bootstrap_metric_ci",
-    f"""{dev_scored()}, r AS (SELECT sliding, is_position_decline AS y, rep, {UNIFORM} AS u FROM scored, (SELECT UNNEST(range(1, {BOOT + 1})) AS rep)),
-    d AS (SELECT rep, SUM(CASE WHEN sliding THEN w * y END)::DOUBLE / SUM(CASE WHEN sliding THEN w END)
-        - SUM(CASE WHEN NOT sliding THEN w * y END)::DOUBLE / SUM(CASE WHEN NOT sliding THEN w END) AS gap
+    f"""{DEV_LONG}, {rank_sql([BOOT_K])},
+    t AS (SELECT id, MAX(label) AS y, MAX((model = 'frozen_rule')::INT) AS a, MAX((model = 'variant_rule')::INT) AS z FROM rk WHERE r <= {BOOT_K} GROUP BY 1),
+    r AS (SELECT y, a, z, rep, {UNIFORM} AS u FROM t, (SELECT UNNEST(range(1, {BOOT + 1})) AS rep)),
+    d AS (SELECT rep, SUM(w * a * y)::DOUBLE / NULLIF(SUM(w * a), 0) - SUM(w * z * y)::DOUBLE / NULLIF(SUM(w * z), 0) AS gap
       FROM (SELECT *, {WEIGHT} AS w FROM r) GROUP BY 1)
     SELECT COUNT(*) AS replicates, {rnd('AVG(gap) AS mean_gap', 'quantile_cont(gap, 0.025) AS low', 'quantile_cont(gap, 0.975) AS high')} FROM d""",
 )
 def bootstrap_metric_ci(spark, sf):
-    sliding = (F.coalesce("f_pos_trend", F.lit(0.0)) >= rules.SLIDE_POSITIONS).cast("int")
-    df = I.frame(spark, sf).withColumn("flag", sliding)
-    return r6(M.bootstrap_gap_ci(df, "flag", LABEL, ID, BOOT, 7))
+    return r6(M.bootstrap_metric_ci(I.scores(spark, sf), ("frozen_rule", "variant_rule"), BOOT_K, BOOT))
 
 
 @case(

@@ -50,11 +50,11 @@ def rank_first_desc(spark, sf):
 
 @case(
     "final_rank",
-    f"""WITH {FINAL} SELECT content_id, ROW_NUMBER() OVER (ORDER BY ROUND(final_refresh_score, 3) DESC, impressions_90d DESC, sessions_90d DESC,
+    f"""WITH {FINAL} SELECT content_id, ROW_NUMBER() OVER (ORDER BY ROUND(final_refresh_score, 9) DESC, impressions_90d DESC, sessions_90d DESC,
     md5(content_id), content_id) AS final_rank FROM final""",
 )
 def final_rank(spark, sf):
-    queue = I.final(spark, sf).withColumn("final_refresh_score", F.round("final_refresh_score", 3))
+    queue = I.final(spark, sf).withColumn("final_refresh_score", F.round("final_refresh_score", 9))
     return scoring.ranked_final_queue(queue).select("content_id", "final_rank")
 
 
@@ -155,11 +155,11 @@ def order_nulls_last(spark, sf):
 
 @case(
     "multi_key_sort",
-    f"""WITH {FINAL} SELECT content_id, impressions_90d, sessions_90d FROM final ORDER BY impressions_90d DESC, sessions_90d DESC, content_id LIMIT 100""",
+    f"""WITH {FINAL} SELECT content_id, impressions_90d, sessions_90d FROM final ORDER BY impressions_90d DESC, sessions_90d DESC, content_id""",
 )
 def multi_key_sort(spark, sf):
     df = I.final(spark, sf).select("content_id", "impressions_90d", "sessions_90d")
-    return df.orderBy(C("impressions_90d").desc(), C("sessions_90d").desc(), "content_id").limit(100)
+    return df.orderBy(C("impressions_90d").desc(), C("sessions_90d").desc(), "content_id")
 
 
 @case(

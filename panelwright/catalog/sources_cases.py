@@ -95,7 +95,9 @@ def write_csv(spark, sf):
     f"{dev_scored()} SELECT content_hash_id, client_hash_id, f_impressions, {rnd('f_pos')}, is_position_decline FROM frame",
 )
 def write_parquet_cached(spark, sf):
-    stored = T.materialize(I.frame(spark, sf), scratch_path(spark, "frame"))
+    path = I.store_path(spark, sf, "cached-frame")
+    T.materialize(I.frame(spark, sf), path)
+    stored = T.materialize(I.frame(spark, sf), path)         # the second call reads what the first wrote
     return r6(stored.select("content_hash_id", "client_hash_id", "f_impressions", "f_pos", "is_position_decline"))
 
 

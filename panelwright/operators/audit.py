@@ -58,8 +58,8 @@ def name_checks(spark: SparkSession, features: Sequence[str]) -> DataFrame:
 
 
 def check_row(df: DataFrame, name: str, ok: Column, detail: Column) -> DataFrame:
-    """One row from a one-row aggregate."""
-    return df.select(F.lit(name).alias("check"), ok.alias("ok"), detail.cast("string").alias("detail"))
+    """One row from a one-row aggregate; a check that cannot be decided has failed."""
+    return df.select(F.lit(name).alias("check"), F.coalesce(ok, F.lit(False)).alias("ok"), detail.cast("string").alias("detail"))
 
 
 def windows_disjoint(fact: DataFrame, split) -> DataFrame:
@@ -116,7 +116,8 @@ def drift_triggers(
         drift = F.try_divide(C(f"now_{c}") - C(f"was_{c}"), C(f"was_{c}"))
         rows.append(F.struct(F.lit(f"median_{c}_drift").alias("trigger"), drift.alias("value"),
                              (F.abs(drift) < MAX_DRIFT).alias("ok")))
-    return facts.select(F.inline(F.array(*rows)))
+    decided = F.coalesce(C("ok"), F.lit(False)).alias("ok")
+    return facts.select(F.inline(F.array(*rows))).select("trigger", "value", decided)
 
 
 def failure_modes(df: DataFrame, risk: str, label: str, high: float = 0.75, low: float = 0.45) -> DataFrame:

@@ -189,15 +189,17 @@ def abstain_gate(per_group: DataFrame, min_auc: float = 0.60) -> DataFrame:
 
 
 def threshold_sweep(scores: DataFrame, cuts: Sequence[float]) -> DataFrame:
-    """Rows captured, precision and recall at several cut-offs, in one pass."""
+    """Rows captured, precision and recall at several cut-offs, in one pass; a cut-off may capture nothing."""
     hit = F.explode(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= C("score")))
     captured = scores.select("model", "label", hit.alias("cutoff")).groupBy("model", "cutoff").agg(
         F.count(F.lit(1)).alias("captured"), F.sum("label").alias("hits")
     )
-    return captured.join(base_rates(scores), "model").select(
-        "model", "cutoff", "captured",
+    every = base_rates(scores).withColumn("cutoff", F.explode(F.array(*[F.lit(float(c)) for c in cuts])))
+    zero = F.lit(0).cast("bigint")
+    return every.join(captured, ["model", "cutoff"], "left").select(
+        "model", "cutoff", F.coalesce("captured", zero).alias("captured"),
         ratio(C("hits"), C("captured")).alias("precision"),
-        ratio(C("hits"), C("positives")).alias("recall"),
+        ratio(F.coalesce("hits", zero), C("positives")).alias("recall"),
     )
 
 
@@ -258,24 +260,27 @@ def poisson_weight(uniform: Column) -> Column:
     return sum((F.when(uniform >= F.lit(c), 1).otherwise(0) for c in poisson_cdf()), F.lit(0))
 
 
-def bootstrap_gaps(df: DataFrame, flag: str, label: str, tie: str, replicates: int, seed: int) -> DataFrame:
-    """Per replicate, the label rate inside minus outside ``flag``.
+def bootstrap_precision_gaps(scores: DataFrame, models: tuple[str, str], k: int, replicates: int, seed: int) -> DataFrame:
+    """Per replicate, the precision of the first model's top k minus that of the second's.
 
-    Every row draws its own Poisson(1) weight per replicate from a digest; the
-    replicas are generated and summed inside the map task, so the shuffle
-    carries ``replicates`` rows per task, whatever the table's size.
+    A row draws one Poisson(1) weight per replicate from a digest of its id, shared by both models, so the comparison
+    is paired. Only rows in one of the two queues matter, at most 2 k of them.
     """
-    rows = df.select(tie, flag, label, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), C("replicate").cast("string"), C(tie).cast("string")))
+    tops = top_ranked(scores.where(C("model").isin(*models)), k)
+    rows = tops.groupBy("id").agg(
+        F.max("label").alias("label"), *[F.max((C("model") == m).cast("int")).alias(f"in_{i}") for i, m in enumerate(models)]
+    ).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), C("replicate").cast("string"), C("id").cast("string")))
     drawn = rows.withColumn("w", poisson_weight(hex_fraction(digest)))
-    part = lambda cond: ratio(F.sum(F.when(cond, C("w") * C(label))), F.sum(F.when(cond, C("w"))))
-    on = C(flag) == 1
-    return drawn.groupBy("replicate").agg((part(on) - part(~on)).alias("gap"))
+    part = lambda i: ratio(F.sum(C("w") * C(f"in_{i}") * C("label")), F.sum(C("w") * C(f"in_{i}")))
+    return drawn.groupBy("replicate").agg((part(0) - part(1)).alias("gap"))
 
 
-def bootstrap_gap_ci(df: DataFrame, flag: str, label: str, tie: str, replicates: int, seed: int) -> DataFrame:
-    """Mean and 95% interval of the gap over the replicates."""
-    gaps = bootstrap_gaps(df, flag, label, tie, replicates, seed)
+def bootstrap_metric_ci(
+    scores: DataFrame, models: tuple[str, str], k: int, replicates: int = 1000, seed: int = 7
+) -> DataFrame:
+    """Mean and 95% interval of the difference of two models' precision at k."""
+    gaps = bootstrap_precision_gaps(scores, models, k, replicates, seed)
     return gaps.agg(                    # one value per replicate: a bounded histogram
         F.count(F.lit(1)).alias("replicates"), F.avg("gap").alias("mean_gap"),
         F.percentile("gap", F.lit(0.025)).alias("low"), F.percentile("gap", F.lit(0.975)).alias("high"),

@@ -38,7 +38,7 @@ PANEL_NUMERIC = [
 PANEL_CATEGORICAL = ["content_type", "main_intent", "competition_level"]
 PAGE_NUMERIC = [
     "search_volume", "competition", "cpc", "word_count", "char_count", "log_impressions_90d", "log_clicks_90d",
-    "log_sessions_90d", "log_ai_sessions_90d", "days_with_impressions", "content_age_days",
+    "log_sessions_90d", "log_ai_sessions_90d", "days_with_impressions", "days_with_sessions", "content_age_days",
     "days_since_last_update", "ctr", "avg_position", "engagement_rate", "scroll_rate", "ai_traffic_pct",
 ]
 PAGE_CATEGORICAL = [
@@ -193,8 +193,10 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
         features = feature_pipeline(spec.numeric, spec.categorical, spec.fill is None).fit(rows)
         vectors = features.transform(rows).select("label", "weight", "features")
         vectors.persist(StorageLevel.MEMORY_AND_DISK)
-        model = spec.make(n).fit(vectors)
-        vectors.unpersist()
+        try:
+            model = spec.make(n).fit(vectors)
+        finally:
+            vectors.unpersist()
         return Fitted(spec, pools, features, model)
     finally:
         rows.unpersist()

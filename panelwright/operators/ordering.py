@@ -24,10 +24,19 @@ def _doubles(values: Sequence[float]) -> Column:
     return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
 
 
-def _with_side(df: DataFrame, side: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach a per-group table: a one-row table is broadcast, a keyed one is
-    left to the planner, which measures it first."""
-    return df.join(side, list(by)) if by else df.crossJoin(F.broadcast(side))
+def join_null_safe(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet each other, so that no row with a null group is lost."""
+    renamed = side.withColumnsRenamed({c: f"__side_{c}" for c in on})
+    met = reduce(lambda a, b: a & b, [C(c).eqNullSafe(C(f"__side_{c}")) for c in on])
+    return df.join(renamed, met, how).drop(*[f"__side_{c}" for c in on])
+
+
+def _with_side(df: DataFrame, side: DataFrame, by: Sequence[str], few: bool = False) -> DataFrame:
+    """Attach a per-group table: a one-row table, or one with few groups by construction, is broadcast; another
+    keyed one is left to the planner, which measures it first."""
+    if not by:
+        return df.crossJoin(F.broadcast(side))
+    return join_null_safe(df, F.broadcast(side) if few else side, by)
 
 
 def exact_quantiles(
@@ -35,9 +44,13 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     by: Sequence[str] = (),
+    few: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles, one output column per name in ``probs``.
 
+    ``few`` says that the groups are few by construction (columns, tiers, classes): their sizes are then broadcast,
+    as a shuffle of the rows on such a key would go to as few tasks.
+
     Two passes. The first brackets each wanted rank with approximate quantiles.
     The second counts rows below each bracket (collapsed map-side to one row)
     and keeps a value -> count histogram of the bracket, whose size is about
@@ -61,7 +74,7 @@ def exact_quantiles(
         key = F.when(small | (C("__v") >= low), C("__v"))      # below the bracket: one null key
         return F.when(small | (C("__v") <= high), F.struct(F.lit(i).alias("i"), key.alias("v")))
 
-    marked = _with_side(rows, sizes, by).select(
+    marked = _with_side(rows, sizes, by, few).select(
         *by, "__n", F.explode(F.array_compact(F.array(*[slot(i) for i in range(len(ps))]))).alias("__s")
     )
     histogram = marked.groupBy(*by, "__n", C("__s.i").alias("__i"), C("__s.v").alias("__v")).agg(
@@ -87,14 +100,24 @@ def exact_quantiles(
     return picked.withColumn("__q", guarded).groupBy(*by).agg(*wide)
 
 
-def exact_median(df: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:
-    return exact_quantiles(df, value, {name: 0.5}, by)
+def exact_median(df: DataFrame, value: str, name: str, by: Sequence[str] = (), few: bool = False) -> DataFrame:
+    return exact_quantiles(df, value, {name: 0.5}, by, few)
+
+
+STRIDE = 32                # cut points compared at each of two levels
+
 
+def _edges_before(i: int, value: str, descending: bool) -> Column:
+    """How many cut points come strictly before the value in the given order; nulls come after all of them.
 
-def _edges_before(edges: str, value: str, descending: bool) -> Column:
-    """How many cut points come strictly before the value in the given order."""
-    v = C(value).cast("double")
-    return F.size(F.filter(edges, (lambda e: e > v) if descending else (lambda e: e < v)))
+    Compared in the value's own type, and at two levels: every STRIDE-th cut point, then those of one stretch.
+    """
+    v, edges = C(value), C(f"__e{i}")
+    passed = (lambda e: e <= v) if descending else (lambda e: e < v)
+    start = F.size(F.filter(f"__c{i}", passed)) * STRIDE
+    upto = start + F.size(F.filter(F.slice(edges, start + 1, STRIDE), passed))
+    before = F.size(edges) - upto if descending else upto
+    return F.when(v.isNull(), F.size(edges) + 1).otherwise(before)
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -108,8 +131,8 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
     Two branches of a plan use the same cut points, so they must come out the
     same however tasks are scheduled or retried. Rows are therefore sampled by
     a hash of their unique value (about 20 rows per bucket, at least 2,000),
-    and the quantiles of that bounded sample are exact; an approximate sketch
-    would depend on the order in which partial results arrive. Groups no larger
+    and the cut points are taken from that bounded sample in the columns' own
+    types; an approximate sketch would depend on the order in which partial results arrive. Groups no larger
     than the sample need no cut points and get no row here: read them through
     ``_with_cuts``.
     """
@@ -120,30 +143,41 @@ def _cut_points(df: DataFrame, columns: Mapping[str, int], unique: str, by: Sequ
     kept = _with_side(df.select(*by, *dict.fromkeys([*columns, unique])), sizes.where(C("__n") > wanted), by).where(
         uniform * C("__n") < wanted
     )
-    points = [
-        F.array_distinct(F.percentile(C(c).cast("double"), _doubles([i / n for i in range(1, n)]))).alias(
-            f"__e{i}"
-        )
-        for i, (c, n) in enumerate(columns.items())
-    ]
-    return kept.groupBy(*by).agg(*points)
+    drawn = kept.groupBy(*by).agg(*[F.array_sort(F.collect_list(C(c))).alias(f"__s{i}") for i, c in enumerate(columns)])
+
+    def points(i: int, n: int) -> Column:
+        sample = C(f"__s{i}")
+        at = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda k: F.floor(k * F.size(sample) / n).cast("int"))
+        return F.array_distinct(F.array_compact(F.transform(at, lambda k: F.get(sample, k)))).alias(f"__e{i}")
+
+    edges = drawn.select(*by, *[points(i, n) for i, n in enumerate(columns.values())])
+    return edges.withColumns({
+        f"__c{i}": F.filter(f"__e{i}", lambda e, k: k % STRIDE == STRIDE - 1) for i in range(len(columns))
+    })
 
 
-def _with_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+def _with_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Attach cut points; rows of small groups get empty arrays, i.e. one bucket."""
-    joined = df.join(cuts, list(by), "left") if by else df.crossJoin(F.broadcast(cuts))
-    none = F.array().cast("array<double>")
-    return joined.withColumns({f"__e{i}": F.coalesce(C(f"__e{i}"), none) for i in range(n)})
+    joined = join_null_safe(df, cuts, by, "left") if by else df.crossJoin(F.broadcast(cuts))
+    empty = {}
+    for i, c in enumerate(columns):
+        none = F.array().cast(f"array<{df.schema[c].dataType.simpleString()}>")
+        empty |= {f"__e{i}": F.coalesce(C(f"__e{i}"), none), f"__c{i}": F.coalesce(C(f"__c{i}"), none)}
+    return joined.withColumns(empty)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
     """One row with the exact median of every listed column, in two passes over
     the table whatever the number of columns: the columns become groups."""
     long = df.select(*[C(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "__column", "__value")
-    per = exact_median(long, "__value", "__median", by=["__column"])
+    per = exact_median(long, "__value", "__median", by=["__column"], few=True)
     return per.agg(*[F.max(F.when(C("__column") == c, C("__median"))).alias(f"{prefix}{c}") for c in columns])
 
 
+def _last_nulls(column: str, descending: bool) -> Column:
+    return C(column).desc_nulls_last() if descending else C(column).asc_nulls_last()
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -155,12 +189,13 @@ def running_totals(
 
     ``df`` must hold one row per (by, order) - aggregate first, which is also
     what removes hot values. Each bucket is summed on its own; the totals of
-    the buckets before it are added back.
+    the buckets before it are added back. A null order value comes last in
+    either direction; null groups are groups.
     """
     by = list(by)
     # Cut points exist for large groups only; the planner sizes that join.
-    cut = _with_cuts(df, _cut_points(df, {order: bucket_count(df)}, order, by), by, 1)
-    cut = cut.withColumn("__b", _edges_before("__e0", order, descending)).drop("__e0")
+    cut = _with_cuts(df, _cut_points(df, {order: bucket_count(df)}, order, by), by, [order])
+    cut = cut.withColumn("__b", _edges_before(0, order, descending)).drop("__e0", "__c0")
 
     totals = cut.groupBy(*by, "__b").agg(*[F.sum(src).alias(f"__t_{out}") for out, src in sums.items()])
     # At most 1,024 buckets per group meet in this window.
@@ -168,10 +203,9 @@ def running_totals(
     offsets = totals.select(
         *by, "__b", *[F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in sums]
     )
-    key = C(order).desc() if descending else C(order).asc()
-    within = Window.partitionBy(*by, "__b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*by, "__b").orderBy(_last_nulls(order, descending)).rowsBetween(Window.unboundedPreceding, 0)
     summed = cut.withColumns({f"__w_{out}": F.sum(src).over(within) for out, src in sums.items()})
-    joined = summed.join(offsets, [*by, "__b"])
+    joined = join_null_safe(summed, offsets, [*by, "__b"])
     out = {o: C(f"__w_{o}") + C(f"__o_{o}") for o in sums}
     return joined.withColumns(out).select(*df.columns, *sums)
 
@@ -188,7 +222,7 @@ def attach_percentile_rank(df: DataFrame, source: DataFrame, value: str, name: s
     ranks = cum.crossJoin(F.broadcast(total)).select(
         "__val", ((C("__cum") - C("__c") + (C("__c") + 1) / 2) / C("__total")).alias(name)
     )
-    return df.join(ranks, C(value) == C("__val"), "left").drop("__val")
+    return df.join(ranks, C(value).eqNullSafe(C("__val")), "left").drop("__val")
 
 
 def percentile_rank_avg(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -204,30 +238,30 @@ def global_row_number(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str,
     the first key; a value that *is* a cut point (the heavy ones) gets a bucket
     of its own, cut further by the next key and finally by two hex digits of
     the digest. So no single value, however frequent, lands in one task, and
-    the number of buckets is bounded whatever the table holds. Keys must not be
-    null. Materialize a costly or floating-point input first: it is read by
+    the number of buckets is bounded whatever the table holds. Nulls come last
+    in either direction and are cut like a heavy value. Materialize a costly or floating-point input first: it is read by
     several branches.
     """
     cols = [k for k, _ in keys]
     sizes = {c: bucket_count(df) if i == 0 else 8 for i, c in enumerate(cols)}
     edges = _cut_points(df, sizes, tie)
-    cut = _with_cuts(df, edges, [], len(cols)).withColumn("__h", F.md5(C(tie).cast("string")))
+    cut = _with_cuts(df, edges, [], cols).withColumn("__h", F.md5(C(tie).cast("string")))
 
     path, live = {}, F.lit(True)
     for i, (c, desc) in enumerate(keys):
-        passed = _edges_before(f"__e{i}", c, desc)
-        on_edge = F.array_contains(f"__e{i}", C(c).cast("double"))
+        passed = _edges_before(i, c, desc)
+        on_edge = C(c).isNull() | F.coalesce(F.array_contains(f"__e{i}", C(c)), F.lit(False))
         path[f"__b{i}"] = F.when(live, 2 * passed + on_edge.cast("int")).otherwise(F.lit(-1))
         live = live & on_edge
     path["__bh"] = F.when(live, F.conv(F.substring("__h", 1, 2), 16, 10).cast("int")).otherwise(F.lit(-1))
-    cut = cut.withColumns(path).drop(*[f"__e{i}" for i in range(len(cols))])
+    cut = cut.withColumns(path).drop(*[f"__{kind}{i}" for i in range(len(cols)) for kind in "ec"])
 
     levels = list(path)
     counts = cut.groupBy(*levels).agg(F.count(F.lit(1)).alias("__n"))
     # Bounded by the cut points, not by the table.
     before = Window.partitionBy(F.lit(0)).orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*levels, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    order = [C(c).desc() if d else C(c).asc() for c, d in keys] + [C("__h"), C(tie)]
+    order = [_last_nulls(c, d) for c, d in keys] + [C("__h"), C(tie)]
     within = Window.partitionBy(*levels).orderBy(*order)
     ranked = cut.withColumn("__inner", F.row_number().over(within)).join(offsets, levels)
     return ranked.withColumn(name, (C("__inner") + C("__off")).cast("bigint")).drop(*levels, "__h", "__inner", "__off")
@@ -247,19 +281,19 @@ def hashed_row_number(
     before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     within = Window.partitionBy(*by, "__b").orderBy("__h", tie)
-    ranked = cut.withColumn("__inner", F.row_number().over(within)).join(offsets, [*by, "__b"])
+    ranked = join_null_safe(cut.withColumn("__inner", F.row_number().over(within)), offsets, [*by, "__b"])
     return ranked.withColumn(name, (C("__inner") + C("__off")).cast("bigint")).drop("__h", "__b", "__inner", "__off")
 
 
 def top_k(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str, k: int) -> DataFrame:
     """First k rows of a total order (TakeOrderedAndProject: k rows per task)."""
-    order = [C(c).desc() if d else C(c).asc() for c, d in keys]
+    order = [_last_nulls(c, d) for c, d in keys]
     return df.orderBy(*order, F.md5(C(tie).cast("string")), C(tie)).limit(k)
 
 
 def rank_top(df: DataFrame, keys: Sequence[tuple[str, bool]], tie: str, k: int, name: str = "rank") -> DataFrame:
     """Top k with its rank; the window runs over k rows only."""
-    order = [C(c).desc() if d else C(c).asc() for c, d in keys]
+    order = [_last_nulls(c, d) for c, d in keys]
     w = Window.partitionBy(F.lit(0)).orderBy(*order, F.md5(C(tie).cast("string")), C(tie))
     return top_k(df, keys, tie, k).withColumn(name, F.row_number().over(w).cast("bigint"))
 
@@ -297,16 +331,18 @@ def quantile_bins(df: DataFrame, value: str, n: int, name: str) -> DataFrame:
     return df.crossJoin(F.broadcast(edges)).withColumn(name, bin_of.cast("int")).drop("__edges")
 
 
-def attach_group_median(df: DataFrame, group: str, values: Mapping[str, str]) -> DataFrame:
-    """Add each row's group median per (output name -> column)."""
+def attach_group_median(df: DataFrame, group: str, values: Mapping[str, str], few: bool = False) -> DataFrame:
+    """Add each row's group median per (output name -> column); rows with a null group share one.
+
+    ``few``: the groups are few by construction, so what is joined to the rows is broadcast."""
     long = df.select(group, *[C(v).cast("double").alias(n) for n, v in values.items()]).unpivot(
         [group], list(values), "__column", "__value"
     )
-    per = exact_median(long, "__value", "__median", by=[group, "__column"])
+    per = exact_median(long, "__value", "__median", by=[group, "__column"], few=few)
     wide = per.groupBy(group).agg(
         *[F.max(F.when(C("__column") == n, C("__median"))).alias(n) for n in values]
     )
-    return df.join(wide, group, "left")
+    return join_null_safe(df, F.broadcast(wide) if few else wide, [group], "left")
 
 
 def sample_n(df: DataFrame, tie: str, n: int, seed: int | str) -> DataFrame:

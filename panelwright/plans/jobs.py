@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.functions import rules
-from panelwright.operators.metrics import best_model, metric_comparison, score_table
+from panelwright.operators.metrics import best_model, metric_comparison, score_table, threshold_metrics
 from panelwright.operators.models import Spec, fit, fit_all_score_all, in_parallel
 from panelwright.operators.ordering import union_all
 from panelwright.operators.splits import client_holdout
@@ -39,32 +39,48 @@ def review_queue_job(
     return scoring.review_queue(scored)
 
 
-def holdout_metrics(prepared: DataFrame, specs: Sequence[Spec]) -> DataFrame:
-    """Metrics of each model on clients it never saw."""
+HOLDOUT_KS = [20, 50, 100]
+RULE = "rule_baseline"
+
+
+def holdout_metrics(
+    prepared: DataFrame, specs: Sequence[Spec], marked: DataFrame | None = None, baseline: DataFrame | None = None
+) -> DataFrame:
+    """Metrics of each model, and of the rule score if given, on the same rows of clients no model saw."""
     spark = prepared.sparkSession
-    marked = materialize(
-        client_holdout(prepared, "client_id", "is_declining_label", "content_id"), scratch_path(spark, "holdout")
-    )
+    marked = marked if marked is not None else holdout(prepared)
     train, test = marked.where("split = 'train'"), marked.where("split = 'test'")
     scores = []
     for spec, fitted in zip(specs, in_parallel(spark, [partial(fit, train, spec) for spec in specs])):
         predicted = fitted.predict(test, "p", ["client_id", "is_declining_label"])
         scores.append(score_table(predicted, "content_id", "client_id", "is_declining_label", {spec.name: "p"}))
+    if baseline is not None:
+        held = baseline.join(test.select("content_id"), "content_id", "left_semi")
+        scores.append(score_table(held, "content_id", "client_id", "is_declining_label", {RULE: "baseline_refresh_score"}))
     stored = materialize(union_all(scores), scratch_path(spark, "holdout-scores"))
-    return metric_comparison(stored, [50])
+    return metric_comparison(stored, HOLDOUT_KS).join(threshold_metrics(stored), "model")
+
+
+def holdout(prepared: DataFrame) -> DataFrame:
+    marked = client_holdout(prepared, "client_id", "is_declining_label", "content_id")
+    return materialize(marked, scratch_path(prepared.sparkSession, "holdout"))
 
 
 def refresh_queue_job(pages: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     """Raw page table to ranked final queue.
 
     Clean, score by rule, choose the model on held-out clients, refit all
-    models on every row, blend, code, band and rank.
+    models on every row, blend, code, band and rank. Every row says on which
+    side of the split it was and which model was chosen.
     """
     spark = pages.sparkSession
     prepared = materialize(scoring.prepare_pages(pages), scratch_path(spark, "prepared"))
     baseline = materialize(scoring.with_baseline_codes(scoring.baseline_scores(prepared)), scratch_path(spark, "baseline"))
-    chosen = best_model(holdout_metrics(prepared, specs), SELECTION_ORDER).first()["best_model"]
-    predictions = materialize(fit_all_score_all(prepared, specs), scratch_path(spark, "predictions"))
+    marked = holdout(prepared)
+    metrics = holdout_metrics(prepared, specs, marked, baseline)
+    chosen = best_model(metrics.where(C("model") != RULE), SELECTION_ORDER).first()["best_model"]
+    predictions = fit_all_score_all(prepared, specs).join(marked.select("content_id", "split"), "content_id")
+    predictions = materialize(predictions, scratch_path(spark, "predictions"))
     predictions = predictions.withColumns(
         {"best_model_name": F.lit(chosen), "best_model_probability": C(f"prob_{chosen}")}
     )

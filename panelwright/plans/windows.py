@@ -82,7 +82,7 @@ class Floors:
     decline: float = 1.0
 
 
-ID = "content_hash_id"
+ID, CLIENT = "content_hash_id", "client_hash_id"
 STATIC_COLUMNS = [
     "content_type", "main_intent", "competition_level", "search_volume", "competition",
     "cpc", "backlinks", "word_count", "char_count", "keyword_token_count",
@@ -156,12 +156,14 @@ def both_windows(fact: DataFrame, split: Split, key: str = ID) -> DataFrame:
 
     Equal to joining ``feature_window`` and ``outcome_window`` on the key, with
     no join: a row belongs to exactly one window, so conditional aggregates
-    separate them, and keys absent from either side have a null sum there.
+    separate them, and keys absent from either side have a null sum there. An
+    item's client is carried from the fact when the fact names one.
     """
     periods = [*split.feature_periods, split.outcome_period]
     rows = fact.where(C(split.period).isin(periods) & is_true("gsc_data_available"))
     outcome = C(split.period) == split.outcome_period
-    out = rows.groupBy(key).agg(*_feature_aggs(split, ~outcome), *_outcome_aggs(outcome))
+    client = [F.min(CLIENT).alias(CLIENT)] if CLIENT in fact.columns else []
+    out = rows.groupBy(key).agg(*client, *_feature_aggs(split, ~outcome), *_outcome_aggs(outcome))
     return out.where(C("f_impressions").isNotNull() & C("o_impressions").isNotNull())
 
 
@@ -169,14 +171,16 @@ def modeling_frame(fact: DataFrame, dim: DataFrame, split: Split, floors: Floors
     """One row per item: features, static metadata, ages at the cut, label block.
 
     Aggregation and the volume floors come before the dimension join, so only
-    surviving items are joined. The join side is left to the planner.
+    surviving items are joined. The join side is left to the planner. The
+    client comes from the fact, so an item absent from the dimension keeps it.
     """
     items = both_windows(fact, split).where(
         (C("f_impressions") >= floors.feature_impressions) & (C("o_impressions") >= floors.outcome_impressions)
     )
     cut = F.lit(split.cut_date)
+    own = [] if CLIENT in items.columns else [CLIENT]
     meta = dim.select(
-        ID, "client_hash_id", *STATIC_COLUMNS,
+        ID, *own, *STATIC_COLUMNS,
         F.datediff(cut, "content_created_date").alias("content_age_days"),
         F.datediff(cut, "content_updated_date").alias("days_since_update"),
     )

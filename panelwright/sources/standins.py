@@ -47,6 +47,13 @@ def fact_daily(spark: SparkSession, sf: str, start: str | None = None, end: str
     )
 
 
+def with_clients(fact: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's own client column: the brand of the part."""
+    part = table(spark, sf, "part").select(
+        C("p_partkey").cast("string").alias("content_hash_id"), C("p_brand").alias("client_hash_id"))
+    return fact.join(part, "content_hash_id", "left")
+
+
 def dim_content(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
     key, size, name = C("p_partkey"), C("p_size"), C("p_name")
@@ -140,6 +147,10 @@ def page_table(spark: SparkSession, sf: str) -> DataFrame:
         when0((C("l_linestatus") == "O") & (C("l_linenumber") <= 2), 1).cast("bigint").alias("ai_sessions_90d"),
         when0(C("l_tax") > 0.03, 5).cast("bigint").alias("scroll_events_90d"),
         F.count_distinct(C("l_shipdate").cast("date")).alias("days_with_impressions"),
+        F.count_distinct(F.when(C("l_tax") > 0.02, C("l_shipdate").cast("date"))).alias("days_with_sessions"),
+        (F.count(F.lit(1)) * 3).alias("users_90d"),
+        when0(late, 4).cast("bigint").alias("sessions_last_30d"),
+        when0(mid, 4).cast("bigint").alias("sessions_prev_30d"),
         when0(late, q).alias("impressions_last_30d"),
         when0(mid, q).alias("impressions_prev_30d"),
         when0(late, clicks).alias("clicks_last_30d"),
@@ -158,7 +169,8 @@ def page_table(spark: SparkSession, sf: str) -> DataFrame:
         "content_type", "main_intent", "competition_level",
         "search_volume", "competition", "cpc", "word_count", "char_count",
         "impressions_90d", "clicks_90d", "pageviews_90d", "sessions_90d", "engaged_sessions_90d",
-        "ai_sessions_90d", "scroll_events_90d", "days_with_impressions",
+        "ai_sessions_90d", "scroll_events_90d", "days_with_impressions", "days_with_sessions", "users_90d",
+        "sessions_last_30d", "sessions_prev_30d",
         "impressions_last_30d", "impressions_prev_30d", "clicks_last_30d", "clicks_prev_30d",
         age.alias("content_age_days"),
         update.alias("days_since_last_update"),
