@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import bounded, python_batches, saved
 
 HOT_GROUP = 2000         # sets with one least shingle beyond which their keys are aggregated before they meet others
-STAR_ROUNDS = 8          # rounds with one partner per key before all remaining pairs are listed
+STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that may be left are listed
 CHUNK = 1 << 20          # bytes hashed at once
 
 _U = np.uint64
@@ -230,10 +230,10 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) with the least id reachable over (a, b) edges, for every id on an edge.
+    """(id, comp) with the least id reachable over (a, b) edges, for every id on an edge; ids are of any ordered type.
 
     Each round sends an id to its least neighbour, follows those pointers to their ends and contracts the graph; rounds
-    are logarithmic, every table is written, nothing of it comes to the driver but counts.
+    are logarithmic, every table is written, nothing of it comes to the driver but whether it is empty.
     """
     edges = saved(edges.select("a", "b").where("a != b").distinct(), "edges")
     labels = None
@@ -248,11 +248,9 @@ def components(edges: DataFrame) -> DataFrame:
             point = jumped.select("id", "comp")
             if jumped.where("moved").isEmpty():
                 break
-        if labels is None:
-            labels = point
-        else:
-            step = point.select(F.col("id").alias("comp"), F.col("comp").alias("next"))
-            labels = saved(labels.join(step, "comp", "left").select("id", F.coalesce("next", "comp").alias("comp")), "labels")
+        step = point.select(F.col("id").alias("comp"), F.col("comp").alias("next"))
+        labels = point if labels is None else saved(labels.join(step, "comp", "left").select(
+            "id", F.coalesce("next", "comp").alias("comp")), "labels")
         a = point.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
         b = point.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
         edges = saved(edges.join(a, "a").join(b, "b").where("ca != cb").select(
@@ -264,59 +262,79 @@ def components(edges: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """The pairs whose sets are linked, from their full sets."""
     p = threshold.percent
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    a = sets.select(F.col("id").alias("ia"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("id").alias("ib"), F.col("shingles").alias("sb"))
     small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    met = pairs.join(a, "a").join(b, "b").where(100 * small >= p * large)
+    met = pairs.join(a, F.col("a.i") == F.col("ia")).join(b, F.col("b.i") == F.col("ib")).where(100 * small >= p * large)
     both = F.size(F.array_intersect("sa", "sb"))
     return met.where(100 * both >= p * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
 
+def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that can be linked, by their rarest shingles.
+
+    Shingles stand in one order, rare ones first. The first that two linked sets share must leave both enough
+    shingles behind it, so it is among the first few of either. Members of a group of near copies that are not linked
+    differ in shingles of their own, and those come first: unlike pairs of a segment key they do not meet. A shingle's
+    largest component is only paired with the rest, never with itself.
+    """
+    p = threshold.percent
+    tokens = sets.join(nodes, F.col("id") == F.col("node.i")).select(
+        "node", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    counted = saved(tokens, "open_shingles")
+    often = counted.groupBy("token").agg(F.count("*").alias("df"))
+    first = F.row_number().over(Window.partitionBy("node").orderBy("df", "token")) - 1
+    rows = counted.join(often, "token").withColumn("pos", first)
+    rows = saved(rows.where("df > 1").where(F.col("pos") * 100 <= F.col("n") * (100 - p)).drop("df"), "rare_shingles")
+    comps = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    main = comps.groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"))
+    open_tokens = saved(main.where("comps > 1").select("token", "main"), "open_tokens")
+    placed = rows.join(open_tokens, "token")
+    one = placed.where("comp != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "pos")])
+    two = placed.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "pos")])
+    both = F.floor((p * (F.col("x_n") + F.col("y_n")) + 99 + p) / (100 + p))     # shingles that linked sets share
+    met = one.join(two, "token").where("x_comp != y_comp").where(
+        (F.col("x_pos") <= F.col("x_n") - both) & (F.col("y_pos") <= F.col("y_n") - both))
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def linked(shared: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """(id, comp) of sets that share keys; ``shared`` is a saved table of (key, id).
+    """(id, comp) of sets that share keys; ``shared`` is a saved table of (key, id), comp the least id.
 
     All pairs of a key are candidates, but a link inside a component tells nothing new. So each round tests, for every
     key that holds more than one component, its members against one of them: first the set with most shared keys, the
-    centre of a group of near copies. Once few pairs between components are left, all of them are tested, so no link
-    between different components is lost.
+    centre of a group of near copies. A link still missing joins two components over a key that both are left in;
+    of the pairs of such sets, ``rare_pairs`` lists those that can be links, and all of them are tested. Nodes are
+    ordered by shared keys and id, so that components contract to the centres at once.
     """
     degree = shared.groupBy("id").agg(F.count("*").alias("degree"))
-    shared = saved(shared.join(degree, "id"), "members")
-    comp = shared.select("id", F.col("id").alias("comp")).distinct()
-    tested = shared.sparkSession.createDataFrame([], "a long, b long")
+    node = F.struct((-F.col("degree")).alias("d"), F.col("id").alias("i")).alias("node")
+    shared = saved(shared.join(degree, "id").select("key", node), "members")
+    comp = saved(degree.select(node, node.alias("comp")), "nodes")
+    tested = None
     for turn in range(STAR_ROUNDS + 1):
-        placed = shared.join(comp, "id")
-        rank = F.struct(-F.col("degree"), F.col("id"), F.col("comp")) if not turn else F.struct(
-            F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("comp"))
+        placed = shared.join(comp, "node")
+        rank = F.struct(F.xxhash64("node.i", F.lit(turn)).alias("h") if turn else F.lit(0).alias("h"), F.col("node"), F.col("comp"))
         split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(rank).alias("hub"))
-        split = saved(split.where("low < high").select("key", F.col("hub.id").alias("hub"), F.col("hub.comp").alias("hub_comp")), "open_keys")
-        if split.isEmpty():
-            break
+        split = split.where("low < high").select("key", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"))
         placed = saved(placed.join(split, "key"), "open_members")
-        shared = placed.select("key", "id", "degree")
-        sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        left = sizes.agg(F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-        every = turn == STAR_ROUNDS or left[0] <= 4 * left[1]
-        if every:
-            one = placed.select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-            two = placed.select("key", F.col("id").alias("y"), F.col("comp").alias("cy"))
-            pairs = one.join(two, "key").where("x < y and cx != cy").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        if placed.isEmpty():
+            break
+        shared = placed.select("key", "node")
+        if turn < STAR_ROUNDS:
+            pairs = placed.where("comp != hub_comp").select(
+                F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         else:
-            pairs = placed.where("comp != hub_comp").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+            pairs = rare_pairs(placed.select("node", "comp").distinct(), sets, threshold)
+        pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = saved(verified(pairs, sets, threshold), "links")
         if not links.isEmpty():
-            known = comp.select(F.col("id").alias("a"), F.col("comp").alias("b"))
-            comp = _with_alone(components(known.unionByName(links)), comp)
-        if every:
-            break
-        tested = tested.unionByName(pairs)
-    return comp
-
-
-def _with_alone(labels: DataFrame, comp: DataFrame) -> DataFrame:
-    return saved(comp.drop("comp").join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")), "comp")
+            known = comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+            labels = components(known.unionByName(links)).select(F.col("id").alias("node"), F.col("comp").alias("new"))
+            comp = saved(comp.join(labels, "node", "left").select("node", F.coalesce("new", "node").alias("comp")), "comp")
+    least = comp.groupBy("comp").agg(F.min("node.i").alias("least"))
+    return comp.join(least, "comp").select(F.col("node.i").alias("id"), F.col("least").alias("comp"))
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -347,7 +365,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     ids = bounded(saved(shared.select("id").distinct(), "candidates"))
     held = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
     comp = linked(shared, saved(stored_sets(held, shingle), "sets"), threshold)
-    comp = saved(comp.select("id", "comp"), "components")
+    comp = saved(comp, "components")
 
     of_kind = kinds.join(comp, "id", "left").select("s1", "s2", "n_shingles", F.coalesce("comp", "id").alias("comp"))
     return marks.join(of_kind, ["s1", "s2", "n_shingles"], "left").select(
