@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -14,9 +16,14 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import python_batches, running_total, saved
 
 END_ID = 2
-KNOWN_PIECES = 400_000   # pieces whose ids a worker remembers; further ones are encoded in each batch
-# A space followed by white space, or at the end: such texts are not cut at spaces before encoding.
-UNEVEN = r" [\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]| $"
+KNOWN_PIECES = 800_000   # pieces whose ids a worker remembers; further ones are encoded in each batch
+# White space next to a space or a line feed, or at the end: such texts, and those with the text of a special token,
+# are encoded in one go.
+WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+UNEVEN = rf"[ \n]{WHITE}|{WHITE}\n|{WHITE}$|\x00"
+# Punctuation that ends a word: after a letter it starts a new pre-token. The apostrophe may not.
+TAIL = string.punctuation.replace("'", "")
+LETTER_END = "[A-Za-zÀ-ÖØ-öø-ÿ]$"
 # Integer run-length encoding is ORC's own; the rest of the layout is chosen here.
 LAYOUT = {
     "compression": "zstd", "orc.stripe.size": str(64 << 20), "orc.row.index.stride": "1000",
@@ -27,84 +34,116 @@ LAYOUT = {
 class PieceEncoder:
     """Ids of many texts at once with a byte-level tokenizer.
 
-    The tokenizer never joins a space and a following letter run with what stands before the space, so a text may be
-    cut before each space that a non-space follows. Equal pieces are encoded once per batch, and frequent ones once
-    per worker; occurrences are then gathered by numpy.
+    The tokenizer's pre-tokens never run over a space that a non-space follows, over a single line feed, or from a letter
+    into punctuation. So a text is cut there, equal pieces are encoded once per worker (frequent ones) or batch, and
+    their occurrences are gathered by numpy.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id = end_id
-        self.known: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that each follow a space, as one array and a size for each piece."""
-        ids, sizes, at = [], [], 0
-        while at < len(pieces):
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})     # after a space; elsewhere
+        # Entries 0 to 2: nothing, the end of a text, a line feed.
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.ids = np.array([end_id, *feed], np.int32)
+        self.starts, self.sizes = np.array([0, 0, 1]), np.array([0, 1, len(feed)])
+
+    def _encoded(self, parts: list[str], space: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of non-empty pieces, as one array and a size for each: joined, encoded and cut again by offsets."""
+        ids, sizes, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+        while at < len(parts):
             upto, chars = at, 0
-            while upto < len(pieces) and (chars < 500_000 or upto == at):
-                chars += len(pieces[upto]) + 1
+            while upto < len(parts) and (chars < 200_000 or upto == at):
+                chars += len(parts[upto]) + 1
                 upto += 1
-            part = pieces[at:upto]
-            one = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            part = parts[at:upto]
+            one = self.tokenizer.encode(" " + " ".join(part) if space else "\n".join(part), add_special_tokens=False)
             begin = np.cumsum([0] + [len(p) + 1 for p in part[:-1]])
             where = np.fromiter((s for s, _ in one.offsets), np.int64, len(one.ids))
+            got = np.array(one.ids, np.int32)
+            if not space:
+                kept = ~np.isin(where, begin[1:] - 1)        # the line feeds between pieces
+                where, got = where[kept], got[kept]
             sizes.append(np.bincount(np.searchsorted(begin, where, "right") - 1, minlength=len(part)))
-            ids.append(np.array(one.ids, np.int32))
+            ids.append(got)
             at = upto
-        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _slots(self, pieces: list[str], space: bool) -> np.ndarray:
+        """Entry of each piece; pieces not seen yet are encoded, and remembered while there is room."""
+        known = self.known[not space]
+        slots = np.fromiter((known.get(p, -1) if p else 0 for p in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(slots < 0)
+        ids, sizes = self._encoded([pieces[i] for i in new], space)
+        slots[new] = np.arange(len(self.starts), len(self.starts) + len(new))
+        self._append(ids, sizes)
+        room = max(0, KNOWN_PIECES // 2 - len(known))
+        known.update((pieces[i], int(slots[i])) for i in new[:room])
+        return slots
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
+        kept = (self.ids, self.starts, self.sizes, [len(k) for k in self.known])
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         uneven = pc.match_substring_regex(texts, UNEVEN)
-        whole = [i for i, x in enumerate(uneven.to_pylist()) if x]
-        cut = pc.split_pattern(pc.if_else(uneven, pa.scalar("", pa.large_string()), texts), " ")
+        for token in self.special:
+            uneven = pc.or_(uneven, pc.match_substring(texts, token))
+        whole = pc.indices_nonzero(uneven).to_numpy().astype(np.int64)
+        even = pc.if_else(uneven, pa.scalar("", pa.large_string()), texts)
+        cut = pc.split_pattern(pc.replace_substring(even, "\n", " \x00 "), " ")
         first = np.asarray(cut.offsets, dtype=np.int64)
+        first -= first[0]
         coded = cut.flatten().dictionary_encode()
-        pieces, use = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-
-        rest = np.ones(len(use), bool)
-        rest[first[:-1] - first[0]] = False
-        needed = np.zeros(len(pieces), bool)
-        needed[use[rest]] = True
-        slot = np.fromiter((self.known.get(p, -1) for p in pieces), np.int64, len(pieces))
-        new = np.flatnonzero(needed & (slot < 0))
-        fresh, sizes = self._pieces([pieces[i] for i in new])
-        base, old = len(self.starts), len(self.ids)
-        starts = np.concatenate([self.starts, old + np.cumsum(sizes) - sizes]).astype(np.int64)
-        lengths, ids = np.concatenate([self.sizes, sizes]).astype(np.int64), np.concatenate([self.ids, fresh])
-        slot[new] = base + np.arange(len(new))
-        if base + len(new) <= KNOWN_PIECES:
-            self.known.update((pieces[i], base + k) for k, i in enumerate(new))
-            self.starts, self.sizes, self.ids = starts, lengths, ids
-
-        # First pieces have no space before them; uneven texts are one piece.
-        opening = [pieces[i] for i in use[~rest]]
-        for i, text in zip(whole, texts.take(pa.array(whole, pa.int64())).to_pylist()):
-            opening[i] = text
-        openings = self._plain(opening)
-        own = np.fromiter(map(len, openings), np.int64, len(openings))
-        flat = np.fromiter((x for o in openings for x in o), np.int32, int(own.sum()))
-        starts = np.concatenate([starts, len(ids) + np.cumsum(own) - own, [len(ids) + len(flat)]])
-        lengths = np.concatenate([lengths, own, [1]])
-        ids = np.concatenate([ids, flat, np.array([self.end_id], np.int32)])
-
-        seen = slot[use]
-        seen[~rest] = base + len(new) + np.arange(len(openings))
-        seen = np.insert(seen, (first[1:] - first[0]), len(lengths) - 1)
-        size = lengths[seen]
+        use, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        cores = pc.utf8_rtrim(words, characters=TAIL)
+        cores = pc.if_else(pc.match_substring_regex(cores, LETTER_END), cores, words).to_pylist()
+        words = words.to_pylist()
+        tails = [w[len(c):] for w, c in zip(words, cores)]
+        feed = np.fromiter((w == "\x00" for w in words), bool, len(words))[use]
+        opening = np.zeros(len(use), bool)
+        opening[first[:-1]] = True
+        opening[1:] |= feed[:-1]
+        opening &= ~feed
+
+        slot = np.zeros((2, len(words)), np.int64)           # by place: after a space, elsewhere
+        for place, mask in enumerate((~opening & ~feed, opening)):
+            wanted = np.flatnonzero(np.bincount(use[mask], minlength=len(words)))
+            slot[place, wanted] = self._slots_of([cores[i] for i in wanted], place == 0)
+        tail = self._slots_of(tails, False)
+        plain = self.tokenizer.encode_batch(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)
+        entry = len(self.starts)
+        own = [np.array(e.ids, np.int32) for e in plain]
+        self._append(np.concatenate([*own, np.zeros(0, np.int32)]), np.fromiter(map(len, own), np.int64, len(own)))
+
+        # Each piece is its core and its tail; a text ends with the end id.
+        seen = np.stack([np.where(feed, 2, np.where(opening, slot[1][use], slot[0][use])), np.where(feed, 0, tail[use])], 1).ravel()
+        seen[2 * first[whole]] = entry + np.arange(len(whole))
+        seen = np.insert(seen, 2 * first[1:], 1)
+        size = self.sizes[seen]
         after = np.cumsum(size)
-        out = ids[np.repeat(starts[seen] - (after - size), size) + np.arange(after[-1] if len(after) else 0)]
-        ends = after[(first[1:] - first[0]) + np.arange(len(openings))]
+        out = self.ids[np.repeat(self.starts[seen] - (after - size), size) + np.arange(after[-1] if len(after) else 0)]
+        ends = after[2 * first[1:] + np.arange(len(texts))]
+        if [len(k) for k in self.known] == kept[3]:           # nothing of this batch is remembered
+            self.ids, self.starts, self.sizes = kept[:3]
         return out, np.diff(ends, prepend=0)
 
+    def _slots_of(self, pieces: list[str], space: bool) -> np.ndarray:
+        unique: dict[str, int] = {}
+        back = np.fromiter((unique.setdefault(p, len(unique)) for p in pieces), np.int64, len(pieces))
+        return self._slots(list(unique), space)[back] if unique else np.zeros(0, np.int64)
+
+
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str, end_id: int) -> PieceEncoder:
+    """One encoder per worker process, so that tasks that follow each other share what it remembers."""
+    return PieceEncoder(path, end_id)
+
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
     """Encode every document and write ``doc_id, n_tokens, ids`` as ORC in ascending doc_id order.
@@ -114,10 +153,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     are empty (the end id alone), null ids come first, repeated rows are written as often as they come, other columns
     are ignored, an empty table writes no rows.
     """
-    python_batches(docs.sparkSession, 4000)
+    python_batches(docs.sparkSession, 2000, "8m")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_file, end_id)
+        encoder = worker_encoder(tokenizer_file, end_id)
         for batch in batches:
             if not batch.num_rows:
                 continue
