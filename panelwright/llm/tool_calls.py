@@ -29,7 +29,8 @@ def arguments_valid(name: Column, arguments: Column, schemas: Mapping[str, Schem
 
 def quoted(text: Column) -> Column:
     """A string as JSON; null as null."""
-    return F.coalesce(F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1), F.lit(""))
+    whole = F.to_json(F.struct(text.alias("v")))             # {"v":...}
+    return F.when(text.isNull(), "null").otherwise(F.substring(whole, F.lit(6), F.length(whole) - 6))
 
 
 def canonical(fields: Mapping[str, Column]) -> Column:
