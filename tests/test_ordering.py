@@ -120,3 +120,73 @@ def test_minmax_of_constant_and_null_columns(spark):
 def test_quantile_bins_keep_ties_together(skewed):
     bins = O.quantile_bins(skewed, "v", 10, "b").groupBy("v").agg(F.count_distinct("b").alias("k"))
     assert bins.where("k > 1").count() == 0
+
+
+BIG = 1 << 53
+
+
+@pytest.fixture(scope="module", params=[1_000, 20_000])
+def with_nulls(spark, request):
+    """One row in ten without a key or group; bigints that doubles cannot tell apart."""
+    return spark.range(request.param).select(
+        F.concat(F.lit("id"), C("id").cast("string")).alias("id"),
+        F.when(C("id") % 10 != 3, F.lit(BIG) + (C("id") * 31) % 5).alias("big"),
+        F.when(C("id") % 10 != 4, (C("id") * 37 % 1000) / 10).alias("v"),
+        F.when(C("id") % 10 != 5, F.concat(F.lit("g"), (C("id") % 7).cast("string"))).alias("g"),
+        (C("id") % 2).cast("int").alias("y"),
+    ).cache()
+
+
+@pytest.mark.parametrize("keys", [[("big", True)], [("big", False)], [("v", True), ("big", False)], [("v", False)]])
+def test_ranks_keep_null_and_large_keys(with_nulls, keys):
+    order = [C(c).desc_nulls_last() if d else C(c).asc_nulls_last() for c, d in keys] + [F.md5("id"), C("id")]
+    want = with_nulls.withColumn("r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    got = O.global_row_number(with_nulls, keys, "id").select("id", "rank")
+    assert got.join(want, "id").where("rank = r").count() == with_nulls.count()
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_running_totals_keep_null_groups_and_values(with_nulls, descending):
+    points = with_nulls.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    order = C("v").desc_nulls_last() if descending else C("v").asc_nulls_last()
+    w = Window.partitionBy("g").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    want = {(r["g"], r["v"]): r["t"] for r in points.withColumn("t", F.sum("n").over(w)).collect()}
+    got = O.running_totals(points, "v", {"t": "n"}, by=["g"], descending=descending).collect()
+    assert {(r["g"], r["v"]): r["t"] for r in got} == want
+
+
+def test_null_groups_stay_in_medians_and_seeded_order(with_nulls):
+    medians = {r["g"]: r["m"] for r in O.exact_median(with_nulls, "v", "m", ["g"]).collect()}
+    assert None in medians and len(medians) == 8
+    attached = O.attach_group_median(with_nulls, "g", {"m": "v"}, few=True)
+    assert attached.where("m IS NULL").count() == 0 and attached.count() == with_nulls.count()
+    ranked = O.hashed_row_number(with_nulls, "id", 1, ["g"])
+    assert ranked.count() == with_nulls.count() and ranked.where("g IS NULL AND rn = 1").count() == 1
+
+
+def test_splits_keep_rows_without_group_or_label(with_nulls):
+    from panelwright.operators import splits as S
+
+    n = with_nulls.count()
+    folds = S.group_kfold(with_nulls, "g", 3)
+    assert folds.count() == n and folds.where("g IS NULL").select("fold").distinct().count() == 1
+    marked = with_nulls.withColumn("y", F.when(C("id") != "id7", C("y")))
+    for out in (S.stratified_kfold(marked, "y", "id", 4, 1), S.stratified_split(marked, "y", "id", 0.25, 1), S.class_weights(marked, "y")):
+        assert out.count() == n
+
+
+def test_null_scores_rank_last_at_every_size(with_nulls):
+    from panelwright.operators import metrics as M
+
+    scores = with_nulls.select("id", F.lit("m").alias("model"), F.when(C("v").isNull(), 1).otherwise(C("y")).alias("label"), C("v").alias("score"))
+    low = scores.withColumn("score", F.coalesce("score", F.lit(-1.0)))
+    assert M.ranking_quality(scores).first()["roc_auc"] == pytest.approx(M.ranking_quality(low).first()["roc_auc"])
+
+
+def test_few_groups_are_not_shuffled_to(spark, skewed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = O.exact_medians(skewed, ["v", "w"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,6 +1,7 @@
 """Physical plans keep the properties that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.catalog import CASES, inputs as I
 from panelwright.plans.windows import modeling_frame
@@ -51,3 +52,38 @@ def test_top_rows_are_pruned_before_the_shuffle(spark, sf, key):
 def test_row_count_reads_no_columns(spark, sf):
     text = plan(CASES["table_row_counts"].query(spark, sf))
     assert text.count("ReadSchema: struct<>") == 14
+
+
+def test_an_item_absent_from_the_dimension_keeps_its_client(spark):
+    import datetime as dt
+
+    from panelwright.plans.windows import Floors, Split, modeling_frame
+
+    split = Split("s", ("1999",), "2000", "year")
+    rows = [(f"c{k}", f"client{k}", dt.date(1999 + y, 5, 1 + k), str(1999 + y), 500, 5, 900.0, 2.0, True) for k in range(3) for y in (0, 1)]
+    fact = spark.createDataFrame(
+        rows, "content_hash_id string, client_hash_id string, report_date date, year string, gsc_impressions long, gsc_clicks long, "
+        "gsc_sum_position double, gsc_avg_position double, gsc_data_available boolean")
+    dim = spark.createDataFrame(
+        [("c0", "other", None, None)], "content_hash_id string, client_hash_id string, content_created_date date, content_updated_date date")
+    from panelwright.plans.windows import STATIC_COLUMNS
+    dim = dim.withColumns({c: F.lit(None).cast("string") for c in STATIC_COLUMNS})
+    got = {r["content_hash_id"]: r["client_hash_id"] for r in modeling_frame(fact, dim, split, Floors()).collect()}
+    assert got == {f"c{k}": f"client{k}" for k in range(3)}
+
+
+def test_page_stage_takes_text_and_missing_columns(spark, sf):
+    from panelwright.plans import scoring
+    from panelwright.sources import standins
+
+    raw = standins.page_table(spark, sf)
+    text = raw.select([F.col(c).cast("string").alias(c) for c in raw.columns]).drop("cpc", "users_90d")
+    plain, typed = scoring.prepare_pages(raw.drop("cpc")), scoring.prepare_pages(text)
+    cols = ["content_id", "impressions_90d", "ctr", "log_clicks_90d", "is_declining_label", "cpc", "users_90d"]
+    key = lambda df: sorted((r["content_id"], round(float(r["ctr"]), 6), float(r["impressions_90d"]), r["is_declining_label"], float(r["cpc"])) for r in df.select(cols).collect())
+    assert key(plain) == key(typed)
+    bad = text.withColumn("ctr", F.lit("n/a"))
+    assert scoring.prepare_pages(bad).agg(F.max("ctr")).first()[0] == 0.0
+    import pytest as pt
+    with pt.raises(ValueError, match="trend_direction"):
+        scoring.prepare_pages(raw.drop("trend_direction"))
