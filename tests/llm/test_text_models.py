@@ -107,7 +107,9 @@ SECRETS = [
 
 def test_secrets_keep_the_base_spans(spark, docs_of):
     rows = AWKWARD + SECRETS
-    got = secret_scan.scan(docs_of(rows, spans=1, n_hex="x")).collect()
+    prose = table(spark, SF, "documents").withColumn("doc_id", F.col("doc_id") + 10_000)      # what ordinary text is like
+    docs = docs_of(rows).unionByName(prose).withColumns({"spans": F.lit(1), "n_hex": F.lit("x")})
+    got = secret_scan.scan(docs).where("doc_id < 10000 OR doc_id IS NULL").collect()
     texts = {i: t or "" for i, t, *_ in rows}
     assert len(got) == len(rows)
     for r in got:
