@@ -394,12 +394,13 @@ def short_handles(spark, sf):
     "review_narrative",
     f"""{dev_scored()}, t AS (SELECT *, printf('%.1f', ROUND(f_pos, 1)) AS pos FROM scored)
     SELECT content_hash_id,
-      CASE reason_code WHEN 'low_ctr_for_position' THEN 'holding position ' || pos || ' but capturing only ' || printf('%.2f', ROUND(f_ctr, 2)) || '% CTR, below its tier median'
-        WHEN 'unstable_and_visible' THEN 'position bounced (sd ' || printf('%.1f', ROUND(f_pos_volatility, 1)) || ') on ' || f_impressions || ' impressions with no clear direction'
-        ELSE 'position worsened ' || COALESCE(printf('%.1f', ROUND(f_pos_trend, 1) + 0), '0.0') || ' places from 1997 to 1999 while sitting at ' || pos || ' with ' || f_impressions || ' impressions' END AS why,
-      CASE WHEN f_ctr = 0 THEN 'it earned zero clicks on ' || f_impressions || ' impressions, so losing the position may cost nothing'
-        WHEN f_days_with_impressions < 60 THEN 'it only appeared on ' || f_days_with_impressions || ' of 1095 days, so its average position rests on thin data'
-        ELSE 'its first-period position was a spike, so this is a return to normal' END AS wrong_if
+      CASE reason_code
+        WHEN 'low_ctr_for_position' THEN 'CTR ' || printf('%.2f', ROUND(f_ctr, 2)) || '% is under the median of its position tier (average position ' || pos || ')'
+        WHEN 'unstable_and_visible' THEN 'daily position varies by ' || printf('%.1f', ROUND(f_pos_volatility, 1)) || ' (standard deviation), ' || f_impressions || ' impressions'
+        ELSE 'lost ' || COALESCE(printf('%.1f', ROUND(f_pos_trend, 1) + 0), '0.0') || ' positions from 1997 to 1999; now at ' || pos || ', ' || f_impressions || ' impressions' END AS why,
+      CASE WHEN f_ctr = 0 THEN 'no click came from ' || f_impressions || ' impressions: nothing may be at stake'
+        WHEN f_days_with_impressions < 60 THEN 'seen on ' || f_days_with_impressions || ' of 1095 days: the average may not hold'
+        ELSE 'the first period was unusually good and this is the normal level' END AS wrong_if
     FROM t""",
 )
 def review_narrative(spark, sf):
