@@ -27,8 +27,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null text equals empty text. Null ids sort last: a class made of them only has a null ``keep_id``. When an
     id is repeated, every row with the smallest id is kept. An empty table gives an empty result; other columns
-    are ignored. A group may hold any share of the rows: it is pre-aggregated before its shuffle and joined by
-    joins whose skewed partitions Spark splits.
+    are ignored. A group may hold any share of the rows: ids and hashes are pre-aggregated before their shuffle. The
+    byte comparison of one group still runs in one task, row by row, beside the group's first text.
     """
     docs = docs.select(F.col(id_col).alias("__id"), normalised(F.col(text_col)).alias("__text"))
     marks = saved(
@@ -40,7 +40,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     members = docs.withColumn("__h", digest(F.col("__text"))).join(groups, "__h")
     first = members.where(F.col("__id") == F.col("__first")).groupBy("__h").agg(F.min("__text").alias("__want"))
-    first = saved(first, "first_texts")      # written, so that Spark can split a large group when it meets its text
+    first = saved(first, "first_texts")
     others = members.join(first, "__h").where(F.col("__text") != F.col("__want"))
     # Rows of a group whose text is not the first one: none, unless two texts share a hash.
     strays = saved(others.groupBy("__h", "__text").agg(F.min("__id").alias("__own"), F.count("*").alias("__m"))
