@@ -28,6 +28,7 @@ CHROME_WORDS = frozenset(
     "rail widget widgets related recommended recommendations menu nav navbar navigation navi breadcrumb breadcrumbs pagination "
     "pager header masthead topbar footer foot copyright legal disclaimer share sharing social comment comments respond "
     "reply replies discussion disqus toolbar search form skip hidden alert".split())
+NAMED = 0.1                  # what class names leave of a ratio
 KEPT_ROOTS = frozenset("html body article main".split())
 CLOSED_BY_SIBLING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -51,12 +52,19 @@ class Element:
     path: str
     depth: int
 
+    def up(self) -> "Iterator[Element]":
+        e = self
+        while e is not None:
+            yield e
+            e = e.parent
+
 
 @dataclass
 class Block:
     home: Element
     parts: list[str] = field(default_factory=list)
     shares: dict[str, list[int]] = field(default_factory=lambda: defaultdict(lambda: [0, 0]))   # path: length, punctuation
+    doubt: float = 1.0
 
     @property
     def text(self) -> str:
@@ -180,49 +188,57 @@ def ratios(blocks: list[Block]) -> np.ndarray:
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in page order, one per line.
 
-    Blocks whose fused ratio passes the threshold are content nodes. The element that holds nearly all of their text,
-    an ``article`` or ``main`` element if there is one, is the article; every block in it belongs to it.
+    Every block whose fused ratio passes the threshold is content, wherever it stands. ``article`` and ``main`` elements
+    raise the ratio by their share of the text. Beside these blocks stand the headings
+    over them, short blocks between two of them in one parent, and the rest of an ``article`` or ``main`` element
+    most of whose text has passed.
     """
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
-    fused = ratios(blocks)
-    chosen = fused >= fused.std() * 0.5
-    if not chosen.any():
-        chosen[:] = True
-    weight: dict[int, float] = defaultdict(float)
-    known: dict[int, Element] = {}
-    named: dict[int, Element] = {}
-    for b, score, yes in zip(blocks, fused, chosen):
-        e = b.home
-        while e is not None:
-            known[id(e)] = e
-            weight[id(e)] += len(b.text) if yes else 0
-            if e.name in ("article", "main"):
-                named[id(e)] = e
-                weight[id(e)] += 1e-6 * len(b.text)
-            e = e.parent
-    if named:
-        # The article with most content; of nested ones the outer.
-        best = max(named.values(), key=lambda e: (weight[id(e)], -e.depth))
-    else:
-        total = max(weight.values())
-        best = max((e for e in known.values() if weight[id(e)] >= 0.8 * total), key=lambda e: e.depth)
-
-    def inside(e: Element | None) -> bool:
-        while e is not None:
-            if e is best:
-                return True
-            e = e.parent
-        return False
+    size = [len(b.text) for b in blocks]
+    around = [list(b.home.up()) for b in blocks]
+    named: dict[int, list[int]] = defaultdict(list)
+    for k, (b, up) in enumerate(zip(blocks, around)):
+        for e in up:
+            if e.name in ("article", "main") and b.doubt > NAMED:
+                named[id(e)].append(k)
+    total = sum(size)
+    prior = np.ones(len(blocks))
+    for inside in named.values():
+        prior[inside] = np.maximum(prior[inside], 1 + sum(size[k] for k in inside) / total)
+    doubt = np.array([b.doubt for b in blocks])
+    doubt /= doubt.max()
+    plain = ratios(blocks) * prior
+    fused = plain * doubt
+    sure = doubt == 1
+    chosen = fused >= fused[sure].std() * 0.5
+    if not chosen[sure].any():
+        chosen |= sure
+    # A doubted block has to stand out from what passed without doubt.
+    chosen &= sure | (fused >= np.median(plain[chosen & sure]) * 0.5)
 
-    member = [inside(b.home) for b in blocks]
-    if not named:
-        # Without a named article, what stands before the first or after the last content node is not part of it.
-        first_last = [k for k, (m, c) in enumerate(zip(member, chosen)) if m and c]
-        heading = [k for k, b in enumerate(blocks) if member[k] and re.fullmatch(r"h[1-6]", b.home.name)]
-        low = min([first_last[0], *[k for k in heading if k < first_last[0]][-1:]])
-        member = [m and low <= k <= first_last[-1] for k, m in enumerate(member)]
+    member = chosen.copy()
+    for inside in named.values():
+        if 2 * sum(size[k] for k in inside if chosen[k]) >= sum(size[k] for k in inside):
+            least = max(doubt[k] for k in inside)
+            member[[k for k in inside if doubt[k] >= least]] = True
+    places = np.flatnonzero(member)
+    for i, j in zip([-1, *places], places):
+        gap = range(i + 1, j)
+        if not gap:
+            continue
+        above = {id(e) for e in around[j][1:]}
+        if i >= 0:
+            common = next((e for e in around[i][1:] if id(e) in above), None)
+            if common is not None and (common is around[i][1] or common is around[j][1]):
+                fill = [k for k in gap if doubt[k] >= min(doubt[i], doubt[j]) and any(e is common for e in around[k])]
+                member[fill] = True
+        for k in reversed(gap[-4:]):                         # a heading over the content, with what stands below it
+            home = blocks[k].home
+            over = id(home.parent) in above or i < 0 and home.parent is not None and id(home.parent.parent) in above
+            if re.fullmatch(r"h[1-6]", home.name) and over and doubt[k] == 1:
+                member[[x for x in range(k, j) if doubt[x] == 1]] = True
     return "\n".join(b.text for b, m in zip(blocks, member) if m)
 
 

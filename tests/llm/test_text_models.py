@@ -175,3 +175,42 @@ def test_main_text_table_edges(spark):
                                "page_id long, url string, html string, text string")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in main_text.extract(df).collect()) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
     assert main_text.extract(df.limit(0)).count() == 0
+
+
+LONG = "A sentence of the body, with commas, and some length to it. "
+
+
+def paragraphs(n, of=3):
+    return [f"Paragraph {k}: " + (LONG * of).strip() for k in range(n)]
+
+
+def tags(texts, tag="p"):
+    return "".join(f"<{tag}>{t}</{tag}>" for t in texts)
+
+
+def test_one_long_paragraph_does_not_hide_the_others():
+    body = paragraphs(3, 1) + ["Long one: " + (LONG * 60).strip()] + paragraphs(2, 1)
+    for html in (f"<body><div><h1>Head</h1>{tags(body)}</div></body>", f"<body><h1>Head</h1><div>{tags(body)}</div></body>"):
+        assert main_text.main_text(html).split("\n") == ["Head", *body]
+
+
+def test_body_split_over_sibling_elements_is_whole():
+    first, last = paragraphs(12), paragraphs(2, 2)
+    html = f"<body><ul><li><a>Home</a></li><li><a>News</a></li></ul><div>{tags(first)}</div><div><h2>End</h2>{tags(last)}</div></body>"
+    assert main_text.main_text(html).split("\n") == [*first, "End", *last]
+
+
+def test_article_elements_do_not_replace_what_passed():
+    body = paragraphs(8)
+    teaser = "<article><h3>Other story</h3><span>Read more</span></article>"
+    for html in (f"<body>{teaser}<div class=content>{tags(body)}</div></body>", f"<body><div class=content>{tags(body)}</div>{teaser}</body>"):
+        assert set(body) <= set(main_text.main_text(html).split("\n"))
+    several = "".join(f"<article><h2>Part {k}</h2>{tags([t])}</article>" for k, t in enumerate(body))
+    want = [x for k, t in enumerate(body) for x in (f"Part {k}", t)]
+    assert main_text.main_text(f"<body>{several}</body>").split("\n") == want
+
+
+def test_short_blocks_between_content_stay():
+    body = paragraphs(4)
+    html = f"<body><div>{tags(body[:2])}<ul><li>one</li><li>two</li></ul>{tags(body[2:])}</div><div><a>x</a></div></body>"
+    assert main_text.main_text(html).split("\n") == [*body[:2], "one", "two", *body[2:]]
