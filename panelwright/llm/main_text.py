@@ -14,22 +14,31 @@ from pyspark.sql import DataFrame
 
 from panelwright.llm.common import python_batches
 
-# Element names by their role in HTML.
-RAW = "script|style|noscript|template|textarea|iframe|svg|object|math|title|xmp|noembed|noframes"
+# Element names by their role in HTML. Annotations are sources of a formula, which browsers do not show.
+RAW = ("script|style|noscript|template|textarea|iframe|svg|object|title|xmp|noembed|noframes|annotation-xml|annotation")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
-CHROME = frozenset("nav footer aside form button select option menu dialog head fieldset input datalist figcaption".split())
+    "strike strong sub sup time tt u var wbr math semantics menclose merror mfenced mfrac mi mn mo mover mpadded mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
+CHROME = frozenset("nav footer aside button select option menu head input datalist".split())
+# Chrome as well, unless they wrap the article.
+WRAPPERS = frozenset("form fieldset dialog header".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 CHROME_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promos promotion banner cookie "
-    "cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login sidebar side "
-    "rail widget widgets related recommended recommendations menu nav navbar navigation navi breadcrumb breadcrumbs pagination "
-    "pager header masthead topbar footer foot copyright legal disclaimer share sharing social comment comments respond "
-    "reply replies discussion disqus toolbar search form skip hidden alert".split())
-NAMED = 0.1                  # what class names leave of a ratio
-KEPT_ROOTS = frozenset("html body article main".split())
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promos banner cookie "
+    "cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login sidebar "
+    "widget widgets related recommended recommendations menu nav navbar navigation navi breadcrumb breadcrumbs pagination "
+    "pager masthead topbar footer foot copyright disclaimer sharing comment comments respond "
+    "reply replies disqus toolbar form hidden".split())
+# Words that name parts of an article just as well.
+TWOFOLD_WORDS = frozenset(
+    "header share social side rail legal notice notices alert search discussion skip promotion".split())
+NEUTRAL_WORDS = frozenset(
+    "site page main top bottom left right primary secondary global list area box container wrapper wrap section block item "
+    "items inner outer body content slot bar buttons links panel group row col column post posts".split())
+KEPT_ROOTS = frozenset("html body main".split())
+NAMED, MAYBE = 0.1, 0.7      # what class names leave of a ratio: the whole name is chrome, or some of its words
 CLOSED_BY_SIBLING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
@@ -48,9 +57,13 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 class Element:
     name: str
     parent: "Element | None"
-    chrome: bool
+    chrome: bool                 # dropped with all below it
     path: str
     depth: int
+    wraps: bool = False          # dropped, unless it wraps the article
+    doubt: float = 1.0           # by its own class names
+    length: int = 0              # text in it outside of chrome
+    article: int = 0             # of that, inside article and main elements
 
     def up(self) -> "Iterator[Element]":
         e = self
@@ -71,9 +84,9 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def is_chrome(name: str, attributes: str, inside_article: bool) -> bool:
-    """Menus, headers, footers, sidebars, notices, adverts, forms and comments, by element, role or class."""
-    if name in CHROME or name == "header" and not inside_article:
+def is_chrome(name: str, attributes: str) -> bool:
+    """Menus, footers, sidebars and what is not shown, by element, role or style."""
+    if name in CHROME:
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
@@ -85,13 +98,40 @@ def is_chrome(name: str, attributes: str, inside_article: bool) -> bool:
             return True
         if key == "role" and value in CHROME_ROLES:
             return True
-        if key in ("class", "id") and not CHROME_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
     return False
 
 
+def doubt_of(name: str, attributes: str, inside_article: bool) -> float:
+    """Evidence of classes and ids against an element: a factor of its ratio.
+
+    A name like ``sidebar`` or ``cookie-notice``, all of whose words are those of chrome or of layout, counts in full;
+    one that has such a word beside others (``has-sidebar``), or only words with a second meaning, counts little.
+    Headers inside of an article are part of it.
+    """
+    if not attributes or name in KEPT_ROOTS:
+        return 1.0
+    out = 1.0
+    for key, *values, _ in ATTRIBUTE.findall(attributes):
+        if key.lower() not in ("class", "id"):
+            continue
+        for one in "".join(values).lower().split():
+            words = set(re.findall(r"[a-z]+", one))
+            if inside_article:
+                words.discard("header")
+            sure, twofold = words & CHROME_WORDS, words & TWOFOLD_WORDS
+            whole = not words - sure - twofold - NEUTRAL_WORDS
+            if sure and whole:
+                return NAMED
+            if sure and name != "article" or twofold and whole:
+                out = MAYBE
+    return out
+
+
 def blocks_of(html: str) -> list[Block]:
-    """Text blocks in page order, without those inside page chrome. Malformed markup closes as browsers close it."""
+    """Text blocks in page order, without those inside page chrome. Malformed markup closes as browsers close it.
+
+    Classes and ids drop nothing here: they leave their doubt on the elements.
+    """
     top = Element("", None, False, "", 0)
     stack, out, block = [top], [], None
 
@@ -153,13 +193,48 @@ def blocks_of(html: str) -> list[Block]:
         parent = stack[-1]
         if attributes.endswith("/") and name not in ("p", "div", "span", "article", "section", "li", "a"):
             continue
-        chrome = parent.chrome or is_chrome(name, attributes, any(e.name in ("article", "main") for e in stack))
-        stack.append(Element(name, parent, chrome, f"{parent.path}/{name}", parent.depth + 1))
+        inside = any(e.name in ("article", "main") for e in stack)
+        stack.append(Element(
+            name, parent, parent.chrome or is_chrome(name, attributes), f"{parent.path}/{name}", parent.depth + 1,
+            name in WRAPPERS and not (name == "header" and inside), doubt_of(name, attributes, inside)))
         if len(stack) > 500:                                  # nesting beyond any use: treat as siblings
             del stack[-1]
     if at < len(html):
         text(html[at:])
-    return [b for b in out if b.text]
+    return settled([b for b in out if b.text])
+
+
+def settled(blocks: list[Block]) -> list[Block]:
+    """Blocks with the doubt of all elements around them, without those in forms and page headers.
+
+    An element that wraps the article is neither dropped nor doubted: one with at least half of the text of ``article``
+    and ``main`` elements, or with most of the page's text.
+    """
+    total = articles = 0
+    for b in blocks:
+        n, around = len(b.text), list(b.home.up())
+        total += n
+        # Article elements that are comments or adverts by their names do not count as articles.
+        last = max((k for k, e in enumerate(around) if e.name in ("article", "main") and e.doubt > NAMED), default=-1)
+        marked = last >= 0 and all(e.doubt > NAMED for e in around[:last])
+        articles += n * marked
+        for e in around:
+            e.length += n
+            e.article += n * marked
+
+    def spared(e: Element) -> bool:
+        if articles and 2 * e.article >= articles:
+            return True
+        sure = e.wraps or e.doubt <= NAMED
+        return e.length >= 0.8 * total and not articles if sure else 2 * e.length >= total
+
+    out = []
+    for b in blocks:
+        against = [e for e in b.home.up() if (e.wraps or e.doubt < 1) and not spared(e)]
+        if not any(e.wraps for e in against):
+            b.doubt = min((e.doubt for e in against), default=1.0)
+            out.append(b)
+    return out
 
 
 def ratios(blocks: list[Block]) -> np.ndarray:
@@ -189,7 +264,7 @@ def main_text(html: str | None) -> str:
     """The article of a page: its blocks in page order, one per line.
 
     Every block whose fused ratio passes the threshold is content, wherever it stands. ``article`` and ``main`` elements
-    raise the ratio by their share of the text. Beside these blocks stand the headings
+    raise the ratio by their share of the text, class names of chrome lower it. Beside these blocks stand the headings
     over them, short blocks between two of them in one parent, and the rest of an ``article`` or ``main`` element
     most of whose text has passed.
     """

@@ -214,3 +214,36 @@ def test_short_blocks_between_content_stay():
     body = paragraphs(4)
     html = f"<body><div>{tags(body[:2])}<ul><li>one</li><li>two</li></ul>{tags(body[2:])}</div><div><a>x</a></div></body>"
     assert main_text.main_text(html).split("\n") == [*body[:2], "one", "two", *body[2:]]
+
+
+@pytest.mark.parametrize("opening, closing", [
+    ("<div class='layout has-sidebar'><article>", "</article></div>"), ("<article class='post comment-open'>", "</article>"),
+    ("<div class='sidebar'><main>", "</main></div>"), ("<form id=form1><div>", "</div></form>"),
+    ("<div class='page search'>", "</div>"), ("<div class='no-sidebar widget-free'>", "</div>"),
+])
+def test_wrappers_named_like_chrome_keep_the_page(opening, closing):
+    body = paragraphs(5)
+    html = f"<body><nav>menu</nav>{opening}{tags(body)}{closing}<div class=sidebar>{tags(paragraphs(1, 1))}</div></body>"
+    assert main_text.main_text(html).split("\n") == body
+
+
+def test_parts_of_an_article_named_like_chrome_stay():
+    body = paragraphs(6)
+    parts = [f"<section class={c}>{tags([t])}</section>" for c, t in zip("discussion social legal search share notice".split(), body)]
+    for c in ("entry-header", "article-header", "header"):
+        html = f"<body><article><header class={c}><h1>Head</h1></header>{''.join(parts)}</article></body>"
+        assert main_text.main_text(html).split("\n") == ["Head", *body]
+
+
+def test_captions_and_formulas_stay():
+    body = paragraphs(2)
+    html = (f"<article>{tags(body[:1])}<figure><img><figcaption>A caption.</figcaption></figure>"
+            f"<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold.</p>{tags(body[1:])}</article>")
+    assert main_text.main_text(html).split("\n") == [body[0], "A caption.", "Let x=1 hold.", body[1]]
+
+
+def test_chrome_named_in_full_goes():
+    body = paragraphs(4)
+    for c in ("cookie-notice", "comments-area", "sidebar", "related posts", "site-footer"):
+        html = f"<body><div class=wrap><article>{tags(body)}</article><div class='{c}'>{tags(paragraphs(2, 2))}</div></div></body>"
+        assert main_text.main_text(html).split("\n") == body, c
