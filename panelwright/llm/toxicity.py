@@ -20,14 +20,23 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
+MONEY = "@$€£"           # seldom punctuation
 # Log costs of the channel: a symbol for a letter, a stray symbol, a repeated letter.
 SWAP, STRAY, REPEAT = -1.0, -2.0, -0.7
+# White space in a run of short tokens, by whether both neighbours are single letters: dropped, or kept as a word end.
+DROP, KEEP = {True: 0.0, False: -1.5}, {True: -1.0, False: 0.0}
+INSERT = -3.0            # a word end where there is no white space
+KNOWN = 4.0              # gain of a word that has evidence of its own
 CLASSES = 28             # boundary, a to z, any other letter
 SAMPLE_DOCS = 10_000     # bound of the labelled rows that the classifier is fitted on
 KEPT_TOKENS = 300_000    # tokens whose evidence a worker remembers
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_DOCS, LEAST_LIFT, LEAST_G2 = 5, 2.5, 30.0
 SPACED = re.compile(r"(?<!\S)(?:\S[^\S\n]){2,}\S(?!\S)")
+SHORT_RUN = re.compile(r"(?<!\S)\S{1,4}(?:\s+\S{1,4})+(?!\S)")
+# Letters as the screen of runs sees them: symbols as letters, i and l as one, nothing else.
+SCREEN = {**{chr(c): None for c in range(128) if not chr(c).isalpha()}, **{k: v[0] for k, v in LEET.items()}, "l": "i", "£": "i"}
+SCREEN = str.maketrans(SCREEN)
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 
 _TABLE = np.zeros(256, np.int64)
@@ -81,14 +90,17 @@ def _options(symbol: str, times: int, edge: bool) -> list[tuple[str, float]]:
     return out
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """The likeliest plain word behind a token: Viterbi over its character lattice under the trigram model."""
+def decode(token: str, model: np.ndarray, shed: bool = True) -> str:
+    """The likeliest plain word behind a token: Viterbi over its character lattice under the trigram model.
+
+    Symbols at the edges are punctuation rather than letters, unless ``shed`` is off.
+    """
     runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
     paths = {(0, 0): (0.0, "")}
     for k, (symbol, times) in enumerate(runs):
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, text) in paths.items():
-            for letters, cost in _options(symbol, times, k in (0, len(runs) - 1)):
+            for letters, cost in _options(symbol, times, shed and k in (0, len(runs) - 1)):
                 x, y, s = a, b, score + cost
                 for c in letters:
                     z = letter_class(c)
@@ -100,16 +112,78 @@ def decode(token: str, model: np.ndarray) -> str:
     return max(((s + model[a, b, 0], t) for (a, b), (s, t) in paths.items()), default=(0, ""))[1]
 
 
+def decode_run(run: str, model: np.ndarray, known: dict[str, bool] | None = None) -> list[str]:
+    """The likeliest words behind a run of short tokens.
+
+    Viterbi over the characters of the whole run. White space is dropped or kept as a word end, and a word end may be
+    inserted; the trigram model decides, with a gain for ``known`` words. ``known`` maps these words (True) and their
+    beginnings (False); a path's state is its last two letters and the beginning that it stands in.
+    """
+    known = known or {}
+    tokens = run.split()
+    # Per state: score and words so far, as links back.
+    paths: dict[tuple, tuple] = {(0, 0, ""): (0.0, None)}
+
+    def step(after: dict, state: tuple, score: float, link, letters: str) -> None:
+        a, b, word = state
+        for c in letters:
+            z = letter_class(c)
+            score += model[a, b, z]
+            a, b = b, z
+            word = word + c if word is not None and word + c in known else None
+        if (a, b, word) not in after or score > after[a, b, word][0]:
+            after[a, b, word] = (score, (link, letters) if letters else link)
+
+    def ended(state: tuple, score: float, link) -> tuple:
+        a, b, word = state
+        return (b, 0, ""), score + model[a, b, 0] + (KNOWN if word and known[word] else 0.0), (link, " ")
+
+    for n, token in enumerate(tokens):
+        if n:
+            single = len(token) == 1 == len(tokens[n - 1])
+            after: dict[tuple, tuple] = {}
+            for state, (score, link) in paths.items():
+                step(after, state, score + DROP[single], link, "")
+                to, s, e = ended(state, score + KEEP[single], link)
+                step(after, to, s, e, "")
+            paths = after
+        runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
+        for k, (symbol, times) in enumerate(runs):
+            after = {}
+            options = _options(symbol, times, len(runs) > 1 and k in (0, len(runs) - 1))
+            if n and not k and single and token == tokens[n - 1]:
+                options.append(("", REPEAT))
+            for state, (score, link) in paths.items():
+                starts = [(state, score, link)]
+                if k and state[1]:
+                    starts.append(ended(state, score + INSERT, link))
+                for letters, cost in options:
+                    for at, s, e in starts:
+                        step(after, at, s + cost, e, letters)
+            paths = after
+    score, link = max((ended(state, s, e)[1:] for state, (s, e) in paths.items()), key=lambda x: x[0])
+    out = []
+    while link:
+        link, piece = link
+        out.append(piece)
+    return "".join(reversed(out)).split()
+
+
+def screened(text: str) -> str:
+    return re.sub(r"(.)\1+", r"\1", "".join(text.translate(SCREEN).split()))
+
+
 def restored(token: str, model: np.ndarray) -> list[str]:
     """Words that a lower-case token may stand for; plain tokens stand for themselves."""
     plain = token.strip("".join(c for c in set(token) if not c.isalnum())) if not token.isalpha() else token
     out = [plain] if plain.isalpha() else [w for w in re.split(r"[\W_]+", plain) if w.isalpha() and len(w) > 1]
     symbols = sum(not c.isalpha() for c in token)
-    leet = any(c in LEET for c in token) and 2 * symbols <= len(token) + 1 and symbols < len(token)
+    leet = any(c in LEET for c in token) and (symbols < len(token) or sum(c in MONEY for c in token) > 1)
     if leet or REPEATED.search(token) or (len(plain) > 4 and re.fullmatch(r"\w(?:[\W_]\w)+", plain)):
-        word = decode(token, model)
-        if word and word not in out:
-            out.append(word)
+        as_letters = not plain.isalpha() or token[0] in MONEY or token[-1] in MONEY
+        for word in (decode(token, model), decode(token, model, shed=False) if as_letters else ""):
+            if word and word not in out:
+                out.append(word)
     return out
 
 
@@ -129,6 +203,22 @@ class ToxicityModel:
     base: float
     slope: float = 1.0
 
+    def __post_init__(self):
+        """Words with evidence and their beginnings, and a screen for runs in which one of them may stand."""
+        words = [f for f in self.evidence if not f.endswith("*") and len(f) > 2]
+        self.known = {w[:n]: False for w in words for n in range(len(w) + 1)} | dict.fromkeys(words, True)
+        self.screen = re.compile("|".join(map(re.escape, sorted({screened(w) for w in words} - {""})))) if words else None
+
+    def of_runs(self, text: str) -> dict[str, float]:
+        """Evidence that shows when white space inside of words is undone, in lower-case text."""
+        found: dict[str, float] = {}
+        for m in SHORT_RUN.finditer(text) if self.screen else ():
+            if self.screen.search(screened(m[0])):
+                for word in decode_run(m[0], self.characters, self.known):
+                    if (v := self.evidence.get(word)) is not None:
+                        found[word] = v
+        return found
+
     def probability(self, found: dict[str, float]) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + self.slope * sum(found.values())))))
 
@@ -202,7 +292,7 @@ def fit(labelled: DataFrame, characters: np.ndarray) -> ToxicityModel:
         g2 = 2 * sum(x * math.log(x / e) for x, e in ((a, t * share), (b, c * share)) if x)
         if r["feature"] and lift >= LEAST_LIFT and g2 >= LEAST_G2:
             evidence[r["feature"]] = lift
-    model = ToxicityModel(characters, evidence, 0.0)
+    model = ToxicityModel(characters, evidence, 0.0)      # with the words known, runs of short tokens can be decoded
     sums = weigh(rows, model, ["toxic"], lambda m, found: sum(found.values()), "evidence").toPandas()
     model.base, model.slope = calibrated(sums["evidence"].to_numpy(np.float64), sums["toxic"].to_numpy(np.float64))
     return model
@@ -246,6 +336,7 @@ def weigh(docs: DataFrame, model: ToxicityModel, keep: list[str], number, name:
                     e = known[t] = model.of_token(t) or None
                 if e:
                     found.update(e)
+            found.update(model.of_runs(text.lower()) if text else ())
             return float(number(model, found))
 
         for batch in batches:

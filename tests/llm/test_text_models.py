@@ -247,3 +247,36 @@ def test_chrome_named_in_full_goes():
     for c in ("cookie-notice", "comments-area", "sidebar", "related posts", "site-footer"):
         html = f"<body><div class=wrap><article>{tags(body)}</article><div class='{c}'>{tags(paragraphs(2, 2))}</div></div></body>"
         assert main_text.main_text(html).split("\n") == body, c
+
+
+SPREAD = ["you are a s t u p i d man", "y o u i d i o t", "he is an i d i o t!", "i d\ni o t", "s  t  u  p  i  d", "stu pid", "1 d 1 0 t",
+          "so s t u u u p i d is he"]
+
+
+def test_white_space_inside_words_is_undone(spark, docs_of):
+    plain = "you are an idiot and a stupid clown said the moron about trash as he is a man of the assembly that fishes "
+    model = toxicity.ToxicityModel(toxicity.character_model(docs_of([(k, plain * 5) for k in range(30)])), dict.fromkeys(
+        ("idiot", "stupid", "clown", "moron", "ass"), 3.0), 0.0)
+    for text in SPREAD:
+        assert set(model.of_runs(text)) in ({"idiot"}, {"stupid"}), text
+    for text in ("you are a man", "a s s e m b l y", "he is in a man", "a " * 3000, "", "x", "the as sembly"):
+        assert not model.of_runs(text), text
+
+
+def test_symbols_may_outnumber_letters(spark, docs_of):
+    model = toxicity.character_model(docs_of([(k, "the idiot is an ass said the clown " * 5) for k in range(30)]))
+    for token, word in [("@$$", "ass"), ("1d10t", "idiot"), ("!d!0+", "idiot"), ("(10wn", "clown"), ("1d!07", "idiot")]:
+        assert word in toxicity.restored(token, model), token
+
+
+def test_texts_with_spread_words_are_toxic(spark, docs_of):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa you are he is an a man".split()
+    rows, labels = [], []
+    for k in range(400):
+        bad = ("idiot", "stupid")[k // 4 % 2]
+        rows.append((k, " ".join(words[(k + j) % 17] for j in range(8)) + (f" {bad} {k}" if k % 4 == 0 else f" fine {k}")))
+        labels.append((k, int(k % 4 == 0)))
+    rows += [(9000 + k, t) for k, t in enumerate(SPREAD)] + [(9100, "he is a man"), (9101, "you are an a")]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs_of(rows), marks).collect()}
+    assert [got[9000 + k] for k in range(len(SPREAD))] == [1] * len(SPREAD) and got[9100] == got[9101] == 0
