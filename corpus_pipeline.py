@@ -28,8 +28,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order; a source's last copy is cut to its target."""
-    return mixing.mixed_documents(docs)
+    """Documents as often as the mix takes them, in training order, always whole."""
+    return mixing.mixed_documents(docs, whole=True)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,9 +127,24 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.split(F.regexp_replace(text, f"^[{SPACE}]+", ""), f"[{SPACE}]+"), 1, n.cast("int")), " ")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The training set of the mix: documents once per copy, by position; a cut copy holds its first words."""
+def whole_copies(mixed: DataFrame) -> DataFrame:
+    """``mixed`` with whole copies only: one that reaches over its source's target counts if half of it or more fits.
+
+    Taken words of a source then differ from its target by half of one document at most.
+    """
+    near = F.filter("copies", lambda c: 2 * c["words"] >= F.col("size"))
+    copies = F.transform(near, lambda c: F.struct(c["position"].alias("position"), F.col("size").alias("words")))
+    return mixed.withColumn("copies", copies).withColumn("taken", F.size("copies") * F.col("size"))
+
+
+def mixed_documents(docs: DataFrame, *, whole: bool = False, **options) -> DataFrame:
+    """The training set of the mix: documents once per copy, by position.
+
+    A copy that reaches over its source's target holds its first words; with ``whole`` it is whole or left out.
+    """
     mixed = mix(docs, **options)
+    if whole:
+        mixed = whole_copies(mixed)
     copies = mixed.select(F.col("doc_id").alias("__id"), "__mark", "size", F.explode("copies").alias("__c"))
     # Repeated rows share a mark; their copies meet one row of them.
     copies = copies.select("__id", "__mark", "size", "__c.words", "__c.position")

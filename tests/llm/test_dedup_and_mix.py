@@ -109,3 +109,21 @@ def test_mixed_documents_repeat_and_cut(docs_of):
     taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
     for i, got in texts.items():
         assert sum(len(t.split()) for t in got) == taken[i]
+
+
+def test_pipeline_mixes_whole_documents(spark, docs_of):
+    import corpus_pipeline
+    rows = [(k, f"doc {k}\n " + "w " * (k % 7 * 9), "en", f"s{k % 5}") for k in range(60)] + [
+        (500, "one  long " + "text " * 400, "en", "long"), (501, "a b c", "en", "tiny"), (502, None, "en", "tiny")]
+    docs, texts = docs_of(rows), {i: t for i, t, *_ in rows}
+    out = dict(corpus_pipeline.STAGES)["mixing to target weights"](spark, docs, None)
+    got = out.collect()
+    assert out.columns == docs.columns and all(r["text"] == texts[r["doc_id"]] for r in got)
+    mixed, words, longest = mixing.mix(docs).collect(), defaultdict(int), defaultdict(int)
+    assert any(c["words"] < r["size"] for r in mixed for c in r["copies"])
+    for r in got:
+        words[r["source"]] += len(r["text"].split())
+    for r in mixed:
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    for r in mixed:
+        assert abs(words[r["source"]] - r["target"]) <= longest[r["source"]] / 2 + 1
