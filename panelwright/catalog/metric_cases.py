@@ -229,11 +229,14 @@ WEIGHT = " + ".join(f"(u >= {c!r}::DOUBLE)::INT" for c in M.poisson_cdf())
 
 @case(
     "bootstrap_metric_ci",
-    f"""{DEV_LONG}, {rank_sql([BOOT_K])},
-    t AS (SELECT id, MAX(label) AS y, MAX((model = 'frozen_rule')::INT) AS a, MAX((model = 'variant_rule')::INT) AS z FROM rk WHERE r <= {BOOT_K} GROUP BY 1),
-    r AS (SELECT y, a, z, rep, {UNIFORM} AS u FROM t, (SELECT UNNEST(range(1, {BOOT + 1})) AS rep)),
-    d AS (SELECT rep, SUM(w * a * y)::DOUBLE / NULLIF(SUM(w * a), 0) - SUM(w * z * y)::DOUBLE / NULLIF(SUM(w * z), 0) AS gap
-      FROM (SELECT *, {WEIGHT} AS w FROM r) GROUP BY 1)
+    f"""{DEV_LONG}, {rank_sql([BOOT_K])}, ids AS (SELECT DISTINCT id FROM st),
+    u AS (SELECT id, rep, {UNIFORM} AS u FROM ids, (SELECT UNNEST(range(1, {BOOT + 1})) AS rep)),
+    w AS (SELECT id, rep, {WEIGHT} AS w FROM u),
+    q AS (SELECT model, rep, label, w, COALESCE(SUM(w) OVER (PARTITION BY model, rep ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM rk JOIN w USING (id)),
+    p AS (SELECT model, rep, SUM(label * least(w, {BOOT_K} - before))::DOUBLE / NULLIF(SUM(least(w, {BOOT_K} - before)), 0) AS p
+      FROM q WHERE before < {BOOT_K} GROUP BY 1, 2),
+    d AS (SELECT rep, MAX(p) FILTER (WHERE model = 'frozen_rule') - MAX(p) FILTER (WHERE model = 'variant_rule') AS gap FROM p GROUP BY 1)
     SELECT COUNT(*) AS replicates, {rnd('AVG(gap) AS mean_gap', 'quantile_cont(gap, 0.025) AS low', 'quantile_cont(gap, 0.975) AS high')} FROM d""",
 )
 def bootstrap_metric_ci(spark, sf):

@@ -30,13 +30,55 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+# Fractions of a model's rows, from the best on, whose scores are tried as cuts.
+CUT_FRACTIONS = [0.0002 * 1.5**i for i in range(21)]
+SKETCH_ACCURACY = 10_000
+
+
+def score_cuts(scores: DataFrame, k: int) -> DataFrame:
+    """Per model a score ``cut`` that the k best rows reach, few others do, and a share ``tie_cut`` of the rows tied on it.
+
+    A sketch per model, merged from the tasks, proposes scores; counts over them, one row per model again, say which
+    is the highest one that k rows reach. Rows tied on it are asked for by digest, as ranks break ties: their
+    share is chosen some deviations above what is wanted, which ``top_ranked`` checks. A model of fewer than k rows has no cut.
+    """
+    tried = F.percentile_approx("score", [1 - f for f in CUT_FRACTIONS], SKETCH_ACCURACY)
+    cuts = scores.where(C("score").isNotNull()).groupBy("model").agg(tried.alias("__cuts"))
+    met = scores.join(F.broadcast(cuts), "model")
+    reach = [F.sum((C("score") >= C("__cuts")[i]).cast("int")).alias(f"__r{i}") for i in range(len(CUT_FRACTIONS))]
+    over = [F.sum((C("score") > C("__cuts")[i]).cast("int")).alias(f"__o{i}") for i in range(len(CUT_FRACTIONS))]
+    counts = met.groupBy("model").agg(F.first("__cuts").alias("__cuts"), *reach, *over)
+    found = F.coalesce(*[
+        F.when(C(f"__r{i}") >= k, F.struct(C("__cuts")[i].alias("cut"), C(f"__r{i}").alias("reach"), C(f"__o{i}").alias("over")))
+        for i in range(len(CUT_FRACTIONS))])
+    wanted, tied = F.lit(k) - C("f.over"), C("f.reach") - C("f.over")
+    share = (wanted + 8 * F.sqrt(F.greatest(wanted, F.lit(0))) + 64) / tied
+    return counts.select("model", found.alias("f")).select("model", C("f.cut").alias("cut"), F.least(share, F.lit(1.0)).alias("tie_cut"))
+
+
+def top_candidates(scores: DataFrame, k: int) -> DataFrame:
+    """Rows among which are the k best of each model; beyond them some by the steps between cuts, but no heavy tie."""
+    cuts = F.broadcast(score_cuts(scores, k))                         # one row per model
+    # Ties at a score that is no number, or infinite, are kept whole.
+    plain = ~F.isnan("cut") & (F.abs("cut") != float("inf"))
+    taken = (C("score") > C("cut")) | ((C("score") == C("cut")) & (~plain | (hex_fraction(F.md5(C("id").cast("string"))) <= C("tie_cut"))))
+    return scores.join(cuts, "model", "left").where(C("cut").isNull() | taken).drop("cut", "tie_cut")
+
+
 def top_ranked(scores: DataFrame, k: int) -> DataFrame:
     """The k best rows of each model with their rank.
 
-    The rank filter is pruned per task before the shuffle (WindowGroupLimit).
+    Only candidates are shuffled and sorted, see ``top_candidates``. Should the digests of tied rows leave fewer than k of
+    a model that has more, the rank of its first row raises.
     """
-    w = Window.partitionBy("model").orderBy(C("score").desc(), F.md5(C("id").cast("string")), C("id"))
-    return scores.withColumn("rank", F.row_number().over(w)).where(C("rank") <= k)
+    order = [C("score").desc(), F.md5(C("id").cast("string")), C("id")]
+    rows = top_candidates(scores, k).withColumn("rank", F.row_number().over(Window.partitionBy("model").orderBy(*order)))
+    rows = rows.where(C("rank") <= k)
+    sizes = scores.groupBy("model").agg(F.count(F.lit(1)).alias("__n"))
+    kept = rows.withColumn("__kept", F.count(F.lit(1)).over(Window.partitionBy("model"))).join(F.broadcast(sizes), "model")
+    whole = C("__kept") >= F.least(C("__n"), F.lit(k))
+    return kept.withColumn("rank", F.when(whole, C("rank")).otherwise(
+        F.raise_error(F.lit("the digests of tied rows are not even")).cast("int"))).drop("__kept", "__n")
 
 
 def base_rates(scores: DataFrame) -> DataFrame:
@@ -260,26 +302,39 @@ def poisson_weight(uniform: Column) -> Column:
     return sum((F.when(uniform >= F.lit(c), 1).otherwise(0) for c in poisson_cdf()), F.lit(0))
 
 
+def bootstrap_prefix(k: int) -> int:
+    """Ranks that hold k drawn rows in any replicate: a total of Poisson weights under k lies eight deviations away."""
+    return k + math.ceil(8 * math.sqrt(k)) + 64
+
+
 def bootstrap_precision_gaps(scores: DataFrame, models: tuple[str, str], k: int, replicates: int, seed: int) -> DataFrame:
     """Per replicate, the precision of the first model's top k minus that of the second's.
 
     A row draws one Poisson(1) weight per replicate from a digest of its id, shared by both models, so the comparison
-    is paired. Only rows in one of the two queues matter, at most 2 k of them.
+    is paired. Each replicate has queues of its own: rows drawn several times take several places, rows not drawn leave,
+    and lower ranks move up until k places are taken. Only a prefix of the ranking can be in a queue; should one not fill
+    k places although the model has more rows, the query raises.
     """
-    tops = top_ranked(scores.where(C("model").isin(*models)), k)
-    rows = tops.groupBy("id").agg(
-        F.max("label").alias("label"), *[F.max((C("model") == m).cast("int")).alias(f"in_{i}") for i, m in enumerate(models)]
-    ).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    prefix = bootstrap_prefix(k)
+    tops = top_ranked(scores.where(C("model").isin(*models)), prefix).select("model", "id", "label", "rank")
+    rows = tops.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), C("replicate").cast("string"), C("id").cast("string")))
     drawn = rows.withColumn("w", poisson_weight(hex_fraction(digest)))
-    part = lambda i: ratio(F.sum(C("w") * C(f"in_{i}") * C("label")), F.sum(C("w") * C(f"in_{i}")))
-    return drawn.groupBy("replicate").agg((part(0) - part(1)).alias("gap"))
+    before = Window.partitionBy("replicate", "model").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    places = F.greatest(F.lit(0), F.least(C("w"), F.lit(k) - F.coalesce(F.sum("w").over(before), F.lit(0))))
+    queues = drawn.withColumn("places", places).groupBy("replicate", "model").agg(
+        ratio(F.sum(C("places") * C("label")), F.sum("places")).alias("precision"),
+        F.sum("places").alias("filled"), F.max("rank").alias("ranks"))
+    short = (C("filled") < k) & (C("ranks") >= prefix)
+    precision = F.when(short, F.raise_error(F.lit("a replicate runs past the ranks kept")).cast("double")).otherwise(C("precision"))
+    part = lambda m: F.max(F.when(C("model") == m, precision))
+    return queues.groupBy("replicate").agg((part(models[0]) - part(models[1])).alias("gap"))
 
 
 def bootstrap_metric_ci(
     scores: DataFrame, models: tuple[str, str], k: int, replicates: int = 1000, seed: int = 7
 ) -> DataFrame:
-    """Mean and 95% interval of the difference of two models' precision at k."""
+    """Mean and 95% interval of the difference of two models' precision at k, every replicate with queues of its own."""
     gaps = bootstrap_precision_gaps(scores, models, k, replicates, seed)
     return gaps.agg(                    # one value per replicate: a bounded histogram
         F.count(F.lit(1)).alias("replicates"), F.avg("gap").alias("mean_gap"),

@@ -24,6 +24,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Ranks up to here are pruned in each task before their shuffle; the default stops at 1,000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

@@ -76,3 +76,61 @@ def test_bootstrap_weights_average_to_one(spark):
     u = spark.range(20000).select(M.hex_fraction(F.md5(C("id").cast("string"))).alias("u"))
     w = u.select(M.poisson_weight(C("u")).alias("w")).agg(F.avg("w").alias("m"), F.variance("w").alias("v")).first()
     assert w["m"] == pytest.approx(1.0, abs=0.05) and w["v"] == pytest.approx(1.0, abs=0.1)
+
+
+def ranked(rows, model):
+    import hashlib
+    mine = [r for r in rows if r[3] == model]
+    key = lambda r: (-(math.inf if math.isnan(r[4]) else r[4]) if r[4] is not None else math.inf,
+                     not (r[4] is not None and math.isnan(r[4])), r[4] is None, hashlib.md5(r[0].encode()).hexdigest(), r[0])
+    return [r[0] for r in sorted(mine, key=key)]
+
+
+def awkward_scores():
+    """Model a: distinct scores; b: two thirds tied; c: few rows; d: nulls, infinities and NaN; e: all tied."""
+    rng = random.Random(8)
+    out = [(f"a{i}", "g", i % 2, "a", rng.random()) for i in range(4000)]
+    out += [(f"b{i}", "g", i % 2, "b", 0.5 if i % 3 else rng.random()) for i in range(4000)]
+    out += [(f"c{i}", "g", i % 2, "c", float(i % 4)) for i in range(30)]
+    special = [None, math.inf, -math.inf, math.nan, 0.25]
+    out += [(f"d{i}", "g", i % 2, "d", special[i % 5]) for i in range(1000)]
+    return out + [(f"e{i}", "g", i % 2, "e", 1.0) for i in range(4000)]
+
+
+@pytest.mark.parametrize("k", [1, 25, 700, 5000])
+def test_top_rows_equal_a_full_sort(spark, k):
+    rows = awkward_scores()
+    df = make(spark, rows).repartition(7)
+    got = {}
+    for r in M.top_ranked(df, k).collect():
+        got.setdefault(r["model"], {})[r["rank"]] = r["id"]
+    for model in "abcde":
+        assert [got[model][i + 1] for i in range(len(got[model]))] == ranked(rows, model)[:k], model
+
+
+def test_few_rows_are_sorted_beside_the_best(spark):
+    rows = [r for r in awkward_scores() if r[3] in "abe"]
+    n = {r["model"]: r["count"] for r in M.top_candidates(make(spark, rows).repartition(5), 100).groupBy("model").count().collect()}
+    assert all(100 <= n[m] <= 400 for m in "abe"), n
+
+
+def test_bootstrap_ranks_each_replicate_anew(spark):
+    import hashlib
+    rng = random.Random(2)
+    rows = [(f"i{i}", "g", int(rng.random() < 0.3), m, round(rng.random(), 2)) for i in range(400) for m in ("x", "y")]
+    labels = {}
+    rows = [(i, g, labels.setdefault(i, y), m, s) for i, g, y, m, s in rows]
+    k, cdf = 40, M.poisson_cdf()
+
+    def weight(replicate, i):
+        u = int(hashlib.md5(f"3:{replicate}:{i}".encode()).hexdigest()[:8], 16) / 4294967296.0
+        return sum(u >= c for c in cdf)
+
+    def precision(replicate, model):
+        queue = [labels[i] for i in ranked(rows, model) for _ in range(weight(replicate, i))][:k]
+        return sum(queue) / len(queue)
+
+    got = {r["replicate"]: r["gap"] for r in M.bootstrap_precision_gaps(make(spark, rows), ("x", "y"), k, 20, 3).collect()}
+    assert got == pytest.approx({b: precision(b, "x") - precision(b, "y") for b in range(1, 21)})
+    whole = M.bootstrap_precision_gaps(make(spark, rows).where("id < 'i12'"), ("x", "y"), 300, 5, 3).collect()
+    assert len(whole) == 5                                       # fewer rows than places: all of them are the queue
