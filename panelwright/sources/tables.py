@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
 from panelwright.functions.cleaning import UNKNOWN
 
+MANIFEST = "_MANIFEST.json"       # names with an underscore are not read as data
 
 # ---- scans ---------------------------------------------------------------
 
@@ -118,15 +123,83 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def input_files(df: DataFrame) -> list[list]:
+    """(path, length, modification time) of every file that ``df`` reads, listed folder by folder."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folders: dict[str, set[str]] = {}
+    for file in df.inputFiles():
+        folder, _, name = file.rpartition("/")
+        folders.setdefault(folder, set()).add(unquote(name))
+    found = []
+    for folder, names in sorted(folders.items()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.getPath().getName() in names:
+                found.append([status.getPath().toString(), status.getLen(), status.getModificationTime()])
+    return sorted(found)
+
+
+def plan_digest(df: DataFrame) -> str | None:
+    """Digest of the analysed plan without the numbers that differ from run to run; None if its inputs are not all files.
+
+    Rows from the driver or an RDD, and Python functions, can change behind an equal plan.
+    """
+    plan = df._jdf.queryExecution().analyzed().treeString(True, False, 2**31 - 1, False, False)
+    if re.search(r"LocalRelation|LogicalRDD|ExternalRDD|InMemoryRelation|Python|Pandas|Arrow", plan):
+        return None
+    numbers: dict[str, int] = {}
+    plan = re.sub(r"#(\d+)", lambda m: f"#{numbers.setdefault(m[1], len(numbers))}", plan)
+    return hashlib.sha256(f"{plan}\n{df.schema.json()}".encode()).hexdigest()
+
+
+def manifest(df: DataFrame) -> str | None:
+    """What a stored result depends on: plan and input files. None where that cannot be told."""
+    digest = plan_digest(df)
+    return None if digest is None else json.dumps({"plan": digest, "files": input_files(df)})
+
+
+def _file(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, target = _file(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _file(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def materialize(df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """Run a heavy plan once and read it back: cuts lineage, survives executor loss.
 
-    An existing complete result is reused unless ``force``.
+    A complete result is reused, unless ``force``, when the manifest beside it says that it came from the same plan over
+    the same input files (path, length, time). A result whose inputs cannot be told so is written anew. The manifest is
+    taken before the plan runs and written after, so a change in between makes the next call write again.
     """
     spark = df.sparkSession
-    if force or not path_exists(spark, f"{path}/_SUCCESS"):
+    wanted = manifest(df)
+    note = f"{path}/{MANIFEST}"
+    if force or wanted is None or not path_exists(spark, f"{path}/_SUCCESS") or read_text(spark, note) != wanted:
         df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        if wanted is not None:
+            write_text(spark, note, wanted)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def metrics_long(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
