@@ -87,8 +87,8 @@ mom AS (SELECT content_hash_id,
 
 
 def _momentum(make, spark, sf, floor):
-    """Newest day first (one row), then a literal range that reaches the scan."""
-    end = W.latest_day(standins.events_daily(spark, sf))
+    """Newest day first, from file footers, then a literal range that reaches the scan."""
+    end = standins.last_event_day(spark, sf)
     recent = standins.events_daily(spark, sf, after=end - dt.timedelta(days=30))
     return make(recent, 15, floor, end)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
@@ -301,7 +303,8 @@ def tier_position(spark, sf):
 def trend_direction(spark, sf):
     from panelwright.plans.windows import momentum
 
-    moved = momentum(standins.events_daily(spark, sf), days=15, floor=0)
+    end = standins.last_event_day(spark, sf)
+    moved = momentum(standins.events_daily(spark, sf, after=end - dt.timedelta(days=30)), days=15, floor=0, end=end)
     customers = standins.table(spark, sf, "customer").select(C("c_custkey").alias("user_id"))
     joined = customers.join(moved, C("user_id").cast("string") == C("content_hash_id"), "left")
     return joined.select("user_id", tiers.trend_direction("imp_last", "imp_prev").alias("trend_direction"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
@@ -95,7 +97,9 @@ def cross_join_bounds(spark, sf):
     SELECT content_hash_id, COUNT(*) AS n, MIN(report_date) AS first_day FROM fact, b WHERE report_date > end_d - 60 GROUP BY 1""",
 )
 def theta_window_join(spark, sf):
-    rows = W.in_last_days(I.fact(spark, sf), 60)
+    end = standins.last_fact_day(spark, sf)
+    recent = standins.fact_daily(spark, sf, str(end - dt.timedelta(days=59)), str(end))
+    rows = W.in_last_days(recent, 60, end)
     return rows.groupBy("content_hash_id").agg(F.count(F.lit(1)).alias("n"), F.min("report_date").alias("first_day"))
 
 

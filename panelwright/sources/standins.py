@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.functions import tiers
+from panelwright.sources import tables
 
 C = F.col
 DAY0 = dt.date(2000, 12, 31)      # decision day of the page table
@@ -110,6 +111,17 @@ def query_fact(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def last_event_day(spark: SparkSession, sf: str) -> dt.date:
+    """Newest day of the events, from file footers; of an empty table a day before all others."""
+    last = tables.newest(spark, f"{sf}/events.parquet", "ts")
+    return last.date() if last else dt.date(1970, 1, 1)
+
+
+def last_fact_day(spark: SparkSession, sf: str) -> dt.date:
+    last = tables.newest(spark, f"{sf}/lineitem.parquet", "l_shipdate")
+    return last.date() if last else dt.date(1970, 1, 1)
+
+
 def events_daily(spark: SparkSession, sf: str, after: dt.date | None = None) -> DataFrame:
     """Event rows as a 30-day panel: one impression per event. ``after`` keeps
     later days only and reaches the scan as a pushed filter."""

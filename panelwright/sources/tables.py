@@ -5,11 +5,16 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
+from pyspark.sql.types import (
+    BooleanType, LongType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from panelwright.functions.cleaning import UNKNOWN
 
@@ -87,6 +92,49 @@ def union_dimension(key: str, *sources: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """SQL settings for the time of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# Parquet through the reader that answers MIN, MAX and COUNT from file footers.
+FROM_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def newest(spark: SparkSession, path: str, column: str):
+    """Largest value of a column of a Parquet table, None if it has none, without reading the column.
+
+    Spark's tasks take it from partition values or from the statistics in the file footers. Statistics of timestamps
+    are read as numbers of microseconds; as a file may hold other units, they only bound the scan that reads the newest row
+    groups. Where footers have no statistics the column is scanned.
+    """
+    rows = spark.read.parquet(path)
+    kind = rows.schema[column].dataType
+    timed = isinstance(kind, (TimestampType, TimestampNTZType))
+    with settings(spark, FROM_FOOTERS):
+        try:
+            footers = spark.read.schema(StructType([StructField(column, LongType())])) if timed else spark.read
+            found = footers.parquet(path).agg(F.max(column)).first()[0]
+        except (PySparkException, Py4JJavaError):   # a footer without statistics
+            return rows.agg(F.max(column)).first()[0]
+    if not timed or found is None:
+        return found
+    if isinstance(kind, TimestampNTZType):
+        least = F.expr(f"TIMESTAMP_NTZ'1970-01-01' + make_dt_interval(0, 0, 0, CAST({found} AS DECIMAL(20, 0)) / 1000000)")
+    else:
+        least = F.timestamp_micros(F.lit(found))
+    last = rows.where(F.col(column) >= least).agg(F.max(column)).first()[0]
+    return rows.agg(F.max(column)).first()[0] if last is None else last
+
+
 def max_value(df: DataFrame, column: str, name: str) -> DataFrame:
     """One-row bound; safe to broadcast."""
     return df.agg(F.max(column).alias(name))

@@ -66,6 +66,14 @@ def test_only_candidates_of_a_large_k_are_sorted(spark, sf, key):
     assert "cut" in below and below.index("Exchange hashpartitioning(model") < below.index("isnull(cut")
 
 
+@pytest.mark.parametrize("key, date", [
+    ("case_sums_last_prev", "ts"), ("case_avg_window", "ts"), ("momentum_frame", "ts"), ("momentum_volatility_frame", "ts"),
+    ("trend_direction", "ts"), ("theta_window_join", "l_shipdate")])
+def test_the_newest_day_is_a_literal_bound(spark, sf, key, date):
+    scans = [line for line in plan(CASES[key].query(spark, sf)).splitlines() if "FileScan" in line and date in line]
+    assert len(scans) == 1 and f"GreaterThanOrEqual({date}" in scans[0]
+
+
 def test_row_count_reads_no_columns(spark, sf):
     text = plan(CASES["table_row_counts"].query(spark, sf))
     assert text.count("ReadSchema: struct<>") == 14

@@ -60,3 +60,42 @@ def test_an_unfinished_result_is_written_again(spark, source, tmp_path):
     os.remove(f"{out}/_SUCCESS")
     first = written(out)
     assert T.materialize(rows, out).count() == 10 and written(out) != first
+
+
+@pytest.mark.parametrize("kind, unit", [("timestamp_ntz", "us"), ("timestamp_ntz", "ms"), ("timestamp", "us"), ("date", None), ("bigint", None)])
+def test_newest_value_comes_from_footers(spark, tmp_path, kind, unit):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    days = [dt.datetime(1965, 3, 1, 5, 6, 7, 8000), dt.datetime(2024, 2, 29, 23, 59, 59, 999000), None, dt.datetime(1999, 1, 1)]
+    for part, values in enumerate((days[:1], days[1:3], days[3:], [None])):
+        if kind == "bigint":
+            column = pa.array([v and v.toordinal() for v in values], pa.int64())
+        elif kind == "date":
+            column = pa.array([v and v.date() for v in values], pa.date32())
+        else:
+            column = pa.array(values, pa.timestamp(unit, "UTC" if kind == "timestamp" else None))
+        os.makedirs(tmp_path / "t", exist_ok=True)
+        pq.write_table(pa.table({"x": column, "y": pa.array([1] * len(values))}), tmp_path / "t" / f"{part}.parquet")
+    path = str(tmp_path / "t")
+    assert dict(spark.read.parquet(path).dtypes)["x"] == kind
+    want = spark.read.parquet(path).agg(F.max("x")).first()[0]
+    assert want is not None and T.newest(spark, path, "x") == want
+    with T.settings(spark, T.FROM_FOOTERS):
+        text = spark.read.schema("x bigint" if "time" in kind else f"x {kind}").parquet(path).agg(F.max("x"))
+        assert "PushedAggregation: [MAX(x)]" in text._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_newest_of_nothing_partitions_and_missing_statistics(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    empty, plain, parts = (str(tmp_path / n) for n in ("empty", "plain.parquet", "parts"))
+    spark.range(0).write.parquet(empty)
+    assert T.newest(spark, empty, "id") is None
+    pq.write_table(pa.table({"x": pa.array([3, 9, 4])}), plain, write_statistics=False)
+    assert T.newest(spark, plain, "x") == 9
+    spark.range(30).withColumn("month", F.concat(F.lit("2026-0"), (F.col("id") % 4).cast("string"))).write.partitionBy("month").parquet(parts)
+    assert T.newest(spark, parts, "month") == "2026-03"
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != T.FROM_FOOTERS["spark.sql.sources.useV1SourceList"]
