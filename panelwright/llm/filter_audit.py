@@ -27,8 +27,13 @@ from panelwright.session import scratch_path
 
 FILTERS = "ABCDE"
 REPEAT = 1 << FILTERS.index("E")
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BUCKET_ROWS = 1024       # rows of the table for each state value
+IN_MEMORY = 16_000       # state values, of some 60 kB, up to which they may stay in the executors' memory
+# Beyond that, state on the executors' disks, of which only changes go to the checkpoint. Spark takes 4 MB a partition for it.
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 MICRO_BATCHES = 4        # micro-batches that the files of a table are dealt to
 LEAST_WORDS = 200
 SYMBOLS, CAPITALS = b"#$%&*|", bytes(range(ord("A"), ord("Z") + 1))
@@ -61,16 +66,16 @@ def masked(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, part string, key binary, mask int")
 
 
-COLUMNS = ["settled", "doc_id", "part", "mask", "good", "toxic", "n"]
+COLUMNS = ["settled", "key", "doc_id", "part", "mask", "good", "toxic", "n"]
 CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
 
 
-def first_of_batch(rows: DataFrame) -> DataFrame:
+def first_of_batch(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows of a batch aggregated by text, before the shuffle to its state.
 
     Of each text only rows with the batch's smallest id ask for the state, equal ones as one row with their count.
     Others are repeats whatever comes: they, and rows without an id, which are compared with nothing, are settled.
-    Settled counts travel along under keys of their own that hold no state.
+    Settled counts travel along in any bucket and touch no state.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,57 +101,80 @@ def first_of_batch(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
                                              ["key", "settled", "doc_id", "part", "mask", "good", "toxic", "n"])
 
-    return rows.select("doc_id", "part", "key", "mask", "good", "toxic").mapInArrow(run, f"key binary, settled boolean, doc_id long, {CHANGE}")
+    rows = rows.select("doc_id", "part", "key", "mask", "good", "toxic")
+    firsts = rows.mapInArrow(run, f"key binary, settled boolean, doc_id long, {CHANGE}")
+    return firsts.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+
+
+def unpacked(state: GroupState) -> dict[bytes, list]:
+    """Of each text of a bucket: its smallest id, its own mask, and how many rows of (part, good, toxic) have that id."""
+    texts: dict[bytes, list] = {}
+    if state.exists:
+        held = pa.ipc.open_stream(state.get[0]).read_all()
+        for key, least, own, part, good, toxic, n in zip(*(c.to_pylist() for c in held.columns)):
+            texts.setdefault(key, [least, own, {}])[2][part, good, toxic] = n
+    return texts
+
+
+def packed(texts: dict[bytes, list]) -> tuple[bytes]:
+    rows = [(key, least, own, *who, n) for key, (least, own, held) in texts.items() for who, n in held.items()]
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.int64()]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["key", "least", "own", "part", "good", "toxic", "n"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_table(table)
+    return (out.getvalue().to_pybytes(),)
 
 
 def changes(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counter changes of one text. Its state: the smallest id, its own mask, and (part, good, toxic, n) of its rows."""
+    """Counter changes of the texts of one bucket."""
     out: Counter = Counter()
-    least, own, held = state.get if state.exists else (None, 0, [])
-    holders = Counter({tuple(h[:3]): h[3] for h in held})
-    moved = False
+    texts, moved = unpacked(state), False
     for frame in frames:
-        for settled, doc_id, part, mask, good, toxic, n in zip(*(frame[c].tolist() for c in COLUMNS)):
+        for settled, text, doc_id, part, mask, good, toxic, n in zip(*(frame[c].tolist() for c in COLUMNS)):
             if settled:
                 out[part, mask, good, toxic] += n
                 continue
-            if least is not None and doc_id > least:
+            known = texts.get(text)
+            if known is not None and doc_id > known[0]:
                 out[part, mask | REPEAT, good, toxic] += n
                 continue
-            if least is None or doc_id < least:
-                for (p, g, t), k in holders.items():                      # no longer the smallest: retract, count as repeats
-                    out[p, own, g, t] -= k
-                    out[p, own | REPEAT, g, t] += k
-                least, own = int(doc_id), mask
-                holders.clear()
+            if known is None or doc_id < known[0]:
+                for (p, g, t), k in known[2].items() if known else ():    # no longer the smallest: retract, count as repeats
+                    out[p, known[1], g, t] -= k
+                    out[p, known[1] | REPEAT, g, t] += k
+                known = texts[text] = [doc_id, mask, {}]
             out[part, mask, good, toxic] += n
-            holders[part, good, toxic] += n
+            known[2][part, good, toxic] = known[2].get((part, good, toxic), 0) + n
             moved = True
     if moved:
-        state.update((least, int(own), [(p, bool(g), bool(t), int(k)) for (p, g, t), k in holders.items()]))
+        state.update(packed(texts))
     rows = [(*row, n) for row, n in out.items() if n]
     if rows:
         yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
-STATE = "least long, own int, held array<struct<part:string,good:boolean,toxic:boolean,n:long>>"
-
-
 def marks(labels: DataFrame) -> DataFrame:
     """doc_id, good, toxic: one row an id, whatever one of its label rows says holds."""
     said = [F.coalesce(F.max(F.col(c) == 1), F.lit(False)).alias(n) for c, n in (("quality", "good"), ("toxic", "toxic"))]
     return labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*said)
 
 
-def counters(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(part, mask, good, toxic, n) of a stream of documents read to its end; ``labels`` is a table."""
+def counters(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """(part, mask, good, toxic, n) of a stream of documents read to its end; ``labels`` is a table.
+
+    The states of texts that share a bucket of their hash are stored as one value, since a call into Python costs
+    more than the work on a text.
+    """
     spark = docs.sparkSession
     python_batches(spark, 10_000, "16m")
     known = bounded(saved(marks(labels), "marks"))
     rows = masked(docs).join(known, "doc_id", "left").fillna(False, ["good", "toxic"])
-    asked = first_of_batch(rows).groupBy("key").applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
+    asked = first_of_batch(rows, buckets).groupBy("bucket").applyInPandasWithState(
+        changes, CHANGE, "texts binary", "append", GroupStateTimeout.NoTimeout)
     path = scratch_path(spark, "mask_changes")
-    spark.conf.set(PROVIDER, ON_DISK)     # the state of all texts may not fit in memory
+    for key, value in ON_DISK.items() if buckets > IN_MEMORY else ():
+        spark.conf.set(key, value)
     query = asked.writeStream.format("parquet").outputMode("append").trigger(availableNow=True) \
         .option("checkpointLocation", scratch_path(spark, "mask_state")).option("path", path).start()
     query.awaitTermination()
@@ -190,7 +218,12 @@ def _all(conditions: Iterable[Column]) -> Column:
     return out
 
 
-def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def buckets_of(rows: int) -> int:
+    """Buckets for a table of about so many rows."""
+    return max(1, -(-rows // BUCKET_ROWS))
+
+
+def audit(docs: DataFrame, labels: DataFrame, *, buckets: int = 4096) -> DataFrame:
     """Interaction of five filters over a stream of documents: what each removes, in each of their 120 orders.
 
     Filters: A under 200 words, B under half of the words distinct, C over 3% capitals, D a symbol, E text equal to that
@@ -201,6 +234,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     that repeat an id and its text are not repeats of each other; a label row repeated with other values counts as good
     or toxic if one of them says so. An empty table gives an empty result; other columns are ignored. Texts are
     compared by 128-bit hash. Rows of one text are aggregated in each batch before they go to its state, so any share
-    of the rows may be copies of one text. The state of a text is as small for a long text as for a short one.
+    of the rows may be copies of one text. The state of a text is as small for a long text as for a short one;
+    ``buckets`` says in how many values the states are stored, see ``buckets_of``.
     """
-    return report(counters(docs, labels))
+    return report(counters(docs, labels, buckets))

@@ -75,7 +75,8 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = filter_audit.file_stream(spark, f"{sf_dir}/documents.parquet")
-    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+    buckets = filter_audit.buckets_of(table(spark, sf_dir, "documents").count())
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"), buckets=buckets)
 
 
 QUERIES = {

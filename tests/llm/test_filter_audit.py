@@ -63,7 +63,7 @@ def streamed(spark, path, docs, labels, micro_batches):
         os.utime(file, (time.time() - 1000 + 10 * k,) * 2)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     stream = filter_audit.file_stream(spark, str(path / "documents.parquet"), micro_batches)
-    got = filter_audit.audit(stream, marks).collect()
+    got = filter_audit.audit(stream, marks, buckets=3).collect()
     out = {(r["part"], r["filter_order"], r["step"]): tuple(r[c] for c in COLUMNS) for r in got}
     assert len(out) == len(got)
     return out
@@ -87,6 +87,17 @@ def test_retractions_end_in_the_counts_of_the_whole_table(spark, tmp_path, micro
     assert got == brute([r for rows in docs for r in rows], LABELS)
 
 
+def test_state_on_disk_gives_the_same(spark, tmp_path, monkeypatch):
+    before = {k: spark.conf.get(k, None) for k in filter_audit.ON_DISK}
+    monkeypatch.setattr(filter_audit, "IN_MEMORY", 0)
+    try:
+        assert streamed(spark, tmp_path, LATE, LABELS, 4) == brute([r for rows in LATE for r in rows], LABELS)
+        assert "RocksDB" in spark.conf.get(next(iter(before)))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_awkward_rows_and_one_text_everywhere(spark, tmp_path):
     docs = [[(i, t, "en") for i, t, *_ in AWKWARD] + [(1000 - 50 * k - j, "hot", "en") for j in range(40)] for k in range(4)]
     assert streamed(spark, tmp_path, docs, [], 2) == brute([r for rows in docs for r in rows], [])
