@@ -1,5 +1,6 @@
 """Language, toxicity, secrets, main text: held-out quality, invariants and edge cases."""
 
+import math
 import hashlib
 import re
 import zlib
@@ -43,12 +44,68 @@ def test_language_edges(spark, docs_of):
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
 
 
-def test_unseen_words_back_off_to_shorter_grams():
-    model = language.model_of(["en"] * 4 + ["de"] * 4, ["thing", "nothing", "think", "that", "nicht", "macht", "recht", "und"], [5] * 8)
-    assert model.word("thing")[model.langs.index("en")] > model.word("thing")[model.langs.index("de")]
-    unseen = model.word("lichtung")
-    assert unseen is not None and unseen[model.langs.index("de")] > unseen[model.langs.index("en")]
-    assert model.word("漢字") is None or len(model.word("漢字")) == 2
+def brute_model(counts):
+    """Log frequencies by (size, entry), from plain counts."""
+    tables = {}
+    for lang, word, n in counts:
+        entries = [(0, word)] + [(k, f"^{word}$"[i:i + k]) for k in range(1, 6) for i in range(len(word) + 3 - k)]
+        for size, entry in entries:
+            by = tables.setdefault(size, {}).setdefault(entry, {})
+            by[lang] = by.get(lang, 0) + n
+    langs, out = sorted({c[0] for c in counts}), {}
+    for size, table_ in tables.items():
+        kept = {e: by for e, by in table_.items() if sum(by.values()) >= 2} or table_
+        totals = [sum(by.get(g, 0) for by in kept.values()) for g in langs]
+        for e, by in kept.items():
+            out[size, e] = [math.log((by.get(g, 0) + 0.5) / (t + 0.5 * len(kept))) for g, t in zip(langs, totals)]
+    return langs, out
+
+
+def brute_word(model, langs, word):
+    if (0, word) in model:
+        return model[0, word]
+    for k in range(5, 0, -1):
+        got = [model[k, f"^{word}$"[i:i + k]] for i in range(len(word) + 3 - k) if (k, f"^{word}$"[i:i + k]) in model]
+        if got:
+            return [sum(c) / len(got) for c in zip(*got)]
+    return [0.0] * len(langs)
+
+
+COUNTS = [(lang, w, n) for lang, text in (("en", "thing nothing think that a"), ("de", "nicht macht recht und ärger"))
+          for n, w in enumerate(text.split(), 1)]
+
+
+@pytest.mark.parametrize("counts", [COUNTS, [("en", "ab", 1), ("de", "cd", 1)]])
+def test_model_and_backoff_equal_brute_force(spark, counts):
+    model = language.model_of(spark.createDataFrame(counts, "lang string, word string, n long"))
+    langs, want = brute_model(counts)
+    assert model.langs == langs and len(model.words) + len(model.grams) == len(want)
+    for (size, entry), row in want.items():
+        assert model.table[(model.grams if size else model.words)[entry]] == pytest.approx(row, abs=1e-5)
+    tokens = ["thing", "lichtung", "thing,nicht", "漢字", "42", "und—rechtlich!", "a", "ab", "z"]
+    sums, words = model.scores(tokens)
+    for token, got, n in zip(tokens, sums, words):
+        found = language.words_of(token)
+        assert n == len(found)
+        assert got == pytest.approx([sum(c) for c in zip([0.0] * len(langs), *(brute_word(want, langs, w) for w in found))], abs=1e-4)
+
+
+def test_unseen_words_back_off_to_shorter_grams(spark):
+    words = ["thing", "nothing", "think", "that", "nicht", "macht", "recht", "und"]
+    rows = list(zip(["en"] * 4 + ["de"] * 4, words, [5] * 8))
+    model = language.model_of(spark.createDataFrame(rows, "lang string, word string, n long"))
+    (known, unseen), _ = model.scores(["thing", "lichtung"])
+    assert known[model.langs.index("en")] > known[model.langs.index("de")]
+    assert unseen[model.langs.index("de")] > unseen[model.langs.index("en")]
+
+
+def test_texts_of_more_tokens_than_are_remembered(spark, docs_of, monkeypatch):
+    train = [(k, f"the cat and the dog number {k}", "en") for k in range(60)] + [
+        (100 + k, f"der hund und die katze nummer {k}", "de") for k in range(60)]
+    rows = train + [(1000, " ".join(f"the{k}" for k in range(500)), "en"), (1001, "der hund " * 300, "de")]
+    want = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs_of(rows)).collect()}
+    monkeypatch.setattr(language, "KEPT_TOKENS", 40)
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs_of(rows)).collect()} == want
 
 
 def test_toxicity_on_held_out_rows(spark):
