@@ -6,7 +6,7 @@ on a whole segment (pigeonhole), so equal segment subsets give all candidate pai
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,7 @@ from panelwright.llm.common import bounded, python_batches, saved
 
 HOT_GROUP = 2000         # sets with one least shingle beyond which their keys are aggregated before they meet others
 STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that may be left are listed
+SMALL_KEY = 32           # sets of one key up to which all their pairs are tested
 CHUNK = 1 << 20          # bytes hashed at once
 
 _U = np.uint64
@@ -153,19 +154,40 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the set (``s1``, ``s2``) and its least shingle, of every row."""
+def parity(shingles: np.ndarray) -> bytes:
+    """A bitmap of two to four bits a shingle: whether an even or odd number of shingles fall on a bit.
+
+    Two sets differ in as many shingles at least as their bitmaps do in bits.
+    """
+    bits = 64
+    while bits < 2 * len(shingles):
+        bits *= 2
+    return np.packbits((np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ; a larger one is folded to the size of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def signatures(docs: DataFrame, shingle: int, text: bool = False) -> DataFrame:
+    """doc_id, n_shingles, a 128-bit hash of the set (``s1``, ``s2``), its least shingle and its ``parity``, of every row;
+    with its ``text`` if asked for."""
     python_batches(docs.sparkSession, 2000, "4m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
             rows = [(len(s), mixed(s + _U(1)).sum(dtype=np.uint64), mixed(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64),
-                     s[0] if len(s) else _U(0)) for s in shingle_sets(batch.column(1), shingle, hasher)]
-            cols = [np.array([r[k] for r in rows], np.uint64) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(_signed, cols)], ["doc_id", "n_shingles", "s1", "s2", "least"])
+                     s[0] if len(s) else _U(0), parity(s)) for s in shingle_sets(batch.column(1), shingle, hasher)]
+            cols = [_signed(np.array([r[k] for r in rows], np.uint64)) for k in range(4)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *cols, pa.array([r[4] for r in rows], pa.binary()), *batch.columns[1:1 + text]],
+                ["doc_id", "n_shingles", "s1", "s2", "least", "parity", *["text"] * text])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, least long")
+    schema = "doc_id long, n_shingles long, s1 long, s2 long, least long, parity binary" + ", text string" * text
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def index_keys(nodes: DataFrame, shingle: int, threshold: Threshold) -> DataFrame:
@@ -259,18 +281,38 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs whose sets are linked, from their full sets."""
+def near(pairs: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs that sizes and bitmaps leave: those of linked sets are among them."""
     p = threshold.percent
-    a = sets.select(F.col("id").alias("ia"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("ib"), F.col("shingles").alias("sb"))
-    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    met = pairs.join(a, F.col("a.i") == F.col("ia")).join(b, F.col("b.i") == F.col("ib")).where(100 * small >= p * large)
+    sides = [sketches.select(F.col("id").alias(f"i{s}"), F.col("n").alias(f"n{s}"), F.col("parity").alias(f"p{s}")) for s in "ab"]
+    met = pairs.join(sides[0], F.col("a.i") == F.col("ia")).join(sides[1], F.col("b.i") == F.col("ib"))
+    met = met.where(100 * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", "na", "nb", "pa", "pb")
+    python_batches(pairs.sparkSession, 4000, "16m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            apart = np.fromiter(map(bits_apart, batch.column(4).to_pylist(), batch.column(5).to_pylist()), np.int64, batch.num_rows)
+            yield batch.select([0, 1]).filter(pa.array(apart * (100 + p) <= size * (100 - p)))
+
+    return met.mapInArrow(run, met.select("a", "b").schema)
+
+
+def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Threshold) -> DataFrame:
+    """The pairs whose sets are linked, from their full sets; ``sets`` makes those of the ids asked for."""
+    p = threshold.percent
+    if pairs.isEmpty():
+        return pairs
+    ids = pairs.select(F.col("a.i").alias("id")).unionByName(pairs.select(F.col("b.i").alias("id"))).distinct()
+    full = saved(sets(bounded(saved(ids, "asked"))), "sets")
+    a = full.select(F.col("id").alias("ia"), F.col("shingles").alias("sa"))
+    b = full.select(F.col("id").alias("ib"), F.col("shingles").alias("sb"))
+    met = pairs.join(a, F.col("a.i") == F.col("ia")).join(b, F.col("b.i") == F.col("ib"))
     both = F.size(F.array_intersect("sa", "sb"))
     return met.where(100 * both >= p * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
 
-def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+def rare_pairs(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Threshold) -> DataFrame:
     """Pairs (a, b) of nodes in different components that can be linked, by their rarest shingles.
 
     Shingles stand in one order, rare ones first. The first that two linked sets share must leave both enough
@@ -279,13 +321,15 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: Threshold) -> DataF
     largest component is only paired with the rest, never with itself.
     """
     p = threshold.percent
-    tokens = sets.join(nodes, F.col("id") == F.col("node.i")).select(
-        "node", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    counted = saved(tokens, "open_shingles")
-    often = counted.groupBy("token").agg(F.count("*").alias("df"))
-    first = F.row_number().over(Window.partitionBy("node").orderBy("df", "token")) - 1
-    rows = counted.join(often, "token").withColumn("pos", first)
-    rows = saved(rows.where("df > 1").where(F.col("pos") * 100 <= F.col("n") * (100 - p)).drop("df"), "rare_shingles")
+    asked = bounded(saved(nodes.select(F.col("node.i").alias("id")).distinct(), "asked"))
+    tokens = sets(asked).select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    often = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    # Shingles that no other set has come first of all; only the others are numbered.
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "token")) - 1
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    rows = often.withColumn("pos", place + alone).where(F.col("pos") * 100 <= F.col("n") * (100 - p))
+    rows = rows.select("id", "n", "token", "pos").join(nodes, F.col("id") == F.col("node.i")).drop("id")
+    rows = saved(rows, "rare_shingles")
     comps = rows.groupBy("token", "comp").agg(F.count("*").alias("k"))
     main = comps.groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"))
     open_tokens = saved(main.where("comps > 1").select("token", "main"), "open_tokens")
@@ -298,19 +342,30 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: Threshold) -> DataF
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def linked(shared: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """(id, comp) of sets that share keys; ``shared`` is a saved table of (key, id), comp the least id.
+def linked(
+    shared: DataFrame, known: DataFrame, sketches: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Threshold,
+) -> DataFrame:
+    """(id, comp) of sets that share keys or have a ``known`` edge (a, b); ``shared`` is a saved table of (key, id), comp the
+    least id.
 
-    All pairs of a key are candidates, but a link inside a component tells nothing new. So each round tests, for every
-    key that holds more than one component, its members against one of them: first the set with most shared keys, the
-    centre of a group of near copies. A link still missing joins two components over a key that both are left in;
+    All pairs of a key are candidates, but a link inside a component tells nothing new. First, for every key, its
+    members are tested against one of them: the set with most shared keys, the centre of a group of near copies. Then,
+    of keys that still hold more than one component, the small ones have all pairs of components tested, the others test
+    their members against another one. A link still missing joins two components over a large key that both are left in;
     of the pairs of such sets, ``rare_pairs`` lists those that can be links, and all of them are tested. Nodes are
     ordered by shared keys and id, so that components contract to the centres at once.
     """
-    degree = shared.groupBy("id").agg(F.count("*").alias("degree"))
+    ids = known.select(F.col("a").alias("id")).unionByName(known.select(F.col("b").alias("id")))
+    degree = shared.select("id", F.lit(1).alias("k")).unionByName(ids.select("id", F.lit(0).alias("k"))).groupBy("id").agg(
+        F.sum("k").alias("degree"))
     node = F.struct((-F.col("degree")).alias("d"), F.col("id").alias("i")).alias("node")
-    shared = saved(shared.join(degree, "id").select("key", node), "members")
     comp = saved(degree.select(node, node.alias("comp")), "nodes")
+    of = lambda side: comp.select(F.col("node.i").alias(side), F.col("node").alias(f"{side}_node"))
+    edges = known.join(of("a"), "a").join(of("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    comp = joined(comp, saved(edges, "known"))
+    size = Window.partitionBy("key")
+    shared = saved(shared.join(degree, "id").select("key", node).withColumn(
+        "small", F.count("*").over(size) <= SMALL_KEY), "members")
     tested = None
     for turn in range(STAR_ROUNDS + 1):
         placed = shared.join(comp, "node")
@@ -320,23 +375,35 @@ def linked(shared: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFram
         placed = saved(placed.join(split, "key"), "open_members")
         if placed.isEmpty():
             break
-        shared = placed.select("key", "node")
-        if turn < STAR_ROUNDS:
-            pairs = placed.where("comp != hub_comp").select(
-                F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        star = placed.where("comp != hub_comp").select(
+            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "small")
+        if turn < STAR_ROUNDS - 1:
+            shared, pairs = placed.select("key", "node", "small"), star.drop("small")
+        elif turn == STAR_ROUNDS - 1:
+            few = placed.where("small")
+            other = few.select("key", F.col("node").alias("b"), F.col("comp").alias("b_comp"))
+            every = few.select("key", F.col("node").alias("a"), "comp").join(other, "key").where("a < b and comp != b_comp")
+            pairs = star.where("not small").drop("small").unionByName(every.select("a", "b"))
+            shared = placed.where("not small").select("key", "node", "small")
         else:
             pairs = rare_pairs(placed.select("node", "comp").distinct(), sets, threshold)
+        pairs = pairs.distinct()
         pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = saved(verified(pairs, sets, threshold), "links")
-        if not links.isEmpty():
-            known = comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-            labels = components(known.unionByName(links)).select(F.col("id").alias("node"), F.col("comp").alias("new"))
-            comp = saved(comp.join(labels, "node", "left").select("node", F.coalesce("new", "node").alias("comp")), "comp")
+        comp = joined(comp, saved(verified(saved(near(pairs, sketches, threshold), "near"), sets, threshold), "links"))
     least = comp.groupBy("comp").agg(F.min("node.i").alias("least"))
     return comp.join(least, "comp").select(F.col("node.i").alias("id"), F.col("least").alias("comp"))
 
 
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after further links (a, b) of nodes."""
+    if links.isEmpty():
+        return comp
+    known = comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    labels = components(known.unionByName(links)).select(F.col("id").alias("node"), F.col("comp").alias("new"))
+    return saved(comp.join(labels, "node", "left").select("node", F.coalesce("new", "node").alias("comp")), "comp")
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Component of every document under shingle-set Jaccard of ``percent`` / 100 or more.
 
@@ -347,30 +414,45 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     collisions inside two documents, not in the table.
     """
     threshold = Threshold(percent)
+    kind = ["s1", "s2", "n_shingles"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = saved(signatures(docs, shingle), "signatures")
     sets = marks.where("n_shingles > 0 and doc_id is not null")
-    kinds = saved(sets.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("least").alias("least"),
-                                                            F.count("*").alias("copies")), "kinds")
+    kinds = sets.groupBy(*kind).agg(F.min("doc_id").alias("first"), F.min("least").alias("least"), F.min("parity").alias("parity"),
+                                    F.count("*").alias("copies"))
+    # A set is named by the least id that has it; of several sets with the same one, all but one by a hash.
+    turn = F.row_number().over(Window.partitionBy("first").orderBy(*kind))
+    kinds = saved(kinds.withColumn("id", F.when(turn == 1, F.col("first")).otherwise(F.xxhash64("first", *kind))), "kinds")
     crowded = kinds.groupBy("least").count().where(F.col("count") > HOT_GROUP).select("least")
-    copies = sets.join(bounded(saved(kinds.where("copies > 1"), "copied")).select("s1", "s2", "n_shingles", "id"),
-                       ["s1", "s2", "n_shingles"]).where("doc_id != id").select("doc_id")
-    copies = bounded(saved(copies.distinct(), "copies"))
-    hot = kinds.join(F.broadcast(saved(crowded, "crowded")), "least", "left_semi").select("id")
-    hot = bounded(saved(hot, "hot")).withColumn("__hot", F.lit(True))
+    # Ids with several sets, and the sets of each as edges.
+    several = sets.select("doc_id", *kind).distinct().withColumn("sets", F.count("*").over(Window.partitionBy("doc_id")))
+    several = saved(several.where("sets > 1").join(kinds.select("id", *kind), kind).select("doc_id", "id"), "several")
+    known = several.join(several.groupBy("doc_id").agg(F.min("id").alias("b")), "doc_id").where("id != b").select(
+        F.col("id").alias("a"), "b")
+    several = bounded(saved(several.select("doc_id").distinct(), "repeated_ids"))
+    copies = sets.join(bounded(saved(kinds.where("copies > 1").select(*kind, "first"), "copied")), kind).where("doc_id != first")
+    copies = saved(copies.select("doc_id").distinct(), "copies")
+    hot = kinds.join(bounded(saved(crowded, "crowded")), "least", "left_semi").select("id")
+    hot = bounded(saved(hot, "hot")).withColumn("hot", F.lit(True))
     # A document whose set another one has first is left out: its links are those of the other.
-    nodes = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
-    nodes = nodes.join(hot, "id", "left").select("id", F.coalesce("__hot", F.lit(False)).alias("hot"), "text")
-    shared = saved(shared_keys(index_keys(nodes, shingle, threshold)).distinct(), "shared")
-    ids = bounded(saved(shared.select("id").distinct(), "candidates"))
-    held = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-    comp = linked(shared, saved(stored_sets(held, shingle), "sets"), threshold)
+    docs = docs.where("doc_id is not null")
+    once = docs.join(several, "doc_id", "left_anti").join(bounded(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
+    more = signatures(docs.join(several, "doc_id", "left_semi"), shingle, text=True).join(kinds.select("id", "first", *kind), kind)
+    nodes = once.unionByName(more.where(F.col("doc_id") == F.col("first")).select("id", "text").dropDuplicates(["id"]))
+    keys = index_keys(nodes.join(hot, "id", "left").select("id", F.coalesce("hot", F.lit(False)).alias("hot"), "text"), shingle, threshold)
+    shared = saved(shared_keys(keys), "shared")
+    met = bounded(saved(shared.select("id").distinct(), "candidates"))
+    sketches = saved(kinds.join(met, "id", "left_semi").select("id", F.col("n_shingles").alias("n"), "parity"), "sketches")
+    comp = linked(shared, saved(known, "same_id"), sketches,
+                  lambda ids: stored_sets(nodes.join(ids, "id", "left_semi"), shingle), threshold)
     comp = saved(comp, "components")
-
-    of_kind = kinds.join(comp, "id", "left").select("s1", "s2", "n_shingles", F.coalesce("comp", "id").alias("comp"))
-    return marks.join(of_kind, ["s1", "s2", "n_shingles"], "left").select(
+    # The least id of a component is that of its sets' first documents.
+    comp = kinds.join(comp, "id", "left").select(*kind, "first", F.coalesce("comp", "id").alias("comp"))
+    least = comp.groupBy("comp").agg(F.min("first").alias("component"))
+    of_kind = saved(comp.join(least, "comp").select(*kind, "component"), "component_of_set")
+    return marks.join(of_kind, kind, "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("comp"))).otherwise(F.col("doc_id"))
+        F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
         .alias("component_id"))
 
 

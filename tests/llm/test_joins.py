@@ -76,6 +76,40 @@ def test_join_of_hot_groups(docs_of, monkeypatch):
     assert got == brute_components(rows, 3, 90)[0]
 
 
+@pytest.mark.parametrize("small", [0, 2, 1000])
+def test_join_whatever_keys_count_as_small(docs_of, monkeypatch, small):
+    monkeypatch.setattr(set_join, "SMALL_KEY", small)
+    passage = " ".join(f"p{k}" for k in range(12))               # shared by texts that are not linked otherwise
+    rows = list(enumerate([f"{passage} {t}" for s in range(6) for t in near_copies(s, 15 + 10 * s, 8)] + near_copies(7, 90, 30)))
+    got = {r["doc_id"]: r["component_id"] for r in set_join.near_duplicates(docs_of(rows), shingle=3, percent=80).collect()}
+    assert got == brute_components(rows, 3, 80)[0]
+
+
+def test_join_of_ids_with_several_texts(docs_of):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(n))
+    a, b, c = text(60), text(60), text(60)
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, c), (5, c), (5, a + " more"), (7, text(50)), (7, text(50)), (7, c), (8, text(40))]
+    got = set_join.near_duplicates(docs_of(rows), shingle=3, percent=90).collect()
+    want = brute_components(rows, 3, 90)[0]
+    assert want[3] == want[5] == 1 and {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(rows)
+    rows += [(9, f"{a} {k}") for k in range(30)]                 # one id with many texts, next to another's
+    got = {r["doc_id"]: r["component_id"] for r in set_join.near_duplicates(docs_of(rows), shingle=3, percent=90).collect()}
+    assert got == brute_components(rows, 3, 90)[0]
+
+
+def test_bitmaps_never_differ_by_more_than_their_sets():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 2), (30, 40), (64, 64), (100, 140), (500, 900), (31, 3000)):
+        base = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+        for k in (0, 1, n // 3):
+            a, b = base[:n], np.concatenate([base[:n - k], base[3000 - m:]])[:m]
+            assert set_join.bits_apart(set_join.parity(a), set_join.parity(b)) <= len(np.setxor1d(a, b))
+        assert set_join.bits_apart(set_join.parity(base[:n]), set_join.parity(base[:n])) == 0
+    assert set_join.bits_apart(set_join.parity(base[:500]), set_join.parity(base[1000:1500])) > 300
+
+
 def test_join_edges(docs_of, spark):
     assert set_join.near_duplicates(docs_of([(1, "x")]).limit(0)).count() == 0
     got = {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in set_join.near_duplicates(docs_of([(None, "a b"), (2, None)])).collect()}
