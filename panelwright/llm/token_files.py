@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import string
 import zlib
 from collections.abc import Iterator
@@ -17,10 +18,10 @@ from panelwright.llm.common import python_batches, running_total, saved
 
 END_ID = 2
 KNOWN_PIECES = 800_000   # pieces whose ids a worker remembers; further ones are encoded in each batch
-# White space next to a space or a line feed, or at the end: such texts, and those with the text of a special token,
+# White space next to a space or a line feed, or at either end: such texts, and those with the text of a special token,
 # are encoded in one go.
 WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-UNEVEN = rf"[ \n]{WHITE}|{WHITE}\n|{WHITE}$|\x00"
+UNEVEN = rf"^{WHITE}|[ \n]{WHITE}|{WHITE}\n|{WHITE}$|\x00"
 # Punctuation that ends a word: after a letter it starts a new pre-token. The apostrophe may not.
 TAIL = string.punctuation.replace("'", "")
 LETTER_END = "[A-Za-zÀ-ÖØ-öø-ÿ]$"
@@ -43,6 +44,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = _cut_safely(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})     # after a space; elsewhere
         # Entries 0 to 2: nothing, the end of a text, a line feed.
@@ -91,7 +93,7 @@ class PieceEncoder:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
         kept = (self.ids, self.starts, self.sizes, [len(k) for k in self.known])
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        uneven = pc.match_substring_regex(texts, UNEVEN)
+        uneven = pc.match_substring_regex(texts, UNEVEN if self.cuts else "")
         for token in self.special:
             uneven = pc.or_(uneven, pc.match_substring(texts, token))
         whole = pc.indices_nonzero(uneven).to_numpy().astype(np.int64)
@@ -102,10 +104,10 @@ class PieceEncoder:
         coded = cut.flatten().dictionary_encode()
         use, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         cores = pc.utf8_rtrim(words, characters=TAIL)
-        cores = pc.if_else(pc.match_substring_regex(cores, LETTER_END), cores, words).to_pylist()
-        words = words.to_pylist()
-        tails = [w[len(c):] for w, c in zip(words, cores)]
-        feed = np.fromiter((w == "\x00" for w in words), bool, len(words))[use]
+        cores = pc.if_else(pc.match_substring_regex(cores, LETTER_END), cores, words)
+        tailed = pc.indices_nonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(cores)))
+        tails = [w[len(c):] for w, c in zip(words.take(tailed).to_pylist(), cores.take(tailed).to_pylist())]
+        feed = pc.equal(words, "\x00").to_numpy(zero_copy_only=False)[use]
         opening = np.zeros(len(use), bool)
         opening[first[:-1]] = True
         opening[1:] |= feed[:-1]
@@ -114,8 +116,9 @@ class PieceEncoder:
         slot = np.zeros((2, len(words)), np.int64)           # by place: after a space, elsewhere
         for place, mask in enumerate((~opening & ~feed, opening)):
             wanted = np.flatnonzero(np.bincount(use[mask], minlength=len(words)))
-            slot[place, wanted] = self._slots_of([cores[i] for i in wanted], place == 0)
-        tail = self._slots_of(tails, False)
+            slot[place, wanted] = self._slots_of(cores.take(pa.array(wanted)), place == 0)
+        tail = np.zeros(len(words), np.int64)
+        tail[tailed.to_numpy()] = self._slots_of(pa.array(tails, pa.large_string()), False)
         plain = self.tokenizer.encode_batch(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)
         entry = len(self.starts)
         own = [np.array(e.ids, np.int32) for e in plain]
@@ -133,10 +136,18 @@ class PieceEncoder:
             self.ids, self.starts, self.sizes = kept[:3]
         return out, np.diff(ends, prepend=0)
 
-    def _slots_of(self, pieces: list[str], space: bool) -> np.ndarray:
-        unique: dict[str, int] = {}
-        back = np.fromiter((unique.setdefault(p, len(unique)) for p in pieces), np.int64, len(pieces))
-        return self._slots(list(unique), space)[back] if unique else np.zeros(0, np.int64)
+    def _slots_of(self, pieces: pa.Array, space: bool) -> np.ndarray:
+        coded = pieces.dictionary_encode()
+        return self._slots(coded.dictionary.to_pylist(), space)[coded.indices.to_numpy()]
+
+
+def _cut_safely(path: str) -> bool:
+    """Whether texts may be cut at the places above: pre-tokens of byte-level BPE, as they are. Else texts are encoded whole."""
+    with open(path, encoding="utf-8") as file:
+        kind = json.load(file)
+    split = kind.get("pre_tokenizer") or {}
+    return (kind.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+            and not split.get("add_prefix_space") and kind.get("model", {}).get("type") == "BPE")
 
 
 @functools.lru_cache(maxsize=1)
@@ -153,7 +164,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     are empty (the end id alone), null ids come first, repeated rows are written as often as they come, other columns
     are ignored, an empty table writes no rows.
     """
-    python_batches(docs.sparkSession, 2000, "8m")
+    python_batches(docs.sparkSession, 1000, "4m")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer_file, end_id)
@@ -165,6 +176,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int64)), lists],
                                              ["doc_id", "n_tokens", "ids"])
+            pa.default_memory_pool().release_unused()     # the worker lives on beside others
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids array<int>") \

@@ -1,7 +1,10 @@
 """Token files, tool calls and the pipeline: exact round trips."""
 
 import json
+import random
+import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -52,6 +55,41 @@ def test_token_files_of_nothing(spark, docs_of):
     assert token_files.token_index(token_files.read_token_files(spark, path)).count() == 0
 
 
+WHITES = [chr(c) for c in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+                           0x205F, 0x3000, 0x200B, 0xFEFF)]
+OTHERS = ["a", "lead", "x", "The", "don't", "'s", "'ll", "é", "ß", "漢字", "Ω", "12", "3", "!", "?!", "...", "#", "(", "-", "_", "'", '"',
+          "𝒳", "\x00", "ſ", "’", "İ", "Ⅷ", "²", "ª", "_a", "A1", "1a"]
+
+
+def encoded_alike(encoder, texts):
+    import pyarrow as pa
+    for a in range(0, len(texts), 500):
+        ids, sizes = encoder.encode(pa.array(texts[a:a + 500], pa.string()))
+        at = 0
+        for text, n in zip(texts[a:a + 500], sizes):
+            assert ids[at:at + n].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
+            at += n
+
+
+def test_any_white_space_encodes_as_in_the_whole_text():
+    rng = random.Random(1)
+    piece = lambda: rng.choice([*WHITES, " ", " ", "\n"] if rng.random() < 0.45 else OTHERS)
+    texts = ["".join(piece() for _ in range(rng.randint(0, 9))) for _ in range(8000)]
+    encoded_alike(token_files.PieceEncoder(FILE, 2), ["x y", "\xa0\xa0lead", *(w + w + "lead" for w in WHITES), *texts])
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json as js
+    with open(FILE, encoding="utf-8") as file:
+        kind = js.load(file)
+    kind["pre_tokenizer"]["add_prefix_space"] = True
+    other = tmp_path / "tokenizer.json"
+    other.write_text(js.dumps(kind), encoding="utf-8")
+    encoder = token_files.PieceEncoder(str(other), 2)
+    assert not encoder.cuts
+    encoded_alike(encoder, ["x y", "lead on", "", " a\nb"])
+
+
 def test_frequent_pieces_beyond_the_memory(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(token_files, "KNOWN_PIECES", 3)
@@ -118,11 +156,17 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, sf):
     want = {r[0] for r in brute_contamination([(r["doc_id"], r["text"]) for r in one.collect()], items) if not r[5]}
     assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == want
     mix = stages[names[3]](spark, clean, sf).cache()
-    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(clean).collect()}
-    got = {}
-    for r in mix.collect():
-        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(r["text"].split())
-    assert mix.columns == docs.columns and got == {i: n for i, n in taken.items() if n}
+    texts = {r["doc_id"]: (r["source"], r["text"]) for r in clean.collect()}
+    got = defaultdict(int)
+    for r in mix.collect():                                    # whole documents, up to three times
+        assert texts[r["doc_id"]] == (r["source"], r["text"])
+        got[r["doc_id"]] += 1
+    assert mix.columns == docs.columns and max(got.values()) <= 3
+    words = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, (_, t) in texts.items()}
+    target = {r["source"]: r["target"] for r in mixing.mix(clean).collect()}
+    for source, wanted in target.items():                      # a source misses its target by half of a document at most
+        ids = [i for i, (s, _) in texts.items() if s == source]
+        assert abs(sum(words[i] * got[i] for i in ids) - wanted) <= max(words[i] for i in ids) / 2 + 1
     last = stages[names[4]](spark, mix, sf)
     texts = [(r["doc_id"], r["text"]) for r in mix.collect()]
     want, at = [], 0
