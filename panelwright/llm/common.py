@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,6 +81,22 @@ def python_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> N
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def worker_state(owner: str, make=lambda: None):
+    """What ``owner`` keeps in this Python worker between tasks; what others kept here is let go.
+
+    Workers are reused by later stages, whose own needs would else come on top.
+    """
+    if owner not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+_KEPT: dict[str, object] = {}
+
+
 def _ship_package(spark: SparkSession) -> None:
     """Add the package to the job's Python files once per application, so that executors need no copy of it."""
     context = spark.sparkContext

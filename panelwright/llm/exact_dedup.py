@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.common import SPACE, bounded, saved
 
+SLICE_ROWS, MOST_SLICES = 200, 1024      # how the rows of one group are dealt to tasks
+
 
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space become one space; null counts as empty."""
@@ -27,8 +29,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null text equals empty text. Null ids sort last: a class made of them only has a null ``keep_id``. When an
     id is repeated, every row with the smallest id is kept. An empty table gives an empty result; other columns
-    are ignored. A group may hold any share of the rows: ids and hashes are pre-aggregated before their shuffle. The
-    byte comparison of one group still runs in one task, row by row, beside the group's first text.
+    are ignored. A group may hold any share of the rows: ids and hashes are pre-aggregated before their shuffle, and
+    the rows of a large group meet copies of its first text in slices of about ``SLICE_ROWS`` rows, dealt by id (rows that repeat one id, or have none, share a slice).
     """
     docs = docs.select(F.col(id_col).alias("__id"), normalised(F.col(text_col)).alias("__text"))
     marks = saved(
@@ -39,9 +41,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = bounded(saved(groups.where("__n > 1"), "groups"))
 
     members = docs.withColumn("__h", digest(F.col("__text"))).join(groups, "__h")
-    first = members.where(F.col("__id") == F.col("__first")).groupBy("__h").agg(F.min("__text").alias("__want"))
-    first = saved(first, "first_texts")
-    others = members.join(first, "__h").where(F.col("__text") != F.col("__want"))
+    slices = F.least(F.lit(MOST_SLICES), F.ceil(F.col("__n") / SLICE_ROWS)).cast("int")
+    first = members.where(F.col("__id").eqNullSafe(F.col("__first"))).groupBy("__h").agg(
+        F.min("__text").alias("__want"), F.max(slices).alias("__slices"))
+    first = saved(first, "first_texts").select("__h", "__want", F.explode(F.sequence(F.lit(0), F.col("__slices") - 1)).alias("__slice"))
+    members = members.withColumn("__slice", F.pmod(F.xxhash64(F.lit(5), "__id"), slices).cast("int"))
+    others = members.join(first, ["__h", "__slice"]).where(F.col("__text") != F.col("__want"))
     # Rows of a group whose text is not the first one: none, unless two texts share a hash.
     strays = saved(others.groupBy("__h", "__text").agg(F.min("__id").alias("__own"), F.count("*").alias("__m"))
                    .select("__h", F.sha2("__text", 256).alias("text_sha256"), "__own", "__m"), "strays")

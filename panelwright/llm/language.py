@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from panelwright.llm.common import fold, labelled_sample, python_batches, saved
+from panelwright.llm.common import fold, labelled_sample, python_batches, saved, worker_state
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5              # characters of the longest n-gram
@@ -82,6 +82,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE_DOCS, seed: int = 11) -> Langua
     python_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language")
         for batch in batches:
             counts: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -135,6 +136,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language")
         model = shared.value
         size = len(model.langs)
         seen: dict[str, int] = {}

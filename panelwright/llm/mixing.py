@@ -13,6 +13,7 @@ Schedule = Sequence[tuple[float, float]]
 
 # Relative demand over training time by weight: light sources early, heavy ones late.
 SCHEDULES: dict[int, Schedule] = {1: ((0, 1.5), (1, 0.5)), 2: ((0, 1.0), (1, 1.0)), 3: ((0, 0.5), (1, 1.5))}
+FLAT: Schedule = ((0, 1.0), (1, 1.0))       # of weights without a schedule
 MAX_EPOCHS = 3
 
 
@@ -79,7 +80,7 @@ def mix(
     of the id, laid end to end and repeated; the target covers a stretch of that line. A document's copies are the
     parts of it under the stretch, so the last one may be cut to its first words and a source's words meet its target
     to the word. The share of the target spent before a copy, put through the inverse of the source's integrated
-    demand, is the copy's training position.
+    demand, is the copy's training position. Weights without an entry in ``schedules`` are spent evenly.
 
     Returns one row per input row: doc_id, source, size, source_size, target, taken and ``copies`` (array of
     position and words). Null or empty texts have size 0 and are never taken. Null ids are ordered by their text's
@@ -105,6 +106,8 @@ def mix(
         for w, schedule in schedules.items():
             by = time_of(share, schedule)
             time = F.when(F.col("weight") == w, by) if time is None else time.when(F.col("weight") == w, by)
+        flat = time_of(share, FLAT)
+        time = flat if time is None else time.otherwise(flat)
         return F.struct(time.alias("position"), words.cast("long").alias("words"))
 
     copies = F.filter(F.transform(F.sequence(F.lit(0), F.lit(max_epochs - 1)), copy), lambda c: c["words"] > 0)

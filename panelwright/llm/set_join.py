@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import bounded, python_batches, saved
+from panelwright.llm.common import bounded, python_batches, saved, worker_state
 
 HOT_GROUP = 2000         # sets with one least shingle beyond which their keys are aggregated before they meet others
 STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that may be left are listed
@@ -177,6 +177,7 @@ def signatures(docs: DataFrame, shingle: int, text: bool = False) -> DataFrame:
     python_batches(docs.sparkSession, 2000, "4m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("set_join")
         hasher = WordHasher()
         for batch in batches:
             rows = [(len(s), mixed(s + _U(1)).sum(dtype=np.uint64), mixed(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import string
 import zlib
@@ -14,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import python_batches, running_total, saved
+from panelwright.llm.common import python_batches, running_total, saved, worker_state
 
 END_ID = 2
 KNOWN_PIECES = 800_000   # pieces whose ids a worker remembers; further ones are encoded in each batch
@@ -150,10 +149,9 @@ def _cut_safely(path: str) -> bool:
             and not split.get("add_prefix_space") and kind.get("model", {}).get("type") == "BPE")
 
 
-@functools.lru_cache(maxsize=1)
 def worker_encoder(path: str, end_id: int) -> PieceEncoder:
     """One encoder per worker process, so that tasks that follow each other share what it remembers."""
-    return PieceEncoder(path, end_id)
+    return worker_state(f"token_files {path} {end_id}", lambda: PieceEncoder(path, end_id))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:

@@ -37,6 +37,27 @@ def test_dedup_equals_brute_force_even_when_hashes_collide(docs_of, digest):
     assert rows_of(got) == sorted(brute_dedup(rows), key=repr)
 
 
+@pytest.mark.parametrize("ids", [[None] * 6, [None, 4, 4, None, 2, 2]])
+def test_dedup_compares_bytes_without_ids_and_in_slices(docs_of, monkeypatch, ids):
+    monkeypatch.setattr(exact_dedup, "SLICE_ROWS", 1)
+    rows = list(zip(ids, ["a", "b", "a", "c", "c", "c"])) + [(100 + k, "abc"[k % 3]) for k in range(30)]
+    got = exact_dedup.deduplicate(docs_of(rows), digest=lambda t: F.lit(0))
+    want = brute_dedup(rows)
+    if None in ids[:1] and set(ids) == {None}:
+        assert rows_of(got) == sorted(want, key=repr)
+    else:                                                   # ids that repeat: classes and sizes
+        assert sorted((r[2], r[4]) for r in rows_of(got)) == sorted((r[2], r[4]) for r in want)
+    alone = exact_dedup.deduplicate(docs_of([(None, t) for t in "aba"]), digest=lambda t: F.lit(0))
+    assert sorted(r["group_size"] for r in alone.collect()) == [1, 2, 2]
+
+
+def test_weights_without_a_schedule_are_spent_evenly(docs_of):
+    docs = docs_of([(k, "w " * 10, "en", f"s{k % 2}") for k in range(40)])
+    copies = [c for r in mixing.mix(docs, weights=(1, 5)).collect() for c in r["copies"] if r["source"] == "s1"]
+    places = sorted(c["position"] for c in copies)
+    assert places[0] == 0 and places == pytest.approx([k / len(places) for k in range(len(places))], abs=0.06)
+
+
 def test_dedup_of_nothing(docs_of):
     assert exact_dedup.deduplicate(docs_of([(1, "x")]).limit(0)).count() == 0
 
