@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from panelwright.llm.common import python_batches
 
 # Element names by their role in HTML. Annotations are sources of a formula, which browsers do not show.
-RAW = ("script|style|noscript|template|textarea|iframe|svg|object|title|xmp|noembed|noframes|annotation-xml|annotation")
+RAW = frozenset("script style noscript template textarea iframe svg object title xmp noembed noframes annotation-xml annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -27,63 +27,127 @@ WRAPPERS = frozenset("form fieldset dialog header".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promos banner cookie "
-    "cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login sidebar "
+    "cookies cc consent gdpr popup modal overlay newsletter subscribe subscription signup login sidebar "
     "widget widgets related recommended recommendations menu nav navbar navigation navi breadcrumb breadcrumbs pagination "
     "pager masthead topbar footer foot copyright disclaimer sharing comment comments respond "
-    "reply replies disqus toolbar form hidden".split())
+    "reply replies feedback disqus toolbar form hidden".split())
 # Words that name parts of an article just as well.
 TWOFOLD_WORDS = frozenset(
     "header share social side rail legal notice notices alert search discussion skip promotion".split())
 NEUTRAL_WORDS = frozenset(
     "site page main top bottom left right primary secondary global list area box container wrapper wrap section block item "
-    "items inner outer body content slot bar buttons links panel group row col column post posts".split())
+    "items user users reader readers inner outer body content slot bar buttons links panel group row col column post posts".split())
 KEPT_ROOTS = frozenset("html body main".split())
 NAMED, MAYBE = 0.1, 0.7      # what class names leave of a ratio: the whole name is chrome, or some of its words
+SECOND = 0.69                # all words of the name have a second meaning
+LINKED = 0.9                 # share of link text from which a block is a menu entry
 CLOSED_BY_SIBLING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""",
-    re.S | re.I)
-ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\bhidden\b)""", re.S)
+NAME = re.compile(r"[A-Za-z][^\s/><]*")
+# What follows a tag's name: quoted values may hold anything, and a new tag ends an unclosed one.
+REST = re.compile(r"""((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""")
+ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW}
+ATTRIBUTE = re.compile(
+    r"""(?<![^\s"'>/=])([^\s"'>/=]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|(\bhidden\b)""", re.S)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
-@dataclass
 class Element:
-    name: str
-    parent: "Element | None"
-    chrome: bool                 # dropped with all below it
-    path: str
-    depth: int
-    wraps: bool = False          # dropped, unless it wraps the article
-    doubt: float = 1.0           # by its own class names
-    length: int = 0              # text in it outside of chrome
-    article: int = 0             # of that, inside article and main elements
-
-    def up(self) -> "Iterator[Element]":
-        e = self
-        while e is not None:
-            yield e
-            e = e.parent
+    """A node of the page. Numbers are in page order, so the nodes below one are those from ``number`` to ``last``."""
+
+    __slots__ = ("name", "parent", "number", "last", "chrome", "path", "wraps", "doubt", "inside", "link", "block", "length",
+                 "article", "outer", "gone", "least", "first_block", "last_block")
+
+    def __init__(self, name: str, parent: "Element | None", number: int, path: int):
+        self.name, self.parent, self.number, self.last, self.path = name, parent, number, number, path
+        self.chrome = False               # dropped with all below it
+        self.wraps = False                # dropped, unless it wraps the article
+        self.doubt = 1.0                  # by its own class names
+        self.inside = name in ARTICLES or parent is not None and parent.inside
+        self.link = name == "a" or parent is not None and parent.link
+        self.block = parent.block if name in INLINE else self
+        self.length = self.article = 0    # text in it, and of that inside article and main elements
+        self.outer = 0                    # 1 inside an article or main element, 2 if something named like chrome is between
+        self.gone, self.least = False, 1.0
+        self.first_block, self.last_block = -1, -2
+
+    def holds(self, other: "Element | None") -> bool:
+        return other is not None and self.number <= other.number <= self.last
+
+
+ARTICLES = ("article", "main")
 
 
 @dataclass
 class Block:
     home: Element
     parts: list[str] = field(default_factory=list)
-    shares: dict[str, list[int]] = field(default_factory=lambda: defaultdict(lambda: [0, 0]))   # path: length, punctuation
+    shares: dict[int, list[int]] = field(default_factory=lambda: defaultdict(lambda: [0, 0]))   # path: length, punctuation
+    linked: int = 0              # characters inside of links
     doubt: float = 1.0
+    elements: list[Element] = field(default_factory=list)    # of the page's first block: its article and main elements
 
     @property
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
+def scan(html: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) of what a page is made of: ``text``, ``open`` and ``close``.
+
+    Comments, declarations and elements that are not text are passed over. One pass: a tag without an end stops at the
+    next tag.
+    """
+    at, size, last = 0, len(html), html.rfind(">")
+    while at < size:
+        start = html.find("<", at)
+        if start < 0:
+            start = size
+        if start > at:
+            yield "text", html[at:start], ""
+        if start == size:
+            return
+        at = start + 1
+        mark = html[at:at + 1]
+        if mark == "!" or mark == "?":
+            if html.startswith("!--", at):
+                end = html.find("-->", at + 3)
+                at = size if end < 0 else end + 3
+            elif html.startswith("![CDATA[", at):
+                end = html.find("]]>", at)
+                end = size if end < 0 else end
+                yield "text", html[at + 8:end].replace("&", "&amp;"), ""
+                at = end + 3
+            elif start < last:
+                at = html.index(">", at) + 1
+            else:
+                yield "text", "<", ""
+            continue
+        ending = mark == "/"
+        name = NAME.match(html, at + ending)
+        if name is None or start > last:
+            yield "text", "<", ""
+            continue
+        rest = REST.match(html, name.end())
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:
+            after = html.find("<", name.end())
+            after = size if after < 0 else after
+            end = html.find(">", name.end(), after)
+            attributes, at = (html[name.end():after], after) if end < 0 else (html[name.end():end], end + 1)
+        tag = name[0].lower()
+        if tag in RAW:
+            if not ending and not (tag == "svg" and attributes.endswith("/")):
+                closing = ENDS[tag].search(html, at)
+                at = closing.end() if closing else size
+            continue
+        yield "close" if ending else "open", tag, attributes
+
+
 def is_chrome(name: str, attributes: str) -> bool:
     """Menus, footers, sidebars and what is not shown, by element, role or style."""
     if name in CHROME:
@@ -122,58 +186,53 @@ def doubt_of(name: str, attributes: str, inside_article: bool) -> float:
             whole = not words - sure - twofold - NEUTRAL_WORDS
             if sure and whole:
                 return NAMED
-            if sure and name != "article" or twofold and whole:
-                out = MAYBE
+            if twofold and whole and not sure:
+                out = min(out, SECOND)
+            elif sure and name != "article":
+                out = min(out, MAYBE)
     return out
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order, without those inside page chrome. Malformed markup closes as browsers close it.
 
-    Classes and ids drop nothing here: they leave their doubt on the elements.
+    Classes and ids drop nothing here: they leave their doubt on the elements. Elements may be nested to any depth.
     """
-    top = Element("", None, False, "", 0)
-    stack, out, block = [top], [], None
+    top = Element("", None, 0, 0)
+    elements, stack, out, block = [top], [top], [], None
+    paths: dict[tuple[int, str], int] = {}
+    places: dict[str, list[int]] = defaultdict(list)     # where in the stack elements of a name are open
 
-    def text(raw: str) -> None:
-        nonlocal block
-        here = stack[-1]
-        if here.chrome:
-            return
-        plain = unescape(raw) if "&" in raw else raw
-        if block is None:
-            if not plain.strip():
-                return
-            home = here
-            while home.name in INLINE:
-                home = home.parent
-            block = Block(home)
-            out.append(block)
-        block.parts.append(plain)
-        share = block.shares[here.path]
-        share[0] += len(plain.strip())
-        share[1] += len(PUNCTUATION.findall(plain))
-
-    def close(names: set[str], stop: set[str]) -> None:
+    def nearest(names) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=0)
+
+    def close(names, stop=()) -> None:
         """Pop to the nearest open element of ``names``, unless one of ``stop`` is nearer."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                del stack[k:]
-                return
-            if stack[k].name in stop:
-                return
-
-    at = 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at:
-            text(html[at:m.start()])
-        at = m.end()
-        name = (m[3] or m[6] or "").lower()
-        if not name:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+        k = nearest(names)
+        if k and k >= nearest(stop):
+            for e in stack[k:]:
+                places[e.name].pop()
+            del stack[k:]
+
+    for kind, name, attributes in scan(html):
+        here = stack[-1]
+        if kind == "text":
+            if here.chrome:
+                continue
+            plain = unescape(name) if "&" in name else name
+            bare = len(plain.strip())
+            if block is None:
+                if not bare:
+                    continue
+                block = Block(here.block)
+                out.append(block)
+            block.parts.append(plain)
+            share = block.shares[here.path]
+            share[0] += bare
+            share[1] += len(PUNCTUATION.findall(plain))
+            if here.link:
+                block.linked += bare
             continue
-        ending, attributes = m[2] or m[5], m[4] or m[7] or ""
         inline = name in INLINE
         if name == "br":
             if block is not None:
@@ -181,46 +240,57 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if not inline:
             block = None
-        if ending:
-            close({name}, set() if not inline else {"p", "div", "li", "td", "article", "section", "body"})
+        if kind == "close":
+            close((name,), INLINE_STOPS if inline else ())
             continue
         if name in VOID:
             continue
         if not inline:
-            close({"p"}, {"table", "div", "article", "section", "li", "td", "th", "body", "main", "aside", "nav", "footer", "button"})
+            close(("p",), PARAGRAPH_STOPS)
             if name in CLOSED_BY_SIBLING:
-                close(CLOSED_BY_SIBLING[name], {"ul", "ol", "dl", "table"})
-        parent = stack[-1]
+                close(CLOSED_BY_SIBLING[name], LIST_STOPS)
         if attributes.endswith("/") and name not in ("p", "div", "span", "article", "section", "li", "a"):
             continue
-        inside = any(e.name in ("article", "main") for e in stack)
-        stack.append(Element(
-            name, parent, parent.chrome or is_chrome(name, attributes), f"{parent.path}/{name}", parent.depth + 1,
-            name in WRAPPERS and not (name == "header" and inside), doubt_of(name, attributes, inside)))
-        if len(stack) > 500:                                  # nesting beyond any use: treat as siblings
-            del stack[-1]
-    if at < len(html):
-        text(html[at:])
-    return settled([b for b in out if b.text])
-
-
-def settled(blocks: list[Block]) -> list[Block]:
+        parent = stack[-1]
+        e = Element(name, parent, len(elements), paths.setdefault((parent.path, name), len(paths) + 1))
+        e.chrome = parent.chrome or is_chrome(name, attributes)
+        e.wraps = name in WRAPPERS and not (name == "header" and parent.inside)
+        e.doubt = doubt_of(name, attributes, parent.inside)
+        places[name].append(len(stack))
+        elements.append(e)
+        stack.append(e)
+    return settled([b for b in out if b.text], elements)
+
+
+INLINE_STOPS = ("p", "div", "li", "td", "article", "section", "body")
+PARAGRAPH_STOPS = ("table", "div", "article", "section", "li", "td", "th", "body", "main", "aside", "nav", "footer", "button")
+LIST_STOPS = ("ul", "ol", "dl", "table")
+
+
+def settled(blocks: list[Block], elements: list[Element]) -> list[Block]:
     """Blocks with the doubt of all elements around them, without those in forms and page headers.
 
     An element that wraps the article is neither dropped nor doubted: one with at least half of the text of ``article``
-    and ``main`` elements, or with most of the page's text.
+    and ``main`` elements, or with most of the page's text. Names with a second meaning (``discussion``) are doubted in
+    full outside of the article elements, where these hold most of the text. Sums go up and decisions go down the tree
+    in one pass each.
     """
     total = articles = 0
+    for e in elements[1:]:
+        above = e.parent.outer
+        # Article elements that are comments or adverts by their names do not count as articles.
+        e.outer = (1 if e.name in ARTICLES and e.doubt > NAMED else 0) if not above else 1 if above == 1 and e.doubt > NAMED else 2
     for b in blocks:
-        n, around = len(b.text), list(b.home.up())
+        n = len(b.text)
         total += n
-        # Article elements that are comments or adverts by their names do not count as articles.
-        last = max((k for k, e in enumerate(around) if e.name in ("article", "main") and e.doubt > NAMED), default=-1)
-        marked = last >= 0 and all(e.doubt > NAMED for e in around[:last])
-        articles += n * marked
-        for e in around:
-            e.length += n
-            e.article += n * marked
+        b.home.length += n
+        if b.home.outer == 1:
+            articles += n
+            b.home.article += n
+    for e in reversed(elements[1:]):
+        e.parent.length += e.length
+        e.parent.article += e.article
+        e.parent.last = max(e.parent.last, e.last)
 
     def spared(e: Element) -> bool:
         if articles and 2 * e.article >= articles:
@@ -228,20 +298,36 @@ def settled(blocks: list[Block]) -> list[Block]:
         sure = e.wraps or e.doubt <= NAMED
         return e.length >= 0.8 * total and not articles if sure else 2 * e.length >= total
 
-    out = []
-    for b in blocks:
-        against = [e for e in b.home.up() if (e.wraps or e.doubt < 1) and not spared(e)]
-        if not any(e.wraps for e in against):
-            b.doubt = min((e.doubt for e in against), default=1.0)
-            out.append(b)
+    for e in elements[1:]:
+        e.gone, e.least = e.parent.gone, e.parent.least
+        if (e.wraps or e.doubt < 1) and not spared(e):
+            e.gone |= e.wraps
+            second = e.doubt == SECOND and not e.outer and 2 * articles >= total
+            e.least = min(e.least, NAMED if second else e.doubt)
+    out = [b for b in blocks if not b.home.gone]
+    for k, b in enumerate(out):
+        b.doubt, e = b.home.least, b.home
+        e.first_block, e.last_block = (e.first_block if e.first_block >= 0 else k), k
+    for e in reversed(elements[1:]):
+        if e.first_block >= 0:
+            up = e.parent
+            up.first_block = e.first_block if up.first_block < 0 else min(up.first_block, e.first_block)
+            up.last_block = max(up.last_block, e.last_block)
+    for b in out[:1]:
+        b.elements = [e for e in elements if e.name in ARTICLES and e.first_block >= 0]
     return out
 
 
+def link_share(block: Block) -> float:
+    return block.linked / max(1, sum(n for n, _ in block.shares.values()))
+
+
 def ratios(blocks: list[Block]) -> np.ndarray:
     """Fused tag-path ratio of each block.
 
     Per root-to-leaf path: text length and punctuation over the number of nodes with that path. A block's ratios are
-    those of its paths, weighted by their text; both series are smoothed over neighbours and multiplied.
+    those of its paths, weighted by their text; both series are smoothed over neighbours and multiplied. The third
+    series, text outside of links, is a block's own: it lowers blocks more than half of which are links, down to 0.
     """
     nodes, length, marks = defaultdict(int), defaultdict(int), defaultdict(int)
     for b in blocks:
@@ -257,7 +343,8 @@ def ratios(blocks: list[Block]) -> np.ndarray:
             series[1, k] += n / total * marks[path] / nodes[path]
     kernel = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
     smooth = [np.convolve(np.pad(s, 2, mode="edge"), kernel, "valid") for s in series]
-    return smooth[0] * (1 + smooth[1])
+    apart = np.minimum(1.0, 2 - 2 * np.array([link_share(b) for b in blocks]))
+    return smooth[0] * (1 + smooth[1]) * apart
 
 
 def main_text(html: str | None) -> str:
@@ -271,49 +358,51 @@ def main_text(html: str | None) -> str:
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
-    size = [len(b.text) for b in blocks]
-    around = [list(b.home.up()) for b in blocks]
-    named: dict[int, list[int]] = defaultdict(list)
-    for k, (b, up) in enumerate(zip(blocks, around)):
-        for e in up:
-            if e.name in ("article", "main") and b.doubt > NAMED:
-                named[id(e)].append(k)
-    total = sum(size)
-    prior = np.ones(len(blocks))
-    for inside in named.values():
-        prior[inside] = np.maximum(prior[inside], 1 + sum(size[k] for k in inside) / total)
+    size = np.array([len(b.text) for b in blocks])
     doubt = np.array([b.doubt for b in blocks])
-    doubt /= doubt.max()
+    total = size.sum()
+    # Blocks inside one element follow each other.
+    ranges = {(e.first_block, e.last_block + 1) for e in blocks[0].elements}
+    named = [r for r in (a + np.flatnonzero(doubt[a:z] > NAMED) for a, z in sorted(ranges)) if len(r)]
+    prior = np.ones(len(blocks))
+    for inside in named:
+        prior[inside] = np.maximum(prior[inside], 1 + size[inside].sum() / total)
+    doubt = doubt / doubt.max()
     plain = ratios(blocks) * prior
     fused = plain * doubt
     sure = doubt == 1
-    chosen = fused >= fused[sure].std() * 0.5
+    chosen = (fused >= fused[sure].std() * 0.5) & (fused > 0)
     if not chosen[sure].any():
         chosen |= sure
     # A doubted block has to stand out from what passed without doubt.
     chosen &= sure | (fused >= np.median(plain[chosen & sure]) * 0.5)
 
     member = chosen.copy()
-    for inside in named.values():
-        if 2 * sum(size[k] for k in inside if chosen[k]) >= sum(size[k] for k in inside):
-            least = max(doubt[k] for k in inside)
-            member[[k for k in inside if doubt[k] >= least]] = True
+    for inside in named:
+        if 2 * size[inside][chosen[inside]].sum() >= size[inside].sum():
+            member[inside[doubt[inside] >= doubt[inside].max()]] = True
     places = np.flatnonzero(member)
     for i, j in zip([-1, *places], places):
         gap = range(i + 1, j)
         if not gap:
             continue
-        above = {id(e) for e in around[j][1:]}
-        if i >= 0:
-            common = next((e for e in around[i][1:] if id(e) in above), None)
-            if common is not None and (common is around[i][1] or common is around[j][1]):
-                fill = [k for k in gap if doubt[k] >= min(doubt[i], doubt[j]) and any(e is common for e in around[k])]
-                member[fill] = True
-        for k in reversed(gap[-4:]):                         # a heading over the content, with what stands below it
-            home = blocks[k].home
-            over = id(home.parent) in above or i < 0 and home.parent is not None and id(home.parent.parent) in above
-            if re.fullmatch(r"h[1-6]", home.name) and over and doubt[k] == 1:
-                member[[x for x in range(k, j) if doubt[x] == 1]] = True
+        over = blocks[j].home.parent
+        if over is None:
+            continue
+        if i >= 0 and (beside := blocks[i].home.parent) is not None and (beside.holds(over) or over.holds(beside)):
+            common = beside if beside.holds(over) else over
+            member[[k for k in gap if doubt[k] >= min(doubt[i], doubt[j]) and common.holds(blocks[k].home)]] = True
+        # Headings over the content, with what stands below them: the nearest one, and others above up to a menu.
+        top, menu = j, False
+        for k in reversed(gap):
+            up = blocks[k].home.parent
+            heads = up is not None and (up.holds(over) or i < 0 and up.parent is not None and up.parent.holds(over))
+            if re.fullmatch(r"h[1-6]", blocks[k].home.name) and heads and doubt[k] == 1:
+                if menu and top < j:
+                    break
+                top = k
+            menu |= link_share(blocks[k]) >= LINKED
+        member[[k for k in range(top, j) if doubt[k] == 1 and (link_share(blocks[k]) < LINKED or k == top)]] = True
     return "\n".join(b.text for b, m in zip(blocks, member) if m)
 
 

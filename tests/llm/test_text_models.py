@@ -306,6 +306,40 @@ def test_chrome_named_in_full_goes():
         assert main_text.main_text(html).split("\n") == body, c
 
 
+def test_menus_notices_and_reader_comments_around_the_text_go():
+    body = paragraphs(5)
+    menu = "<div><a href=1>Home</a> <a href=2>News</a> <a href=3>Contact</a></div>"
+    said = "".join(f"<li>{LONG}Said reader {k}.</li>" for k in range(2))
+    for html in (f"<body>{menu}<div>{tags(body)}</div></body>",
+                 f"<body><div id=cc-main><p>{LONG * 2}We use cookies.</p></div><div>{tags(body)}</div></body>",
+                 f"<body><article>{tags(body)}</article><ul class=user-feedback>{said}</ul></body>",
+                 f"<body><article>{tags(body)}</article><section id=discussion>{said}</section></body>"):
+        assert main_text.main_text(html).split("\n") == body, html[:40]
+
+
+def test_depth_and_distance_have_no_bound():
+    body = paragraphs(5)
+    assert main_text.main_text("<div>" * 3000 + f"<nav>{LONG * 9}</nav>" + tags(body)).split("\n") == body
+    short = [f"s{k}" for k in range(9)]
+    html = f"<body><div><h1>Head</h1>{tags(short, 'div')}{tags(body)}</div></body>"
+    assert main_text.main_text(html).split("\n") == ["Head", *short, *body]
+
+
+@pytest.mark.parametrize("unit", ['<a b="c" ', "<a ", "<div>x", "<p title='\"", "</b>", "<b><div><span>", "<!-- ", "<script>", "<p class=" + "a" * 9])
+def test_scanning_is_linear(unit):
+    import time
+    start = time.process_time()
+    main_text.main_text(unit * (300_000 // len(unit)))
+    assert time.process_time() - start < 5
+
+
+def test_scanner_reads_tags_as_browsers_do():
+    for html, text in [("<p title='a > b'>x</p>", "x"), ("<p title=it's>x</p>", "x"), ("a < b and c > d", "a < b and c > d"),
+                       ("<p>x<!-- > --> y</p>", "x y"), ("<svg/><p>x</p>", "x"), ("<p>1 <2</p>", "1 <2"), ("x <b", "x <b"),
+                       ("<SCRIPT>no</Script ><p>x", "x"), ("<![CDATA[a & b]]>", "a & b")]:
+        assert main_text.main_text(html) == text, html
+
+
 SPREAD = ["you are a s t u p i d man", "y o u i d i o t", "he is an i d i o t!", "i d\ni o t", "s  t  u  p  i  d", "stu pid", "1 d 1 0 t",
           "so s t u u u p i d is he"]
 
