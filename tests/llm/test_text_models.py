@@ -191,6 +191,30 @@ def test_random_strings_are_told_from_identifiers(spark):
     assert wrong <= 0.02 * len(made)
 
 
+def test_ordinary_strings_from_outside_the_tables_are_left_alone(spark):
+    import random
+    import uuid
+    rng, ratio = random.Random(5), secret_scan.train(table(spark, SF, "documents"))
+    words = ("my very long class name factory impl user profile kubernetes postgresql jquery handler singleton proxy bean manager "
+             "widget callback parser shipment invoice ledger warehouse customer").split()
+    some = lambda: rng.choices(words, k=rng.randint(3, 7))
+    flagged = lambda strings: sum(bool(secret_scan.model_spans(s, ratio, secret_scan.LEAST_RATIO)) for s in strings) / len(strings)
+    ordinary = [lambda: "".join(w.capitalize() for w in some()) + rng.choice(["", "2"]), lambda: "_".join(some()) + "_v2",
+                lambda: "/usr/local/" + "/".join(some()) + "/python3", lambda: str(rng.randrange(10 ** 14, 10 ** 16)),
+                lambda: f"{uuid.UUID(int=rng.getrandbits(128))}/build-20240131-{rng.randint(1000, 9999)}"]
+    for make in ordinary:
+        assert flagged([make() for _ in range(400)]) < 0.05
+    key = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    a = secret_scan.ALPHABET
+    for alphabet, n, least in [(a[:62], 12, 0.9), (a[:62], 16, 0.95), (a[:52], 28, 0.95), (a[26:52], 28, 0.9), (a[:64], 40, 0.99)]:
+        assert flagged([key(alphabet, n) for _ in range(400)]) >= least
+    secret = key(a[:62], 32)
+    text = f"漢 see /usr/local/profile/{secret}/handler, 漢"
+    (start, end, _), = secret_scan.model_spans(text, ratio, secret_scan.LEAST_RATIO)
+    assert text[start:end] == secret
+    assert not secret_scan.model_spans("", ratio, 12.0) and not secret_scan.model_spans("a " * 500_000, ratio, 12.0)
+
+
 def test_main_text_of_test_pages(spark, sf):
     from html import unescape
     pages = table(spark, sf, "pages")
