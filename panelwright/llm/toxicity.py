@@ -26,11 +26,12 @@ SWAP, STRAY, REPEAT = -1.0, -2.0, -0.7
 # White space in a run of short tokens, by whether both neighbours are single letters: dropped, or kept as a word end.
 DROP, KEEP = {True: 0.0, False: -1.5}, {True: -1.0, False: 0.0}
 INSERT = -3.0            # a word end where there is no white space
-KNOWN = 4.0              # gain of a word that has evidence of its own
+KNOWN = 4.0              # gain of a word that has evidence of its own, in runs
+KNOWN_TOKEN = 10.0       # and in a token of letters and symbols, where no white space is in doubt
 CLASSES = 28             # boundary, a to z, any other letter
 SAMPLE_DOCS = 10_000     # bound of the labelled rows that the classifier is fitted on
 KEPT_TOKENS = 300_000    # tokens whose evidence a worker remembers
-PREFIXES = (3, 4, 5, 6, 7, 8)
+PREFIXES = (5, 6, 7, 8)   # shorter beginnings are shared with ordinary words
 LEAST_DOCS, LEAST_LIFT, LEAST_G2 = 5, 2.5, 30.0
 SPACED = re.compile(r"(?<!\S)(?:\S[^\S\n]){2,}\S(?!\S)")
 SHORT_RUN = re.compile(r"(?<!\S)\S{1,4}(?:\s+\S{1,4})+(?!\S)")
@@ -100,7 +101,8 @@ def decode(token: str, model: np.ndarray, shed: bool = True) -> str:
     for k, (symbol, times) in enumerate(runs):
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, text) in paths.items():
-            for letters, cost in _options(symbol, times, shed and k in (0, len(runs) - 1)):
+            edge = shed and (k == len(runs) - 1 or k == 0 and not symbol.isdigit())     # a leading digit is a letter
+            for letters, cost in _options(symbol, times, edge):
                 x, y, s = a, b, score + cost
                 for c in letters:
                     z = letter_class(c)
@@ -112,7 +114,7 @@ def decode(token: str, model: np.ndarray, shed: bool = True) -> str:
     return max(((s + model[a, b, 0], t) for (a, b), (s, t) in paths.items()), default=(0, ""))[1]
 
 
-def decode_run(run: str, model: np.ndarray, known: dict[str, bool] | None = None) -> list[str]:
+def decode_run(run: str, model: np.ndarray, known: dict[str, bool] | None = None, gain: float = KNOWN) -> list[str]:
     """The likeliest words behind a run of short tokens.
 
     Viterbi over the characters of the whole run. White space is dropped or kept as a word end, and a word end may be
@@ -136,7 +138,7 @@ def decode_run(run: str, model: np.ndarray, known: dict[str, bool] | None = None
 
     def ended(state: tuple, score: float, link) -> tuple:
         a, b, word = state
-        return (b, 0, ""), score + model[a, b, 0] + (KNOWN if word and known[word] else 0.0), (link, " ")
+        return (b, 0, ""), score + model[a, b, 0] + (gain if word and known[word] else 0.0), (link, " ")
 
     for n, token in enumerate(tokens):
         if n:
@@ -223,9 +225,13 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + self.slope * sum(found.values())))))
 
     def of_token(self, token: str) -> dict[str, float]:
-        """The strongest feature of each restored word."""
+        """The strongest feature of each restored word; known words gain where symbols may spell one."""
         best: dict[str, float] = {}
-        for word in restored(token, self.characters):
+        words = restored(token, self.characters)
+        mixed = not token.isalpha() and any(c in LEET for c in token) and any(c.isalpha() for c in token)
+        if mixed and self.screen and self.screen.search(screened(token)):
+            words += [w for w in decode_run(token, self.characters, self.known, KNOWN_TOKEN) if w not in words]
+        for word in words:
             found = [(v, f) for f in features(word) if (v := self.evidence.get(f)) is not None]
             if found:
                 v, f = max(found)
@@ -292,6 +298,12 @@ def fit(labelled: DataFrame, characters: np.ndarray) -> ToxicityModel:
         g2 = 2 * sum(x * math.log(x / e) for x, e in ((a, t * share), (b, c * share)) if x)
         if r["feature"] and lift >= LEAST_LIFT and g2 >= LEAST_G2:
             evidence[r["feature"]] = lift
+    # A beginning that stands for one much longer word says nothing of other words.
+    found = {r["feature"]: r["bad"] for r in kept}
+    for word in [f for f in evidence if not f.endswith("*")]:
+        for n in range(PREFIXES[0], len(word) - 2):
+            if found[word] >= 0.9 * found.get(word[:n] + "*", math.inf):
+                evidence.pop(word[:n] + "*", None)
     model = ToxicityModel(characters, evidence, 0.0)      # with the words known, runs of short tokens can be decoded
     sums = weigh(rows, model, ["toxic"], lambda m, found: sum(found.values()), "evidence").toPandas()
     model.base, model.slope = calibrated(sums["evidence"].to_numpy(np.float64), sums["toxic"].to_numpy(np.float64))
@@ -352,7 +364,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out: in
 
     The character model reads the texts of all rows. The classifier learns from labelled rows that are not held out;
     labels, lang, source and ids are never inputs. Repeated ids in ``labels`` count as toxic if one of them is; an empty
-    table gives an empty result; without usable labels every text gets the base rate.
+    table gives an empty result; without usable labels every text gets the base rate. Null texts are empty and get the
+    score of a text without evidence; null ids fall in fold 0; whole texts are read, however long; repeated rows are
+    scored each, alike; other columns, named like results or not, are ignored.
     """
     mark = fold(F.col("doc_id"), folds) == held_out
     marks = labels_for(labels.select("doc_id", "toxic").where(~mark))

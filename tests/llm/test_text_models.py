@@ -384,6 +384,21 @@ def test_symbols_may_outnumber_letters(spark, docs_of):
         assert word in toxicity.restored(token, model), token
 
 
+def test_ordinary_words_that_begin_like_toxic_ones_are_clean(spark, docs_of):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa you are he is an a man".split()
+    bad = "moron trash disgusting clown worthless idiot".split()
+    rows, labels = [], []
+    for k in range(600):
+        rows.append((k, " ".join(words[(k + j) % 17] for j in range(8)) + (f" {bad[k // 4 % 6]} {k}" if k % 4 == 0 else f" fine {k}")))
+        labels.append((k, int(k % 4 == 0)))
+    clean = ["we need more time", "we travel and discuss the closed road", "a worthy display of clothes"]
+    rows += [(9000 + k, t) for k, t in enumerate(clean)]
+    rows += [(9100 + k, t) for k, t in enumerate(["he is an 1d10t", "1diot", "w o r t h l e s s", "a cl0wn", "two morons"])]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs_of(rows), marks).collect()}
+    assert [got[9000 + k] for k in range(3)] == [0] * 3 and [got[9100 + k] for k in range(4)] == [1] * 4
+
+
 def test_texts_with_spread_words_are_toxic(spark, docs_of):
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa you are he is an a man".split()
     rows, labels = [], []
