@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
 from panelwright.catalog.base_sql import (
-    BASELINE, DIM, EVENTS, FACT, FINAL, PAGES, POS_TIER, PREPARED, QUERIES, avg_rank, both_scored, dev_scored, feat,
-    frame, outc, rnd,
+    BASELINE, DIM, EVENTS, FACT, FINAL, PAGES, POS_TIER, PREPARED, QUERIES, avg_rank, both_scored, dev_scored,
+    frame, rnd, windows,
 )
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import cleaning as K, rules, tiers
@@ -35,14 +35,14 @@ FROWS = "fact WHERE year IN ('1997','1998','1999') AND gsc_data_available IS TRU
 
 @case(
     "feature_window_agg",
-    f"WITH {FACT}, {feat('dev')} SELECT content_hash_id, f_impressions, f_clicks, {rnd('f_pos')}, f_days_with_impressions, {rnd('f_pos_volatility', 'f_pos_trend')} FROM feat_dev",
+    f"WITH {FACT}, {windows('dev')} SELECT content_hash_id, f_impressions, f_clicks, {rnd('f_pos')}, f_days_with_impressions, {rnd('f_pos_volatility', 'f_pos_trend')} FROM before_dev",
 )
 def feature_window_agg(spark, sf):
     split = I.split_of("dev")
     return r6(W.feature_window(I.fact(spark, sf, split), split))
 
 
-@case("outcome_window_agg", f"WITH {FACT}, {outc('dev')} SELECT content_hash_id, o_impressions, {rnd('o_pos')} FROM outc_dev")
+@case("outcome_window_agg", f"WITH {FACT}, {windows('dev')} SELECT content_hash_id, o_impressions, {rnd('o_pos')} FROM after_dev")
 def outcome_window_agg(spark, sf):
     split = I.split_of("dev")
     return r6(W.outcome_window(I.fact(spark, sf, split), split))
@@ -69,7 +69,7 @@ def filtered_sum(spark, sf):
     return _feature_rows(spark, sf).groupBy("content_hash_id").agg(at("1997").alias("first_imps"), at("1999").alias("last_imps"))
 
 
-@case("period_difference", f"WITH {FACT}, {feat('dev')} SELECT content_hash_id, {rnd('f_pos_trend')} FROM feat_dev")
+@case("period_difference", f"WITH {FACT}, {windows('dev')} SELECT content_hash_id, {rnd('f_pos_trend')} FROM before_dev")
 def period_difference(spark, sf):
     pos = lambda y: W.weighted_position(C("year") == y)
     return r6(_feature_rows(spark, sf).groupBy("content_hash_id").agg((pos("1999") - pos("1997")).alias("f_pos_trend")))

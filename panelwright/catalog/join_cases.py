@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.catalog import inputs as I
 from panelwright.catalog.base_sql import (
-    BASELINE, CLIENTS, DIM, EVENTS, FACT, FINAL, HAS, PREPARED, QUERIES, both_scored, feat, frame, outc, rnd,
+    BASELINE, CLIENTS, DIM, EVENTS, FACT, FINAL, HAS, PREPARED, QUERIES, both_scored, frame, rnd, windows,
 )
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import rules
@@ -22,8 +22,8 @@ C = F.col
 
 @case(
     "join_windows_inner",
-    f"""WITH {FACT}, {feat('dev')}, {outc('dev')} SELECT content_hash_id, f_impressions, {rnd('f_pos')}, o_impressions, {rnd('o_pos')}
-    FROM feat_dev JOIN outc_dev USING (content_hash_id)""",
+    f"""WITH {FACT}, {windows('dev')} SELECT content_hash_id, f_impressions, {rnd('f_pos')}, o_impressions, {rnd('o_pos')}
+    FROM before_dev JOIN after_dev USING (content_hash_id)""",
 )
 def join_windows_inner(spark, sf):
     split = I.split_of("dev")
@@ -34,8 +34,8 @@ def join_windows_inner(spark, sf):
 
 @case(
     "join_dim_left",
-    f"""WITH {FACT}, {DIM}, {outc('dev')} SELECT content_hash_id, client_hash_id, content_type, o_impressions
-    FROM outc_dev LEFT JOIN dim USING (content_hash_id)""",
+    f"""WITH {FACT}, {DIM}, {windows('dev')} SELECT content_hash_id, client_hash_id, content_type, o_impressions
+    FROM after_dev LEFT JOIN dim USING (content_hash_id)""",
 )
 def join_dim_left(spark, sf):
     split = I.split_of("dev")

@@ -9,7 +9,8 @@ from panelwright.catalog.base_sql import FINAL, both_scored, dev_scored, frame,
 from panelwright.catalog.rank_cases import CAPPED, DECILE, TIE
 from panelwright.catalog.registry import case, r6
 from panelwright.functions import rules
-from panelwright.operators import audit as A, metrics as M, ordering as O, splits as S
+from panelwright.operators import audit as A, metrics as M, models as L, ordering as O, splits as S
+from panelwright.operators.lineage import origins
 from panelwright.plans import scoring
 
 C = F.col
@@ -271,22 +272,33 @@ folds AS (SELECT client_hash_id, CAST(CASE WHEN i % (2 * {k}) < {k} THEN i % (2
 
 @case(
     "leakage_audit",
-    f"""WITH {frame('dev')}, {SNAKE.format(k=5)} SELECT 'features strictly before label window' AS check, a < b AS ok, CAST(a AS VARCHAR) || ' < ' || CAST(b AS VARCHAR) AS detail
+    f"""WITH {frame('dev')}, {SNAKE.format(k=5)} SELECT 'feature days precede outcome days' AS check, a < b AS ok, CAST(a AS VARCHAR) || ' < ' || CAST(b AS VARCHAR) AS detail
       FROM (SELECT MAX(report_date) FILTER (WHERE year IN ('1997','1998','1999')) AS a, MIN(report_date) FILTER (WHERE year = '2000') AS b FROM fact)
-    UNION ALL SELECT 'split grouped by client, no crossover', COUNT(*) = 0, CAST(COUNT(*) AS VARCHAR) FROM (
+    UNION ALL SELECT 'each client in one fold', COUNT(*) = 0, CAST(COUNT(*) AS VARCHAR) FROM (
       SELECT client_hash_id FROM frame_dev JOIN folds USING (client_hash_id) GROUP BY 1 HAVING COUNT(DISTINCT fold) > 1)
     UNION ALL SELECT 'base rate known', TRUE, printf('%.4f', ROUND(AVG(is_position_decline), 4)) FROM frame_dev
     UNION ALL SELECT 'future-dated column kept out', TRUE, CAST(COUNT(*) FILTER (WHERE days_since_update < 0) AS VARCHAR) FROM frame_dev
-    UNION ALL SELECT * FROM (VALUES ('no label-derived features', TRUE, 'overlap=none'), ('no product decision flags', TRUE, 'overlap=none'),
-      ('no pseudonymous IDs as features', TRUE, 'overlap=none'), ('no future-dated features', TRUE, 'overlap=none'))""",
+    UNION ALL SELECT * FROM (VALUES ('label columns kept apart', TRUE, 'overlap=none'), ('decision flags kept apart', TRUE, 'overlap=none'),
+      ('identifiers kept apart', TRUE, 'overlap=none'), ('late-dated columns kept apart', TRUE, 'overlap=none'),
+      ('query table not read', TRUE, 'read=none'))
+    UNION ALL SELECT 'feature values from feature periods only', COUNT(*) = 3, string_agg(year, ',' ORDER BY year) FROM (SELECT DISTINCT year FROM fact WHERE year IN ('1997','1998','1999'))
+    UNION ALL SELECT 'scores out of fold', COUNT(*) > 0, CAST(COUNT(*) - COUNT(fold) AS VARCHAR) FROM frame_dev JOIN folds USING (client_hash_id)""",
 )
 def leakage_audit(spark, sf):
     from panelwright.operators.models import PANEL_CATEGORICAL, PANEL_NUMERIC
 
     features = [*PANEL_NUMERIC, *PANEL_CATEGORICAL]
     split, df = I.split_of("dev"), I.frame(spark, sf)
+    made = origins(I.build_frame(spark, sf), split.period, [*split.feature_periods, split.outcome_period], ["l_shipdate"])
+    folds = S.group_kfold(L.with_flags(df), CLIENT, 5)
+    scores = L.out_of_fold(folds, [L.Spec("decision_tree", L.tree(4, 200))], 5, [CLIENT])
     return O.union_all([
         A.name_checks(spark, features),
+        A.plan_checks(spark, [
+            A.period_origin(made, features, A.LABEL_SIDE, split),
+            A.unread_sources(made, features, ["lineitem.l_suppkey"]),      # the stand-in's search queries
+        ]),
+        A.out_of_fold_row(scores, folds, "content_hash_id"),
         A.windows_disjoint(I.fact(spark, sf, split), split),
         A.no_crossover(S.group_kfold(df, CLIENT, 5), CLIENT),
         A.base_rate_row(df, LABEL),

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from panelwright.operators.lineage import Origin
 from panelwright.operators.ordering import exact_medians
 
 C = F.col
@@ -47,10 +48,10 @@ def name_checks(spark: SparkSession, features: Sequence[str]) -> DataFrame:
     """Checks on column names alone."""
     rows = []
     for name, bad in [
-        ("no label-derived features", LABEL_SIDE),
-        ("no product decision flags", DECISION_FLAGS),
-        ("no pseudonymous IDs as features", ID_COLUMNS),
-        ("no future-dated features", FUTURE_DATED),
+        ("label columns kept apart", LABEL_SIDE),
+        ("decision flags kept apart", DECISION_FLAGS),
+        ("identifiers kept apart", ID_COLUMNS),
+        ("late-dated columns kept apart", FUTURE_DATED),
     ]:
         hit = sorted(set(features) & set(bad))
         rows.append((name, not hit, "overlap=" + (",".join(hit) or "none")))
@@ -66,7 +67,7 @@ def windows_disjoint(fact: DataFrame, split) -> DataFrame:
     last_feature = F.max(F.when(C(split.period).isin(list(split.feature_periods)), C("report_date")))
     first_outcome = F.min(F.when(C(split.period) == split.outcome_period, C("report_date")))
     return check_row(
-        fact.agg(last_feature.alias("a"), first_outcome.alias("b")), "features strictly before label window",
+        fact.agg(last_feature.alias("a"), first_outcome.alias("b")), "feature days precede outcome days",
         C("a") < C("b"), F.concat(C("a").cast("string"), F.lit(" < "), C("b").cast("string")),
     )
 
@@ -74,10 +75,44 @@ def windows_disjoint(fact: DataFrame, split) -> DataFrame:
 def no_crossover(folds: DataFrame, group: str) -> DataFrame:
     spread = folds.groupBy(group).agg(F.count_distinct("fold").alias("k"))
     return check_row(
-        spread.agg(F.count_if(C("k") > 1).alias("n")), "split grouped by client, no crossover", C("n") == 0, C("n")
+        spread.agg(F.count_if(C("k") > 1).alias("n")), "each client in one fold", C("n") == 0, C("n")
     )
 
 
+def period_origin(origins: Mapping[str, Origin], features: Sequence[str], label: Sequence[str], split) -> tuple:
+    """Feature values may come from rows of feature periods only, label values have to come from the outcome period."""
+    known = [c for c in features if c in origins]
+    seen = frozenset().union(*(origins[c].periods for c in known))
+    told = frozenset().union(*(origins[c].periods for c in label))
+    ok = len(known) > 0 and seen <= set(split.feature_periods) and split.outcome_period in told
+    return ("feature values from feature periods only", ok, ",".join(sorted(seen)))
+
+
+def unread_sources(origins: Mapping[str, Origin], features: Sequence[str], sources: Sequence[str]) -> tuple:
+    """No feature may be derived from ``sources``, given as table or table.column."""
+    read = frozenset().union(*(origins[c].columns for c in features if c in origins))
+    hit = sorted(c for c in read if c in sources or c.split(".")[0] in sources)
+    return ("query table not read", bool(read) and not hit, "read=" + (",".join(hit) or "none"))
+
+
+def plan_checks(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame(list(rows), "check string, ok boolean, detail string")
+
+
+def out_of_fold_row(predictions: DataFrame, folds: DataFrame, key: str) -> DataFrame:
+    """Every item is scored once per model, by the fit that left its fold out.
+
+    ``predictions`` carry in ``fold`` the fold that their fit left out, ``folds`` the fold an item was dealt.
+    """
+    dealt = folds.select(C(key).alias("__key"), C("fold").alias("__fold"))
+    models = predictions.agg(F.count_distinct("model").alias("models"))
+    met = dealt.join(predictions.select(key, "fold", "model"), C("__key") == C(key), "full").groupBy("__key", key).agg(
+        F.count_if(C("fold") == C("__fold")).alias("held"), F.count_if(C(key).isNotNull()).alias("n"))
+    wrong = met.join(F.broadcast(models)).agg(
+        F.count_if((C("held") != C("models")) | (C("n") != C("models"))).alias("wrong"), F.count(F.lit(1)).alias("items"))
+    return check_row(wrong, "scores out of fold", (C("wrong") == 0) & (C("items") > 0), C("wrong"))
+
+
 def base_rate_row(frame: DataFrame, label: str) -> DataFrame:
     rate = frame.agg(F.avg(label).alias("r"))
     return check_row(rate, "base rate known", C("r").isNotNull(), F.format_string("%.4f", F.round(C("r"), 4)))

@@ -106,11 +106,17 @@ def test_contract_and_name_checks(spark):
     contract = Contract(features=["f_pos"], label=["o_pos"], context=["id"], excluded=["f_pos"])
     assert contract.problems(["f_pos", "o_pos", "id", "new"]) == ["unclassified: new", "in two buckets: f_pos"]
     failed = name_checks(spark, ["f_pos", "o_pos", "client_hash_id"]).where("NOT ok")
-    assert {r["check"] for r in failed.collect()} == {"no label-derived features", "no pseudonymous IDs as features"}
+    assert {r["check"] for r in failed.collect()} == {"label columns kept apart", "identifiers kept apart"}
 
 
 def test_materialize_reuses_and_forces(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert T.materialize(spark.range(3), path).count() == 3
-    assert T.materialize(spark.range(5), path).count() == 3
-    assert T.materialize(spark.range(5), path, force=True).count() == 5
+    """Another plan is never answered by an old result; the same one over the same files is (see test_tables)."""
+    path, source = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(3).write.parquet(source)
+    files = lambda: spark.read.parquet(source)
+    stamp = lambda: sorted((f.name, f.stat().st_mtime_ns) for f in (tmp_path / "t").glob("part-*"))
+    assert T.materialize(files(), path).count() == 3
+    first = stamp()
+    assert T.materialize(files(), path).count() == 3 and stamp() == first
+    assert T.materialize(files(), path, force=True).count() == 3 and stamp() != first
+    assert T.materialize(spark.range(5), path).count() == 5
