@@ -8,14 +8,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import partial
 from multiprocessing.pool import ThreadPool
+from threading import BoundedSemaphore
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.functions.cleaning import UNKNOWN, has_flag
@@ -50,6 +54,14 @@ RARE_ROWS = 50
 SEED = 20260808
 PARALLEL_FITS = 4
 
+# Bounds of one batch of a forest's trees.
+BATCH_NODES = 400_000        # most nodes its trees can have: they are held by the driver
+BATCH_BYTES = 1 << 30        # bag counts and node ids of its rows: 8 bytes a row and tree
+PARALLEL_BATCHES = 8
+PARALLEL_ROWS = 1_000_000    # training rows that batches side by side may hold
+TASK_ROWS = 100_000
+_BATCHES = BoundedSemaphore(PARALLEL_BATCHES)      # over all fits that run side by side
+
 
 @dataclass(frozen=True)
 class Spec:
@@ -172,6 +184,8 @@ class Fitted:
         return self.features.transform(_inputs(df, self.spec, self.pools))
 
     def predict(self, df: DataFrame, name: str = "probability", keep: Sequence[str] = ()) -> DataFrame:
+        if isinstance(self.model, StoredForest):
+            return self.model.score(self.vectors(df).select(self.spec.key, *keep, "features"), name)
         scored = self.model.transform(self.vectors(df))
         return scored.select(self.spec.key, *keep, vector_to_array("probability")[1].alias(name))
 
@@ -181,6 +195,80 @@ class Fitted:
         return [n.replace("__num", "").replace("__hot", "") for _, n in named]
 
 
+# ---- forests in batches of trees -------------------------------------------------
+
+@dataclass
+class StoredForest:
+    """A forest whose trees lie in the shared folder, one model per batch."""
+
+    paths: list[str]
+    featureImportances: DenseVector
+
+    def score(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` with the mean vote of all trees instead of their vector; one batch of trees is read at a time."""
+        spark = rows.sparkSession
+        numbered = rows.withColumn("__row", F.monotonically_increasing_id())
+        stored = materialize(numbered, scratch_path(spark, "forest-rows"))
+
+        def votes(path: str) -> str:
+            out = scratch_path(spark, "forest-votes")
+            raw = vector_to_array("rawPrediction")
+            with _BATCHES:
+                scored = RandomForestClassificationModel.load(path).transform(stored.select("__row", "features"))
+                scored.select("__row", raw[1].alias("__for"), (raw[0] + raw[1]).alias("__cast")).write.parquet(out)
+            return out
+
+        cast = spark.read.parquet(*in_parallel(spark, [partial(votes, p) for p in self.paths]))
+        mean = cast.groupBy("__row").agg((F.sum("__for") / F.sum("__cast")).alias(name))
+        return stored.drop("features").join(mean, "__row").drop("__row")
+
+
+def tree_nodes(forest: RandomForestClassifier, rows: int) -> int:
+    """Most nodes that a tree can have."""
+    return min(2 ** (forest.getMaxDepth() + 1), 2 * (rows // forest.getMinInstancesPerNode()) + 1)
+
+
+def forest_tasks(forest: RandomForestClassifier, rows: int, cores: int) -> int:
+    """Partitions of the training rows. Each one sends statistics of every node it holds rows of, so a partition of
+    fewer rows than a tree has nodes costs more than it saves."""
+    per_task = min(TASK_ROWS, max(20_000, 3 * tree_nodes(forest, rows)))
+    return max(1, min(-(-rows // per_task), 2 * cores))
+
+
+def tree_batches(forest: RandomForestClassifier, rows: int) -> list[RandomForestClassifier]:
+    """The forest cut into smaller ones with seeds of their own. Trees are grown from independent bags, so the mean of
+    all of them is the same model; only the trees of a batch are on the driver at once. Rows remember their nodes:
+    deep trees are neither sent out nor walked anew for each level."""
+    total = forest.getNumTrees()
+    size = max(1, min(total, BATCH_NODES // tree_nodes(forest, rows), BATCH_BYTES // (8 * max(rows, 1))))
+    cut = lambda at: {forest.numTrees: min(size, total - at), forest.seed: forest.getSeed() + at, forest.cacheNodeIds: True}
+    return [forest.copy(cut(at)) for at in range(0, total, size)]
+
+
+def fit_forest(forest: RandomForestClassifier, vectors: DataFrame, rows: int):
+    """A Spark model if its trees fit one batch, else its batches, stored."""
+    batches = tree_batches(forest, rows)
+    if len(batches) == 1:
+        with _BATCHES:
+            return batches[0].fit(vectors)
+    spark = vectors.sparkSession
+    root = scratch_path(spark, "forest")
+
+    def grow(at: int) -> tuple[str, list[float]]:
+        path = f"{root}/{at}"
+        with _BATCHES:
+            model = batches[at].fit(vectors)
+            model.write().save(path)
+            # Spark's importance is the mean over the trees that split at all.
+            split = sum(t.numNodes > 1 for t in model.trees)
+            return path, [split * v for v in model.featureImportances.toArray()]
+
+    side_by_side = max(1, min(PARALLEL_BATCHES, PARALLEL_ROWS // max(rows, 1)))
+    grown = in_parallel(spark, [partial(grow, at) for at in range(len(batches))], side_by_side)
+    sums = [sum(values) for values in zip(*[values for _, values in grown])]
+    return StoredForest([path for path, _ in grown], Vectors.dense([v / (sum(sums) or 1.0) for v in sums]))
+
+
 def fit(train: DataFrame, spec: Spec) -> Fitted:
     """Fit preprocessing and estimator on ``train`` only."""
     pools = {c: pool_table(train, c, spec.rare_rows) for c in spec.categorical} if spec.rare_rows else {}
@@ -192,9 +280,13 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
         n = rows.count()
         features = feature_pipeline(spec.numeric, spec.categorical, spec.fill is None).fit(rows)
         vectors = features.transform(rows).select("label", "weight", "features")
+        learner = spec.make(n)
+        grown = isinstance(learner, RandomForestClassifier)
+        if grown:
+            vectors = vectors.repartition(forest_tasks(learner, n, train.sparkSession.sparkContext.defaultParallelism))
         vectors.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            model = spec.make(n).fit(vectors)
+            model = fit_forest(learner, vectors, n) if grown else learner.fit(vectors)
         finally:
             vectors.unpersist()
         return Fitted(spec, pools, features, model)

@@ -79,3 +79,34 @@ def test_refresh_queue_is_complete(spark, sf):
 @pytest.mark.parametrize("key", ["feature_matrix", "pca_projection", "kmeans_archetypes", "feature_importance_top"])
 def test_model_tables_have_rows(spark, sf, key):
     assert CASES[key].query(spark, sf).count() > 0
+
+
+def test_forest_in_batches_scores_as_the_mean_of_its_trees(frame, monkeypatch):
+    """Trees of a forest are not all on the driver: batches are stored, and their votes averaged per row."""
+    spec = L.Spec("forest", L.forest(9, 6, 5))
+    monkeypatch.setattr(L, "BATCH_NODES", 4 * L.tree_nodes(spec.make(1), frame.count()))
+    fitted = L.fit(frame, spec)
+    assert isinstance(fitted.model, L.StoredForest) and len(fitted.model.paths) == 3
+    models = [L.RandomForestClassificationModel.load(p) for p in fitted.model.paths]
+    assert [m.getNumTrees for m in models] == [4, 4, 1]
+    assert len({t.toDebugString for m in models for t in m.trees}) == 9
+    got = {r[L.ID]: r["score"] for r in fitted.predict(frame, "score").collect()}
+    assert len(got) == frame.count()
+    want = dict.fromkeys(got, 0.0)
+    for m in models:
+        for r in m.transform(fitted.vectors(frame)).select(L.ID, L.vector_to_array("probability")[1].alias("p")).collect():
+            want[r[L.ID]] += m.getNumTrees * r["p"] / 9
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    shares = fitted.model.featureImportances.toArray()
+    mean = sum(m.getNumTrees * m.featureImportances.toArray() for m in models) / 9
+    assert abs(shares - mean).max() < 1e-9 and abs(shares.sum() - 1) < 1e-9
+
+
+def test_forest_batches_are_bounded():
+    deep = L.forest(300)(1)
+    for rows in (100_000, 1_000_000, 7_000_000):
+        batches = L.tree_batches(deep, rows)
+        trees = [b.getNumTrees() for b in batches]
+        assert sum(trees) == 300 and all(b.getCacheNodeIds() for b in batches)
+        assert len({b.getSeed() for b in batches}) == len(batches)
+        assert max(trees) * L.tree_nodes(deep, rows) <= L.BATCH_NODES or max(trees) == 1
