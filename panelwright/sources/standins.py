@@ -15,6 +15,7 @@ from panelwright.sources import tables
 
 C = F.col
 DAY0 = dt.date(2000, 12, 31)      # decision day of the page table
+YEAR_WORDS = range(6)             # words of 63 bits that hold the days of a year
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -150,25 +151,45 @@ def page_table(spark: SparkSession, sf: str) -> DataFrame:
     late = C("l_shipdate") >= F.expr("TIMESTAMP_NTZ'2000-01-01'")
     mid = (C("l_shipdate") >= F.expr("TIMESTAMP_NTZ'1999-01-01'")) & ~late
     when0 = lambda cond, v: F.sum(F.when(cond, v).otherwise(0))
-    agg = fact.groupBy(C("l_partkey").alias("p_partkey")).agg(
+    day = C("l_shipdate").cast("date")
+    lines = fact.withColumns({"__year": F.year(day), "__word": F.expr("dayofyear(l_shipdate) div 63"), "__bit": F.dayofyear(day) % 63})
+    seen = lambda cond, name: [
+        F.bit_or(F.when(cond & (C("__word") == w), F.expr("shiftleft(1L, __bit)")).otherwise(0)).alias(f"{name}{w}") for w in YEAR_WORDS]
+    # Lines of a part and year meet before they are aggregated, and their days are bits: a task holds one entry for each of
+    # its parts and years, not one for each line and distinct count.
+    yearly = lines.repartition("l_partkey", "__year").groupBy(C("l_partkey").alias("p_partkey"), "__year").agg(
         F.sum(q).alias("impressions_90d"),
         F.sum(clicks).alias("clicks_90d"),
-        (F.count(F.lit(1)) * 9).alias("pageviews_90d"),
-        (F.count(F.lit(1)) * 4).alias("sessions_90d"),
-        when0(C("l_returnflag") == "N", 3).cast("bigint").alias("engaged_sessions_90d"),
-        when0((C("l_linestatus") == "O") & (C("l_linenumber") <= 2), 1).cast("bigint").alias("ai_sessions_90d"),
-        when0(C("l_tax") > 0.03, 5).cast("bigint").alias("scroll_events_90d"),
-        F.count_distinct(C("l_shipdate").cast("date")).alias("days_with_impressions"),
-        F.count_distinct(F.when(C("l_tax") > 0.02, C("l_shipdate").cast("date"))).alias("days_with_sessions"),
-        (F.count(F.lit(1)) * 3).alias("users_90d"),
-        when0(late, 4).cast("bigint").alias("sessions_last_30d"),
-        when0(mid, 4).cast("bigint").alias("sessions_prev_30d"),
+        F.count(F.lit(1)).alias("lines"),
+        when0(C("l_returnflag") == "N", 3).alias("engaged_sessions_90d"),
+        when0((C("l_linestatus") == "O") & (C("l_linenumber") <= 2), 1).alias("ai_sessions_90d"),
+        when0(C("l_tax") > 0.03, 5).alias("scroll_events_90d"),
+        *seen(F.lit(True), "__all"),
+        *seen(C("l_tax") > 0.02, "__taxed"),
+        when0(late, 4).alias("sessions_last_30d"),
+        when0(mid, 4).alias("sessions_prev_30d"),
         when0(late, q).alias("impressions_last_30d"),
         when0(mid, q).alias("impressions_prev_30d"),
         when0(late, clicks).alias("clicks_last_30d"),
         when0(mid, clicks).alias("clicks_prev_30d"),
         F.sum(C("l_extendedprice") / 100).alias("sum_position"),
     )
+    days = lambda name: F.sum(sum((F.bit_count(f"{name}{w}") for w in YEAR_WORDS), F.lit(0)))
+    total = lambda name: F.sum(name).alias(name)
+    agg = yearly.groupBy("p_partkey").agg(
+        total("impressions_90d"),
+        total("clicks_90d"),
+        (F.sum("lines") * 9).alias("pageviews_90d"),
+        (F.sum("lines") * 4).alias("sessions_90d"),
+        total("engaged_sessions_90d"), total("ai_sessions_90d"), total("scroll_events_90d"),
+        days("__all").alias("days_with_impressions"),
+        days("__taxed").alias("days_with_sessions"),
+        (F.sum("lines") * 3).alias("users_90d"),
+        total("sessions_last_30d"), total("sessions_prev_30d"),
+        total("impressions_last_30d"), total("impressions_prev_30d"),
+        total("clicks_last_30d"), total("clicks_prev_30d"),
+        total("sum_position"),
+    )
     dim = dim_content(spark, sf)
     j = dim.join(agg.withColumn("p_partkey", C("p_partkey").cast("string")), dim.content_hash_id == C("p_partkey"), "left")
     position = F.round(F.try_divide("sum_position", "impressions_90d"), 1)

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.sources import tables as T
+from panelwright.sources import standins, tables as T
 
 
 @pytest.fixture
@@ -99,3 +99,21 @@ def test_newest_of_nothing_partitions_and_missing_statistics(spark, tmp_path):
     spark.range(30).withColumn("month", F.concat(F.lit("2026-0"), (F.col("id") % 4).cast("string"))).write.partitionBy("month").parquet(parts)
     assert T.newest(spark, parts, "month") == "2026-03"
     assert spark.conf.get("spark.sql.sources.useV1SourceList") != T.FROM_FOOTERS["spark.sql.sources.useV1SourceList"]
+
+
+def test_page_table_counts_days_without_expanding_lines(spark, tmp_path):
+    """Two distinct counts as plain aggregates copy every line and keep an entry of each (part, day) in a task."""
+    days = ["1998-01-01", "1998-01-01", "1999-12-31", "2000-02-29", "2000-12-31", "2000-12-31", "2001-01-01"]
+    lines = spark.createDataFrame([(1, d, 0.03 * (i % 2)) for i, d in enumerate(days)], "l_partkey long, d string, l_tax double")
+    lines.selectExpr(
+        "l_partkey", "CAST(d AS TIMESTAMP_NTZ) AS l_shipdate", "l_tax", "2.0D AS l_quantity", "0.5D AS l_discount",
+        "300.0D AS l_extendedprice", "'R' AS l_returnflag", "'O' AS l_linestatus", "1 AS l_linenumber",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, "b", "x y", "t", 10, 5.0) for k in (1, 2)], "p_partkey long, p_brand string, p_name string, p_type string, p_size int, p_retailprice double") \
+        .write.parquet(f"{tmp_path}/part.parquet")
+    pages = standins.page_table(spark, str(tmp_path))
+    assert "Expand" not in pages._jdf.queryExecution().executedPlan().toString()
+    rows = {r["content_id"]: r for r in pages.collect()}
+    assert (rows["1"]["days_with_impressions"], rows["1"]["days_with_sessions"]) == (4, 3)
+    assert (rows["1"]["impressions_90d"], rows["1"]["pageviews_90d"], rows["1"]["sessions_last_30d"]) == (12, 54, 12)
+    assert rows["2"]["days_with_impressions"] is None
