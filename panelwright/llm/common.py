@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -88,12 +89,21 @@ def worker_state(owner: str, make=lambda: None):
     """
     if owner not in _KEPT:
         _KEPT.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _give_back()
         _KEPT[owner] = make()
     return _KEPT[owner]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system; glibc keeps what was freed below memory that is still in use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):     # another C library
+        pass
+
+
 _KEPT: dict[str, object] = {}
 
 

@@ -19,7 +19,7 @@ from panelwright.llm.common import bounded, python_batches, saved, worker_state
 HOT_GROUP = 2000         # sets with one least shingle beyond which their keys are aggregated before they meet others
 STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that may be left are listed
 SMALL_KEY = 32           # sets of one key up to which all their pairs are tested
-CHUNK = 1 << 20          # bytes hashed at once
+CHUNK = 1 << 18          # bytes hashed at once
 
 _U = np.uint64
 _rng = np.random.default_rng(2025)
@@ -174,7 +174,7 @@ def bits_apart(a: bytes, b: bytes) -> int:
 def signatures(docs: DataFrame, shingle: int, text: bool = False) -> DataFrame:
     """doc_id, n_shingles, a 128-bit hash of the set (``s1``, ``s2``), its least shingle and its ``parity``, of every row;
     with its ``text`` if asked for."""
-    python_batches(docs.sparkSession, 2000, "4m")
+    python_batches(docs.sparkSession, 1000, "2m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("set_join")
@@ -192,14 +192,15 @@ def signatures(docs: DataFrame, shingle: int, text: bool = False) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame, shingle: int, threshold: Threshold) -> DataFrame:
-    """(key, id, hot) rows of representative sets; ``nodes`` has id, text and hot."""
-    python_batches(nodes.sparkSession, 2000, "4m")
+    """(key, id) rows of representative sets; ``nodes`` has id and text."""
+    python_batches(nodes.sparkSession, 1000, "2m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("set_join")
         hasher, lasts = WordHasher(), threshold.bands(1 << 16)
         for batch in batches:
             keys, counts = [], []
-            for s in shingle_sets(batch.column(2), shingle, hasher):
+            for s in shingle_sets(batch.column(1), shingle, hasher):
                 if len(s) > lasts[-1]:
                     lasts = threshold.bands(len(s) * 2)
                 before = len(keys)
@@ -213,17 +214,17 @@ def index_keys(nodes: DataFrame, shingle: int, threshold: Threshold) -> DataFram
                 counts.append(sum(map(len, keys[before:])))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             take = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-            yield pa.RecordBatch.from_arrays([_signed(flat), batch.column(0).take(take), batch.column(1).take(take)],
-                                             ["key", "id", "hot"])
+            yield pa.RecordBatch.from_arrays([_signed(flat), batch.column(0).take(take)], ["key", "id"])
 
-    return nodes.select("id", "hot", "text").mapInArrow(run, "key long, id long, hot boolean")
+    return nodes.select("id", "text").mapInArrow(run, "key long, id long")
 
 
 def stored_sets(nodes: DataFrame, shingle: int) -> DataFrame:
     """id and its sorted shingles."""
-    python_batches(nodes.sparkSession, 500, "4m")
+    python_batches(nodes.sparkSession, 500, "2m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("set_join")
         hasher = WordHasher()
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), shingle, hasher))
@@ -235,13 +236,12 @@ def stored_sets(nodes: DataFrame, shingle: int) -> DataFrame:
     return nodes.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
-def shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, id) of keys that two or more sets have.
+def shared_keys(cold: DataFrame, hot: DataFrame) -> DataFrame:
+    """(key, id) of keys that two or more sets have, of the keys of ``hot`` groups' sets and of all others.
 
     Sets of a hot group are aggregated by key first and meet the others as one row, so that no key gathers a group in
-    one task; their own rows come back by a join whose skewed partitions Spark splits.
+    one task; their own rows come back by a join whose skewed partitions Spark splits. ``hot`` is made twice.
     """
-    cold, hot = keys.where(~F.col("hot")), keys.where("hot")
     heads = saved(hot.groupBy("key").agg(F.min("id").alias("id"), F.max("id").alias("other")), "hot_keys")
     met = cold.select("key", "id", F.lit(False).alias("head"), F.lit(False).alias("many")).unionByName(
         heads.select("key", "id", F.lit(True).alias("head"), (F.col("id") != F.col("other")).alias("many")))
@@ -288,9 +288,10 @@ def near(pairs: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFra
     sides = [sketches.select(F.col("id").alias(f"i{s}"), F.col("n").alias(f"n{s}"), F.col("parity").alias(f"p{s}")) for s in "ab"]
     met = pairs.join(sides[0], F.col("a.i") == F.col("ia")).join(sides[1], F.col("b.i") == F.col("ib"))
     met = met.where(100 * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", "na", "nb", "pa", "pb")
-    python_batches(pairs.sparkSession, 4000, "16m")
+    python_batches(pairs.sparkSession, 4000, "4m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("set_join")
         for batch in batches:
             size = batch.column(2).to_numpy() + batch.column(3).to_numpy()
             apart = np.fromiter(map(bits_apart, batch.column(4).to_pylist(), batch.column(5).to_pylist()), np.int64, batch.num_rows)
@@ -434,14 +435,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     copies = sets.join(bounded(saved(kinds.where("copies > 1").select(*kind, "first"), "copied")), kind).where("doc_id != first")
     copies = saved(copies.select("doc_id").distinct(), "copies")
     hot = kinds.join(bounded(saved(crowded, "crowded")), "least", "left_semi").select("id")
-    hot = bounded(saved(hot, "hot")).withColumn("hot", F.lit(True))
+    hot = bounded(saved(hot, "hot"))
     # A document whose set another one has first is left out: its links are those of the other.
     docs = docs.where("doc_id is not null")
     once = docs.join(several, "doc_id", "left_anti").join(bounded(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
     more = signatures(docs.join(several, "doc_id", "left_semi"), shingle, text=True).join(kinds.select("id", "first", *kind), kind)
     nodes = once.unionByName(more.where(F.col("doc_id") == F.col("first")).select("id", "text").dropDuplicates(["id"]))
-    keys = index_keys(nodes.join(hot, "id", "left").select("id", F.coalesce("hot", F.lit(False)).alias("hot"), "text"), shingle, threshold)
-    shared = saved(shared_keys(keys), "shared")
+    # Hot and other sets part before their texts are hashed: nothing is hashed only to be dropped.
+    shared = saved(shared_keys(*(index_keys(nodes.join(hot, "id", how), shingle, threshold) for how in ("left_anti", "left_semi"))), "shared")
     met = bounded(saved(shared.select("id").distinct(), "candidates"))
     sketches = saved(kinds.join(met, "id", "left_semi").select("id", F.col("n_shingles").alias("n"), "parity"), "sketches")
     comp = linked(shared, saved(known, "same_id"), sketches,

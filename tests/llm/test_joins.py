@@ -7,7 +7,7 @@ import re
 import pyarrow as pa
 import pytest
 
-from panelwright.llm import decontaminate, set_join
+from panelwright.llm import common, decontaminate, set_join
 from panelwright.llm.common import table
 from tests.llm.conftest import AWKWARD
 
@@ -76,6 +76,37 @@ def test_join_of_hot_groups(docs_of, monkeypatch):
     assert got == brute_components(rows, 3, 90)[0]
 
 
+def test_hot_and_other_sets_are_hashed_apart(docs_of, monkeypatch):
+    """Keys of all sets were made for the hot ones too, only to be dropped."""
+    asked, keys_of = [], set_join.index_keys
+
+    def noted(nodes, *rest):
+        asked.append({r["id"] for r in nodes.select("id").collect()})
+        return keys_of(nodes, *rest)
+
+    monkeypatch.setattr(set_join, "HOT_GROUP", 3)
+    monkeypatch.setattr(set_join, "index_keys", noted)
+    rows = list(enumerate(near_copies(1, 80, 60) + [f"a{k} text b{k} alone c{k}" for k in range(8)]))
+    got = {r["doc_id"]: r["component_id"] for r in set_join.near_duplicates(docs_of(rows), shingle=3, percent=90).collect()}
+    assert got == brute_components(rows, 3, 90)[0]
+    others, hot = asked
+    firsts = {min(i for i, u in rows if shingles(u, 3) == shingles(t, 3)) for _, t in rows}
+    assert hot and others and not hot & others and hot | others == firsts
+
+
+def test_workers_return_what_they_let_go():
+    """Freed memory below a block still in use stayed with a worker and came on top of what later stages need."""
+    def held():
+        with open("/proc/self/status") as file:
+            return int(next(line for line in file if line.startswith("RssAnon")).split()[1])
+
+    common.worker_state("one", lambda: [bytes(3000) for _ in range(40_000)])
+    top = [bytes(3000) for _ in range(10)]
+    full = held()
+    common.worker_state("two")
+    assert top and full - held() > 60_000                     # kB
+
+
 @pytest.mark.parametrize("small", [0, 2, 1000])
 def test_join_whatever_keys_count_as_small(docs_of, monkeypatch, small):
     monkeypatch.setattr(set_join, "SMALL_KEY", small)
