@@ -18,7 +18,9 @@ from panelwright.llm.common import bounded, python_batches, saved, worker_state
 
 HOT_GROUP = 2000         # sets with one least shingle beyond which their keys are aggregated before they meet others
 STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that may be left are listed
-SMALL_KEY = 32           # sets of one key up to which all their pairs are tested
+# Sets of one key up to which all their pairs are tested: two, which the star has done. A larger bound is crossed by a growing
+# table's keys, so that the sets left to rare_pairs would grow faster than the table.
+SMALL_KEY = 2
 CHUNK = 1 << 18          # bytes hashed at once
 
 _U = np.uint64

@@ -94,6 +94,18 @@ def test_hot_and_other_sets_are_hashed_apart(docs_of, monkeypatch):
     assert hot and others and not hot & others and hot | others == firsts
 
 
+def test_sets_of_keys_of_any_size_take_one_way(docs_of, monkeypatch):
+    """Keys of up to 32 sets had their pairs listed, so that the sets left over grew faster than the table."""
+    asked, rare = [], set_join.rare_pairs
+    monkeypatch.setattr(set_join, "rare_pairs", lambda nodes, *rest: asked.append(nodes.count()) or rare(nodes, *rest))
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}_{k}" for k in range(10))) for i in range(28)]
+    rows += [(100 + i, f"{t} {i // 4}") for i, t in rows[:8]]
+    got = {r["doc_id"]: r["component_id"] for r in set_join.near_duplicates(docs_of(rows), shingle=3, percent=80).collect()}
+    assert got == brute_components(rows, 3, 80)[0]
+    assert asked and asked[0] >= 5
+
+
 def test_workers_return_what_they_let_go():
     """Freed memory below a block still in use stayed with a worker and came on top of what later stages need."""
     def held():
