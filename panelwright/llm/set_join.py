@@ -21,6 +21,7 @@ STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that
 # Sets of one key up to which all their pairs are tested: two, which the star has done. A larger bound is crossed by a growing
 # table's keys, so that the sets left to rare_pairs would grow faster than the table.
 SMALL_KEY = 2
+SHINGLE_PARTS = 3        # parts of all shingles that are counted one after the other: rows of one part at a time are on disk
 CHUNK = 1 << 18          # bytes hashed at once
 
 _U = np.uint64
@@ -221,8 +222,8 @@ def index_keys(nodes: DataFrame, shingle: int, threshold: Threshold) -> DataFram
     return nodes.select("id", "text").mapInArrow(run, "key long, id long")
 
 
-def stored_sets(nodes: DataFrame, shingle: int) -> DataFrame:
-    """id and its sorted shingles."""
+def stored_sets(nodes: DataFrame, shingle: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """id, size of its set and its sorted shingles, or of these one of several parts that all sets are cut into alike."""
     python_batches(nodes.sparkSession, 500, "2m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,12 +231,15 @@ def stored_sets(nodes: DataFrame, shingle: int) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), shingle, hasher))
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            if parts > 1:
+                sets = [s[s % _U(parts) == part] for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))], ["id", "shingles"])
+                [batch.column(0), sizes, pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))], ["id", "n", "shingles"])
 
-    return nodes.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return nodes.select("id", "text").mapInArrow(run, "id long, n int, shingles array<long>")
 
 
 def shared_keys(cold: DataFrame, hot: DataFrame) -> DataFrame:
@@ -308,7 +312,7 @@ def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.col("a.i").alias("id")).unionByName(pairs.select(F.col("b.i").alias("id"))).distinct()
-    full = saved(sets(bounded(saved(ids, "asked"))), "sets")
+    full = saved(sets(bounded(saved(ids, "asked"))).select("id", "shingles"), "sets")
     a = full.select(F.col("id").alias("ia"), F.col("shingles").alias("sa"))
     b = full.select(F.col("id").alias("ib"), F.col("shingles").alias("sb"))
     met = pairs.join(a, F.col("a.i") == F.col("ia")).join(b, F.col("b.i") == F.col("ib"))
@@ -316,18 +320,23 @@ def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold
     return met.where(100 * both >= p * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
 
-def rare_pairs(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Threshold) -> DataFrame:
+def rare_pairs(nodes: DataFrame, sets: Callable[..., DataFrame], threshold: Threshold) -> DataFrame:
     """Pairs (a, b) of nodes in different components that can be linked, by their rarest shingles.
 
     Shingles stand in one order, rare ones first. The first that two linked sets share must leave both enough
     shingles behind it, so it is among the first few of either. Members of a group of near copies that are not linked
     differ in shingles of their own, and those come first: unlike pairs of a segment key they do not meet. A shingle's
-    largest component is only paired with the rest, never with itself.
+    largest component is only paired with the rest, never with itself. Shingles are counted part by part, each from texts
+    hashed anew: most have one set only and are not kept.
     """
     p = threshold.percent
     asked = bounded(saved(nodes.select(F.col("node.i").alias("id")).distinct(), "asked"))
-    tokens = sets(asked).select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    often = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    often = None
+    for part in range(SHINGLE_PARTS):
+        tokens = sets(asked, part, SHINGLE_PARTS).select("id", "n", F.explode("shingles").alias("token"))
+        tokens = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+        tokens = saved(tokens, "repeated_shingles")
+        often = tokens if often is None else often.unionByName(tokens)
     # Shingles that no other set has come first of all; only the others are numbered.
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "token")) - 1
     alone = F.col("n") - F.count("*").over(Window.partitionBy("id"))
@@ -347,7 +356,7 @@ def rare_pairs(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], thresho
 
 
 def linked(
-    shared: DataFrame, known: DataFrame, sketches: DataFrame, sets: Callable[[DataFrame], DataFrame], threshold: Threshold,
+    shared: DataFrame, known: DataFrame, sketches: DataFrame, sets: Callable[..., DataFrame], threshold: Threshold,
 ) -> DataFrame:
     """(id, comp) of sets that share keys or have a ``known`` edge (a, b); ``shared`` is a saved table of (key, id), comp the
     least id.
@@ -448,7 +457,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     met = bounded(saved(shared.select("id").distinct(), "candidates"))
     sketches = saved(kinds.join(met, "id", "left_semi").select("id", F.col("n_shingles").alias("n"), "parity"), "sketches")
     comp = linked(shared, saved(known, "same_id"), sketches,
-                  lambda ids: stored_sets(nodes.join(ids, "id", "left_semi"), shingle), threshold)
+                  lambda ids, *part: stored_sets(nodes.join(ids, "id", "left_semi"), shingle, *part), threshold)
     comp = saved(comp, "components")
     # The least id of a component is that of its sets' first documents.
     comp = kinds.join(comp, "id", "left").select(*kind, "first", F.coalesce("comp", "id").alias("comp"))

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.llm import common, decontaminate, set_join
 from panelwright.llm.common import table
@@ -106,6 +108,40 @@ def test_sets_of_keys_of_any_size_take_one_way(docs_of, monkeypatch):
     assert asked and asked[0] >= 5
 
 
+def test_shingles_are_counted_part_by_part(docs_of, monkeypatch):
+    """Rows of all shingles of all sets lay on disk at once, the largest share of the join's disk."""
+    made, keep = [], set_join.saved
+
+    def noted(df, name):
+        made.append((name, keep(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(set_join, "saved", noted)
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}_{k}" for k in range(10))) for i in range(28)]
+    rows += [(100 + i, f"{t} {i // 4}") for i, t in rows[:8]]
+    got = {r["doc_id"]: r["component_id"] for r in set_join.near_duplicates(docs_of(rows), shingle=3, percent=80).collect()}
+    assert got == brute_components(rows, 3, 80)[0]
+    parts = [{r["token"] for r in df.select("token").collect()} for name, df in made if name == "repeated_shingles"]
+    assert len(parts) == set_join.SHINGLE_PARTS > 1 and all(parts)
+    assert sum(map(len, parts)) == len(set.union(*parts))
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    """Shuffle files stayed until the driver happened to collect garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+    before = files()
+    spark.conf.unset(common.FREE_SHUFFLES)
+    rows = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).count()
+    table = common.saved(rows, "freed")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 100 and spark.conf.get(common.FREE_SHUFFLES, "false") == "false"
+
+
 def test_workers_return_what_they_let_go():
     """Freed memory below a block still in use stayed with a worker and came on top of what later stages need."""
     def held():
