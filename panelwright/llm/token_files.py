@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,8 @@ from panelwright.llm.common import python_batches, running_total, saved, worker_
 
 END_ID = 2
 KNOWN_PIECES = 800_000   # pieces whose ids a worker remembers; further ones are encoded in each batch
+JOINED = 200             # pieces that are encoded as one text
+AT_ONCE = 50             # texts whose encodings, many times larger than their ids, are held at a time
 # White space next to a space or a line feed, or at either end: such texts, and those with the text of a special token,
 # are encoded in one go.
 WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -43,45 +47,55 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()                           # texts are encoded beside others, and whole
+        self.tokenizer.no_truncation()
         self.cuts = _cut_safely(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})     # after a space; elsewhere
         # Entries 0 to 2: nothing, the end of a text, a line feed.
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # A feed that is one id, and ids that begin with a space (Ġ in byte-level vocabularies), tell pieces apart.
+        vocab = self.tokenizer.get_vocab()
+        self.feed = feed[0] if len(feed) == 1 else -1
+        self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
         self.ids = np.array([end_id, *feed], np.int32)
         self.starts, self.sizes = np.array([0, 0, 1]), np.array([0, 1, len(feed)])
 
     def _encoded(self, parts: list[str], space: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of non-empty pieces, as one array and a size for each: joined, encoded and cut again by offsets."""
-        ids, sizes, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
-        while at < len(parts):
-            upto, chars = at, 0
-            while upto < len(parts) and (chars < 200_000 or upto == at):
-                chars += len(parts[upto]) + 1
-                upto += 1
-            part = parts[at:upto]
-            one = self.tokenizer.encode(" " + " ".join(part) if space else "\n".join(part), add_special_tokens=False)
-            begin = np.cumsum([0] + [len(p) + 1 for p in part[:-1]])
-            where = np.fromiter((s for s, _ in one.offsets), np.int64, len(one.ids))
-            got = np.array(one.ids, np.int32)
-            if not space:
-                kept = ~np.isin(where, begin[1:] - 1)        # the line feeds between pieces
-                where, got = where[kept], got[kept]
-            sizes.append(np.bincount(np.searchsorted(begin, where, "right") - 1, minlength=len(part)))
-            ids.append(got)
-            at = upto
+        """Ids of non-empty pieces, as one array and a size for each: joined, encoded and cut again where a space or feed is."""
+        groups = [parts[at:at + JOINED] for at in range(0, len(parts), JOINED)]
+        texts = [" " + " ".join(g) if space else "\n" + "\n".join(g) for g in groups]
+        ids = self._ids_of(texts)[0]
+        opens = self.spaced[ids] if space else ids == self.feed
+        if np.count_nonzero(opens) != len(parts):            # a vocabulary that does not keep them apart
+            return self._ids_of([" " + p if space else p for p in parts])
+        at = np.flatnonzero(opens)
+        if space:
+            return ids, np.diff(at, append=len(ids))
+        return ids[~opens], np.diff(at, append=len(ids)) - 1
+
+    def _ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(texts), AT_ONCE):
+            own = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at:at + AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+            ids.append(np.fromiter(chain.from_iterable(own), np.int32, int(sizes[-1].sum())))
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _slots(self, pieces: list[str], space: bool) -> np.ndarray:
-        """Entry of each piece; pieces not seen yet are encoded, and remembered while there is room."""
+        """Entry of each of different pieces; pieces not seen yet are encoded, and remembered while there is room."""
         known = self.known[not space]
-        slots = np.fromiter((known.get(p, -1) if p else 0 for p in pieces), np.int64, len(pieces))
+        slots = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if "" in pieces:
+            slots[pieces.index("")] = 0
         new = np.flatnonzero(slots < 0)
-        ids, sizes = self._encoded([pieces[i] for i in new], space)
+        names = [pieces[i] for i in new]
+        ids, sizes = self._encoded(names, space)
         slots[new] = np.arange(len(self.starts), len(self.starts) + len(new))
         self._append(ids, sizes)
         room = max(0, KNOWN_PIECES // 2 - len(known))
-        known.update((pieces[i], int(slots[i])) for i in new[:room])
+        known.update(zip(names[:room], slots[new[:room]].tolist()))
         return slots
 
     def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -101,43 +115,62 @@ class PieceEncoder:
         first = np.asarray(cut.offsets, dtype=np.int64)
         first -= first[0]
         coded = cut.flatten().dictionary_encode()
-        use, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        use, words = coded.indices.to_numpy(), coded.dictionary
         cores = pc.utf8_rtrim(words, characters=TAIL)
         cores = pc.if_else(pc.match_substring_regex(cores, LETTER_END), cores, words)
         tailed = pc.indices_nonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(cores)))
-        tails = [w[len(c):] for w, c in zip(words.take(tailed).to_pylist(), cores.take(tailed).to_pylist())]
-        feed = pc.equal(words, "\x00").to_numpy(zero_copy_only=False)[use]
+        tails = [w[len(c):] for w, c in zip(_strings(words.take(tailed)), _strings(cores.take(tailed)))]
+        feed = pc.equal(words, "\x00").to_numpy(zero_copy_only=False)
+        fed = feed[use]
         opening = np.zeros(len(use), bool)
         opening[first[:-1]] = True
-        opening[1:] |= feed[:-1]
-        opening &= ~feed
+        opening[1:] |= fed[:-1]
+        opening &= ~fed
 
-        slot = np.zeros((2, len(words)), np.int64)           # by place: after a space, elsewhere
-        for place, mask in enumerate((~opening & ~feed, opening)):
+        # Entries of words by place, after a space and elsewhere: each is its core and its tail.
+        slot = np.zeros((2, len(words), 2), np.int64)
+        for place, mask in enumerate((~opening & ~fed, opening)):
             wanted = np.flatnonzero(np.bincount(use[mask], minlength=len(words)))
-            slot[place, wanted] = self._slots_of(cores.take(pa.array(wanted)), place == 0)
-        tail = np.zeros(len(words), np.int64)
-        tail[tailed.to_numpy()] = self._slots_of(pa.array(tails, pa.large_string()), False)
-        plain = self.tokenizer.encode_batch(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)
-        entry = len(self.starts)
-        own = [np.array(e.ids, np.int32) for e in plain]
-        self._append(np.concatenate([*own, np.zeros(0, np.int32)]), np.fromiter(map(len, own), np.int64, len(own)))
-
-        # Each piece is its core and its tail; a text ends with the end id.
-        seen = np.stack([np.where(feed, 2, np.where(opening, slot[1][use], slot[0][use])), np.where(feed, 0, tail[use])], 1).ravel()
-        seen[2 * first[whole]] = entry + np.arange(len(whole))
-        seen = np.insert(seen, 2 * first[1:], 1)
-        size = self.sizes[seen]
+            slot[place, wanted, 0] = self._slots_of(cores.take(pa.array(wanted)), place == 0)
+        slot[:, tailed.to_numpy(), 1] = self._slots_of(pa.array(tails, pa.large_string()), False)
+        slot[0, feed] = 2, 0
+        ids, sizes = self._gathered(slot.ravel())
+        sizes = sizes[::2] + sizes[1::2]
+        # Further entries are texts that are encoded whole.
+        own, own_sizes = self._ids_of(texts.take(pa.array(whole)).to_pylist())
+        ids, sizes = np.concatenate([ids, own, self.ids[:1]]), np.concatenate([sizes, own_sizes])
+        starts = np.cumsum(sizes) - sizes
+        seen = use + opening * np.int64(len(words))
+        seen[first[whole]] = 2 * len(words) + np.arange(len(whole))
+        # The last piece of a text is one longer, for the end id.
+        size = sizes[seen]
+        size[first[1:] - 1] += 1
         after = np.cumsum(size)
-        out = self.ids[np.repeat(self.starts[seen] - (after - size), size) + np.arange(after[-1] if len(after) else 0)]
-        ends = after[2 * first[1:] + np.arange(len(texts))]
+        out = _ranges(ids, starts[seen], size, after)
+        ends = after[first[1:] - 1]
+        out[ends - 1] = self.ids[0]
         if [len(k) for k in self.known] == kept[3]:           # nothing of this batch is remembered
             self.ids, self.starts, self.sizes = kept[:3]
         return out, np.diff(ends, prepend=0)
 
+    def _gathered(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.sizes[entries]
+        return _ranges(self.ids, self.starts[entries], size, np.cumsum(size)), size
+
     def _slots_of(self, pieces: pa.Array, space: bool) -> np.ndarray:
         coded = pieces.dictionary_encode()
-        return self._slots(coded.dictionary.to_pylist(), space)[coded.indices.to_numpy()]
+        return self._slots(_strings(coded.dictionary), space)[coded.indices.to_numpy()]
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _ranges(ids: np.ndarray, starts: np.ndarray, size: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """``size`` ids from each of ``starts`` on, one range behind the other; ``after`` sums up the sizes."""
+    at = np.repeat(starts - (after - size), size)
+    at += np.arange(len(at))
+    return ids[at]
 
 
 def _cut_safely(path: str) -> bool:
@@ -151,6 +184,7 @@ def _cut_safely(path: str) -> bool:
 
 def worker_encoder(path: str, end_id: int) -> PieceEncoder:
     """One encoder per worker process, so that tasks that follow each other share what it remembers."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"        # a task has one core
     return worker_state(f"token_files {path} {end_id}", lambda: PieceEncoder(path, end_id))
 
 

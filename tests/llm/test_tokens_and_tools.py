@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,34 @@ def test_frequent_pieces_beyond_the_memory(monkeypatch):
         assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
 
 
+MIXED = ["the cat, the hat", " lead on\nand (on)", "", None, "two  spaces", "it's we'll!", "Ġ Ġa ĠĠ\nĊ Ċ", "漢字 é, ß", "a\nb\n\nc", "x" * 50 + " y"]
+
+
+def test_pieces_are_encoded_without_offsets():
+    """Offsets and single calls of the tokenizer were a third of the query's time."""
+    class Plain:
+        def __init__(self, own):
+            self.own = own
+
+        def encode_batch_fast(self, *args, **options):
+            return self.own.encode_batch_fast(*args, **options)
+
+    encoder = token_files.PieceEncoder(FILE, 2)
+    own = encoder.tokenizer
+    encoder.tokenizer = Plain(own)
+    ids, sizes = encoder.encode(pa.array(MIXED))
+    want = [own.encode(t or "", add_special_tokens=False).ids + [2] for t in MIXED]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_pieces_that_ids_do_not_tell_apart(monkeypatch):
+    monkeypatch.setattr(token_files, "JOINED", 2)
+    encoder = token_files.PieceEncoder(FILE, 2)
+    encoder.spaced[:], encoder.feed = False, -1
+    encoded_alike(encoder, [t or "" for t in MIXED])
+    encoded_alike(token_files.PieceEncoder(FILE, 2), [t or "" for t in MIXED])
+
+
 def test_tool_calls_match_sql(spark, sf):
     assert mismatch(queries.op10_tool_calls(spark, sf), connect(sf), queries.SQL["op10_tool_calls"]) is None
 
