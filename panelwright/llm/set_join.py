@@ -21,7 +21,7 @@ STAR_ROUNDS = 2          # rounds with one partner per key before the pairs that
 # Sets of one key up to which all their pairs are tested: two, which the star has done. A larger bound is crossed by a growing
 # table's keys, so that the sets left to rare_pairs would grow faster than the table.
 SMALL_KEY = 2
-SHINGLE_PARTS = 3        # parts of all shingles that are counted one after the other: rows of one part at a time are on disk
+SHINGLE_PARTS = 2        # parts of all shingles that are counted one after the other: rows of one part at a time are on disk
 CHUNK = 1 << 18          # bytes hashed at once
 
 _U = np.uint64
