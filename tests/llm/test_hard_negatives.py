@@ -93,3 +93,43 @@ def test_bounds_drop_rows_before_the_last_dimension():
     block.scan = watched
     search.see(block)
     assert search.ids.tolist() == [7] and looks[0] == 2000 and looks[-1] < 20
+
+
+def test_anchors_share_a_look_at_a_block(spark, monkeypatch):
+    """A group of anchors meets a block in a few matrix products, not one scan an anchor."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    values, labels = rng.integers(-90, 90, (1000, 16)), np.sort(rng.integers(0, 3, 1000))
+    uids = np.arange(1000)
+    block = Block(*(x.astype(np.int64).tobytes() for x in (uids, uids, labels)), values.T.astype(np.int16).tobytes(), 2)
+    scans, scan = [], block.scan
+    block.scan = lambda *a: scans.append(1) or scan(*a)
+    group = {"uid": uids[::4], "label": labels[::4], "values": values[::4]}
+    near = Nearest(group, 16, 256, 5)
+    near.see(block)
+    near.settle()
+    positives = near.scores[0].T.astype(np.int64)
+    apart = hard_negatives.Negatives({**group, "positives": positives}, 16, 256, 10, (30, 90))
+    apart.see(block)
+    apart.settle()
+    assert len(scans) <= 12 < len(uids[::4])
+    scores = values @ values.T
+    for a, u in enumerate(uids[::4]):
+        same = sorted((-scores[u, i], i) for i in uids if labels[i] == labels[u] and i != u)[:5]
+        assert [(-s, i) for s, i in same] == list(zip(near.scores[0, a], near.all_ids[0, a]))
+        for w, (p, _) in enumerate(same):
+            inside = sorted((-scores[u, i], i) for i in uids if labels[i] != labels[u] and -30 * p <= 100 * scores[u, i] <= -90 * p)[:10]
+            found = apart.scores[w, a] > -np.inf
+            assert [(-s, i) for s, i in inside] == list(zip(apart.scores[w, a][found], apart.all_ids[w, a][found]))
+
+
+@pytest.mark.parametrize("spread", [0.3, 40.0, 3000.0])
+def test_scores_of_any_size_over_many_groups(spark, monkeypatch, spread):
+    """Whole scores beyond what single floats hold, in groups of several labels."""
+    monkeypatch.setattr(hard_negatives, "GROUP", 7)
+    monkeypatch.setattr(hard_negatives, "FIRST_PAIRS", 70)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 64)
+    rng = random.Random(int(spread))
+    rows = [(i, f32(rng, 12, spread), rng.choice([1, 2, 2, 3])) for i in range(400)]
+    want = brute(rows, every=5)
+    assert want and mined(spark, rows, every=5) == want
