@@ -4,18 +4,14 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-import panelwright
-from panelwright.session import scratch_path
+from panelwright.session import scratch_path, ship_package
 
 # White space of the query contracts, inside a Java or Python character class.
 SPACE = r"\x20\x09-\x0D"
@@ -92,7 +88,7 @@ def labelled_sample(rows: DataFrame, key: str, bound: int, seed: int) -> DataFra
 
 def python_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
     """Prepare for Python in tasks: ship this package, and bound what a worker gets at once in rows and bytes."""
-    _ship_package(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -120,20 +116,3 @@ def _give_back() -> None:
 
 
 _KEPT: dict[str, object] = {}
-
-
-def _ship_package(spark: SparkSession) -> None:
-    """Add the package to the job's Python files once per application, so that executors need no copy of it."""
-    context = spark.sparkContext
-    if _SHIPPED.get("application") == context.applicationId:
-        return
-    root = Path(panelwright.__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="panelwright-code-")) / "panelwright_code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(root.rglob("*.py")):
-            out.write(file, file.relative_to(root.parent))
-    context.addPyFile(str(archive))      # Spark serves it to the executors
-    _SHIPPED["application"] = context.applicationId
-
-
-_SHIPPED: dict[str, str] = {}

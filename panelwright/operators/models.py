@@ -23,6 +23,7 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.functions.cleaning import UNKNOWN, has_flag
+from panelwright.operators import forests
 from panelwright.operators.metrics import ranking_quality
 from panelwright.operators.ordering import exact_medians, hashed_row_number, sample_n, union_all
 from panelwright.operators.splits import class_weights
@@ -184,7 +185,7 @@ class Fitted:
         return self.features.transform(_inputs(df, self.spec, self.pools))
 
     def predict(self, df: DataFrame, name: str = "probability", keep: Sequence[str] = ()) -> DataFrame:
-        if isinstance(self.model, StoredForest):
+        if isinstance(self.model, (StoredForest, forests.GrownForest)):
             return self.model.score(self.vectors(df).select(self.spec.key, *keep, "features"), name)
         scored = self.model.transform(self.vectors(df))
         return scored.select(self.spec.key, *keep, vector_to_array("probability")[1].alias(name))
@@ -282,6 +283,9 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
         vectors = features.transform(rows).select("label", "weight", "features")
         learner = spec.make(n)
         grown = isinstance(learner, RandomForestClassifier)
+        whole = forests.grow(learner, vectors) if grown and forests.suits(learner, vectors, n) else None
+        if whole is not None:
+            return Fitted(spec, pools, features, whole)
         if grown:
             vectors = vectors.repartition(forest_tasks(learner, n, train.sparkSession.sparkContext.defaultParallelism))
         vectors.persist(StorageLevel.MEMORY_AND_DISK)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +76,20 @@ _LOCAL_DIR: str | None = None
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/panelwright/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Add the package to the job's Python files once per application, so that executors need no copy of it."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="panelwright-code-")) / "panelwright_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))      # Spark serves it to the executors
+    _SHIPPED["application"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
