@@ -192,25 +192,32 @@ def vote(binned: np.ndarray, codes: np.ndarray, votes: np.ndarray) -> np.ndarray
 
 # ---- forests ---------------------------------------------------------------------------
 
-def cuts_of(vectors: DataFrame) -> list[np.ndarray]:
-    """Where each feature is cut: between all its values if they are few, else at quantiles."""
+def looked_at(vectors: DataFrame) -> tuple[list[np.ndarray], tuple[float, float] | None]:
+    """Where each feature is cut, and the weights of the two classes; None if there are others or weights differ within one.
+
+    A feature is cut between all its values if they are few, else at quantiles.
+    """
     groups = attributes(vectors)
     binary = {a["idx"] for a in groups.get("binary", [])}
     cuts = [np.array([0.5]) if i in binary else np.zeros(0) for i in range(width(vectors))]
     numbers = [i for i in range(len(cuts)) if i not in binary]
-    if not numbers:
-        return cuts
-    values = vectors.select(vector_to_array("features").alias("v"))
+    values = vectors.select("label", "weight", vector_to_array("features").alias("v"))
     shares = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
-    found = values.agg(*[x for i in numbers for x in (
-        F.percentile_approx(C("v")[i], shares, 10_000), F.approx_count_distinct(C("v")[i], 0.05))]).first()
+    weight = lambda k: F.when(C("label") == k, C("weight"))
+    found = values.agg(
+        *[x for i in numbers for x in (F.percentile_approx(C("v")[i], shares, 10_000), F.approx_count_distinct(C("v")[i], 0.05))],
+        *[f(weight(k)) for k in (0.0, 1.0) for f in (F.min, F.max)],
+        F.count_if(C("label").isNull() | ~C("label").isin(0.0, 1.0)),
+    ).first()
+    low0, high0, low1, high1, others = found[-5:]
+    weights = None if others or low0 != high0 or low1 != high1 else tuple(1.0 if w is None else w for w in (low0, low1))
     some = [i for k, i in enumerate(numbers) if found[2 * k + 1] <= 2 * BINS]
     sets = dict(zip(some, values.agg(*[F.collect_set(C("v")[i]) for i in some]).first())) if some else {}
     for k, i in enumerate(numbers):
         known = np.unique(sets.get(i, []))
         few = i in sets and len(known) <= BINS
         cuts[i] = (known[1:] + known[:-1]) / 2 if few else np.unique(found[2 * k] or [])
-    return cuts
+    return cuts, weights
 
 
 def packed(rows: DataFrame, value: str, cuts: list[np.ndarray]) -> DataFrame:
@@ -290,11 +297,9 @@ class GrownForest:
 def grow(forest: RandomForestClassifier, vectors: DataFrame) -> GrownForest | None:
     """All trees in one job, each one by one task; None if the labels are not two classes or weights differ within one."""
     spark = vectors.sparkSession
-    classes = vectors.groupBy("label").agg(F.min("weight").alias("low"), F.max("weight").alias("high")).limit(3).collect()
-    if any(c["label"] not in (0.0, 1.0) or c["low"] != c["high"] for c in classes):
+    cuts, weights = looked_at(vectors)
+    if weights is None:
         return None
-    weights = tuple(next((c["low"] for c in classes if c["label"] == k), 1.0) for k in (0.0, 1.0))
-    cuts = cuts_of(vectors)
     bins, wide = np.array([len(c) + 1 for c in cuts]), len(cuts)
     trees, seed, draw = forest.getNumTrees(), forest.getSeed(), int(np.ceil(np.sqrt(wide)))
     depth, leaf = forest.getMaxDepth(), forest.getMinInstancesPerNode()
@@ -320,11 +325,8 @@ def grow(forest: RandomForestClassifier, vectors: DataFrame) -> GrownForest | No
     dealt = packed(vectors, "label", cuts).withColumn("slot", every(slots)).repartitionById(slots, "slot")
     dealt = dealt.sortWithinPartitions("slot", "at").select("slot", "n", "bins", "value")
     path = scratch_path(spark, "forest")
-    stored = materialize(dealt.mapInArrow(run, TREE), path)
-    at, share = "at", F.posexplode("shares").alias("at", "share")
-    sums = {r[at]: r["share"] for r in stored.select(share).groupBy(at).agg(F.sum("share").alias("share")).collect()}
-    count, nodes = stored.agg(F.count(F.lit(1)), F.sum("nodes")).first()
-    if count != trees:
-        raise RuntimeError(f"{count or 0} of {trees} trees were grown")
-    whole = sum(sums.values()) or 1.0
-    return GrownForest(path, cuts, Vectors.dense([sums[i] / whole for i in range(wide)]), trees, 16 * nodes)
+    grown = materialize(dealt.mapInArrow(run, TREE), path).select("tree", "nodes", "shares").collect()
+    if sorted(t["tree"] for t in grown) != list(range(trees)):
+        raise RuntimeError(f"{len(grown)} rows for {trees} trees")
+    shares = np.sum([t["shares"] for t in grown], axis=0)
+    return GrownForest(path, cuts, Vectors.dense(shares / (shares.sum() or 1.0)), trees, 16 * sum(t["nodes"] for t in grown))

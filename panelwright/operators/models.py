@@ -53,7 +53,7 @@ PAGE_CATEGORICAL = [
 POOLED = "infrequent"
 RARE_ROWS = 50
 SEED = 20260808
-PARALLEL_FITS = 4
+PARALLEL_FITS = 5
 
 # Bounds of one batch of a forest's trees.
 BATCH_NODES = 400_000        # most nodes its trees can have: they are held by the driver
@@ -283,14 +283,14 @@ def fit(train: DataFrame, spec: Spec) -> Fitted:
         vectors = features.transform(rows).select("label", "weight", "features")
         learner = spec.make(n)
         grown = isinstance(learner, RandomForestClassifier)
-        whole = forests.grow(learner, vectors) if grown and forests.suits(learner, vectors, n) else None
-        if whole is not None:
-            return Fitted(spec, pools, features, whole)
-        if grown:
+        whole = grown and forests.suits(learner, vectors, n)
+        if grown and not whole:
             vectors = vectors.repartition(forest_tasks(learner, n, train.sparkSession.sparkContext.defaultParallelism))
         vectors.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            model = fit_forest(learner, vectors, n) if grown else learner.fit(vectors)
+            model = forests.grow(learner, vectors) if whole else None
+            if model is None:
+                model = fit_forest(learner, vectors, n) if grown else learner.fit(vectors)
         finally:
             vectors.unpersist()
         return Fitted(spec, pools, features, model)

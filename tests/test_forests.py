@@ -86,7 +86,8 @@ def test_cuts_keep_few_values_apart_and_take_quantiles_of_many(spark):
         F.lit(0.0).alias("label"), (C("id") % 4999 == 0).cast("double").alias("rare"), C("id").cast("double").alias("many"),
         F.lit(2.0).alias("same"))
     vectors = L.feature_pipeline(["rare", "many", "same"], [], False).fit(rows).transform(rows)
-    rare, many, same = forests.cuts_of(vectors)
+    (rare, many, same), weights = forests.looked_at(vectors.withColumn("weight", F.lit(1.0)))
+    assert weights == (1.0, 1.0)
     assert rare.tolist() == [0.5] and len(same) == 0
     assert len(many) == 31 and np.abs(many - np.arange(1, 32) * 5000 / 32).max() < 20
 
@@ -131,3 +132,12 @@ def test_deep_forest_ranks_as_spark_ml_does(spark, frame, monkeypatch):
     assert not isinstance(spark_ml.model, forests.GrownForest)
     (auc, shares), (other, others) = of(own), of(spark_ml)
     assert abs(auc - other) < 0.02 and np.abs(shares - others).max() < 0.05
+
+
+def test_other_classes_and_weights_are_left_to_spark_ml(spark):
+    rows = spark.range(100).select((C("id") % 3).cast("double").alias("label"), C("id").cast("double").alias("x"), F.lit(1.0).alias("weight"))
+    vectors = L.feature_pipeline(["x"], [], False).fit(rows).transform(rows)
+    assert forests.looked_at(vectors)[1] is None
+    two = vectors.where("label < 2")
+    assert forests.looked_at(two.withColumn("weight", F.when(C("label") == 1, 3.0).otherwise(0.5)))[1] == (0.5, 3.0)
+    assert forests.looked_at(two.withColumn("weight", C("x") + 1))[1] is None
